@@ -94,3 +94,43 @@ FROM orders GROUP BY ROLLUP (year(o_orderdate))
 @register("manifest_state", SQL_STATE, "T1")
 def q_state(spark, sf_dir):
     return rounded(bucket_state(_files(spark, sf_dir)))
+
+
+def _presence_sql():
+    from lapdeck.plans.q_catalog import SQL_PRESENCE
+    return SQL_PRESENCE
+
+
+def _presence(df):
+    from lapdeck.operators.catalog import presence_flags
+    from lapdeck.plans.q_catalog import EVENT_TYPES
+    return presence_flags(df, ["user_id", "day"], "event_type", EVENT_TYPES)
+
+
+@register("stream_touched", _presence_sql(), "T3 (file stream, touched-partition refresh)")
+def q_stream(spark, sf_dir):
+    """Land ``events`` in two batches (days before / from the middle of the
+    time range), run the refresh stream after each, and return the refreshed
+    presence catalog -- it must equal the batch ``catalog_presence``."""
+    from pyspark.sql import types as T
+
+    from lapdeck.session import scratch_path
+    from lapdeck.streaming.refresh import run_available
+
+    base = scratch_path(spark, "stream-touched")
+    landing, target, ckpt = f"{base}/landing", f"{base}/target", f"{base}/_checkpoint"
+    ev = (table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+          .withColumn("day", F.to_date("ts")))
+    bounds = ev.select(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    mid = bounds.select(F.date_add("lo", (F.datediff("hi", "lo") / 2).cast("int"))).scalar()
+    schema = T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+        T.StructField("day", T.DateType())])
+    for part in (ev.filter(F.col("day") < mid), ev.filter(F.col("day") >= mid)):
+        part.write.mode("append").partitionBy("day").parquet(landing)
+        run_available(spark, landing=landing, schema=schema, target=target,
+                      checkpoint=ckpt, partition_cols=["day"], rebuild=_presence)
+    out = spark.read.parquet(target)
+    return out.select("user_id", F.col("day").cast("date").alias("day"),
+                      *[c for c in out.columns if c.startswith("has_")], "n_present")
