@@ -85,14 +85,18 @@ class SequenceSpec:
     extra: tuple[str, ...] = field(default_factory=tuple)
 
 
-def valid_predicate(spec: SequenceSpec) -> Column:
+def valid_predicate(spec: SequenceSpec, columns=None) -> Column:
     """L2: strict bounds, non-null measure, status exactly one of the ok
-    values, not deleted (a NULL deleted flag counts as not deleted)."""
+    values, not deleted (a NULL deleted flag counts as not deleted).  Status
+    and deleted rules apply only when the column exists (as in the
+    reference)."""
+    present = set(columns) if columns is not None else None
+    has = lambda c: c and (present is None or c in present)
     m = F.col(spec.measure)
     cond = m.isNotNull() & (m > F.lit(spec.lo)) & (m < F.lit(spec.hi))
-    if spec.status:
+    if has(spec.status):
         cond = cond & F.col(spec.status).isin(list(spec.status_ok))
-    if spec.deleted:
+    if has(spec.deleted):
         cond = cond & ~F.coalesce(F.col(spec.deleted), F.lit(False))
     return F.coalesce(cond, F.lit(False))
 
@@ -121,7 +125,7 @@ def sequence_features(df: DataFrame, spec: SequenceSpec = SequenceSpec(),
     has = lambda c: c is not None and c in cols
 
     ordc = struct_order(list(spec.order))
-    valid = valid_predicate(spec)
+    valid = valid_predicate(spec, df.columns)
     vt = F.when(F.col("__valid"), F.col(spec.measure))
 
     needed = set(g) | set(spec.order) | {spec.measure}
@@ -134,8 +138,10 @@ def sequence_features(df: DataFrame, spec: SequenceSpec = SequenceSpec(),
     want_trend = "trend" in fams
     want_pos = "positions" in fams and has(spec.position)
     if want_trend or want_pos:
-        # One shuffle of the rows, on (group, chunk); every aggregate below
-        # reads this exchange (Spark reuses it), so the input is scanned once.
+        # The only full shuffle of the rows: on (group, chunk) for the running
+        # state.  Aggregates that do not use the window columns are planned
+        # straight from the (column-pruned) scan with map-side partial
+        # aggregation -- Catalyst prunes the window out of those branches.
         base = _windowed(base, spec, want_trend, want_pos)
 
     # ---------------------------------------------------------- row level
