@@ -77,7 +77,8 @@ def _scalar(c: Check, present: set[str], floats: set[str]) -> tuple[Column, Colu
         col = c.columns[0]
         if col not in present:
             return None
-        x = F.col(col)
+        # NaN is missing (S2), and missing values are not counted
+        x = F.when(~F.isnan(col), F.col(col)) if col in floats else F.col(col)
         out = F.lit(False)
         if c.lo is not None:
             out = out | (x < c.lo)

@@ -4,7 +4,8 @@
   paths is a DataFrame and each task opens its files' footers with pyarrow
   (``mapInPandas``), so a million files never pass through one process.
 * :func:`gate_files` turns footer facts into (ok, reason) per file -- reasons
-  ``missing`` (no such file), ``empty`` (0 rows), ``missing columns``.
+  ``missing`` (no such file), ``unreadable``, ``empty`` (0 rows),
+  ``missing columns``.
 * :func:`read_gated` scans the files that passed, with an explicit schema,
   NaN -> NULL normalisation and the path-derived key columns.
 """
@@ -20,25 +21,36 @@ from pyspark.sql import types as T
 
 from lapdeck.functions.columns import normalise_missing
 
-FACTS_SCHEMA = "path string, exists boolean, num_rows long, columns array<string>"
+FACTS_SCHEMA = ("path string, exists boolean, readable boolean, num_rows long, "
+                "columns array<string>")
+
+
+def _open(path: str):
+    from urllib.parse import unquote, urlparse
+
+    from pyarrow import fs as pafs
+    u = urlparse(path)
+    if u.scheme in ("", "file"):
+        return pafs.LocalFileSystem(), unquote(u.path) if u.scheme else path
+    return pafs.FileSystem.from_uri(path)
 
 
 def _footer_facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     import pyarrow.parquet as pq
-    from pyarrow import fs as pafs
 
     for pdf in batches:
         rows = []
         for path in pdf["path"]:
             try:
-                filesystem, p = pafs.FileSystem.from_uri(path) if "://" in path \
-                    else (pafs.LocalFileSystem(), path)
+                filesystem, p = _open(path)
                 with filesystem.open_input_file(p) as fh:
                     md = pq.ParquetFile(fh).metadata
-                    rows.append((path, True, md.num_rows, list(md.schema.names)))
-            except (FileNotFoundError, OSError):
-                rows.append((path, False, None, None))
-        yield pd.DataFrame(rows, columns=["path", "exists", "num_rows", "columns"])
+                    rows.append((path, True, True, md.num_rows, list(md.schema.names)))
+            except FileNotFoundError:
+                rows.append((path, False, False, None, None))
+            except Exception:  # noqa: BLE001 -- corrupt / not parquet
+                rows.append((path, True, False, None, None))
+        yield pd.DataFrame(rows, columns=["path", "exists", "readable", "num_rows", "columns"])
 
 
 def file_facts(paths: DataFrame, path_col: str = "path") -> DataFrame:
@@ -52,6 +64,7 @@ def gate_files(facts: DataFrame, required: Sequence[str]) -> DataFrame:
     req = F.array(*[F.lit(c) for c in required]).cast("array<string>")
     missing_cols = F.array_except(req, F.coalesce("columns", F.array().cast("array<string>")))
     reason = (F.when(~F.col("exists"), F.lit("missing"))
+              .when(~F.col("readable"), F.lit("unreadable"))
               .when(F.col("num_rows") == 0, F.lit("empty"))
               .when(F.size(missing_cols) > 0, F.lit("missing columns")))
     return facts.withColumns({"missing_columns": missing_cols, "reason": reason,
@@ -85,12 +98,13 @@ def read_fan_in(spark: SparkSession, root: str, data_type: str,
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.parquet(f"{root.rstrip('/')}/*/*/*/{data_type}.parquet")
-    parts = F.split(F.col("_metadata.file_path"), "/")
-    n = F.size(parts)
+    # the object may be a single file or a folder of part files
+    rx = r"/([^/]+)/([^/]+)/([^/]+)/" + data_type + r"\.parquet(/|$)"
+    path = F.col("_metadata.file_path")
     return normalise_missing(df.withColumns({
-        "year": F.element_at(parts, n - 3).try_cast("int"),
-        "event": F.element_at(parts, n - 2),
-        "session": F.element_at(parts, n - 1),
+        "year": F.regexp_extract(path, rx, 1).try_cast("int"),
+        "event": F.regexp_extract(path, rx, 2),
+        "session": F.regexp_extract(path, rx, 3),
     }))
 
 
