@@ -32,6 +32,13 @@ def rowcount(name: str, lo: float | None, hi: float | None, severity="error") ->
     return Check("rowcount", name, (), lo, hi, severity)
 
 
+def rows_per_key(name: str, key: str, lo_per: float, hi_per: float,
+                 severity="warning") -> Check:
+    """K1 relative to a key count: rows within [lo_per * n, hi_per * n] where
+    n = number of distinct ``key`` values (e.g. 15..25 drivers per race)."""
+    return Check("rows_per_key", name, (key,), lo_per, hi_per, severity)
+
+
 def duplicates(name: str, keys, severity="error") -> Check:
     return Check("duplicates", name, tuple(keys), None, None, severity)
 
@@ -53,8 +60,16 @@ def _lim(lo, hi) -> str:
     return f"[{'' if lo is None else lo}, {'' if hi is None else hi}]"
 
 
-def _scalar(c: Check, present: set[str], floats: set[str]) -> tuple[Column, Column, str] | None:
+def _scalar(c: Check, present: set[str], floats: set[str]) -> tuple[Column, Column, Column] | None:
     """(measured, ok, limit) for checks that are a plain aggregate."""
+    if c.kind == "rows_per_key":
+        if c.columns[0] not in present:
+            return None
+        m = F.count(F.lit(1)).cast("double")
+        n = F.count_distinct(F.col(c.columns[0]))
+        lo, hi = n * c.lo, n * c.hi
+        return m, (m >= lo) & (m <= hi), F.format_string("[%s, %s]", lo.cast("bigint"),
+                                                        hi.cast("bigint"))
     if c.kind == "rowcount":
         m = F.count(F.lit(1)).cast("double")
         ok = F.lit(True)
@@ -62,7 +77,7 @@ def _scalar(c: Check, present: set[str], floats: set[str]) -> tuple[Column, Colu
             ok = ok & (m >= c.lo)
         if c.hi is not None:
             ok = ok & (m <= c.hi)
-        return m, ok, _lim(c.lo, c.hi)
+        return m, ok, F.lit(_lim(c.lo, c.hi))
     if c.kind == "nulls":
         col = c.columns[0]
         if col not in present:
@@ -72,7 +87,7 @@ def _scalar(c: Check, present: set[str], floats: set[str]) -> tuple[Column, Colu
         isnull = x.isNull() | (F.isnan(x) if col in floats else F.lit(False))
         m = F.coalesce(F.avg(isnull.cast("double")), F.lit(0.0))
         # strictly greater than the threshold fails
-        return m, m <= c.hi, f"<= {c.hi}"
+        return m, m <= c.hi, F.lit(f"<= {c.hi}")
     if c.kind == "range":
         col = c.columns[0]
         if col not in present:
@@ -85,7 +100,7 @@ def _scalar(c: Check, present: set[str], floats: set[str]) -> tuple[Column, Colu
         if c.hi is not None:
             out = out | (x > c.hi)
         m = F.count_if(F.coalesce(out, F.lit(False))).cast("double")
-        return m, m == 0, _lim(c.lo, c.hi)
+        return m, m == 0, F.lit(_lim(c.lo, c.hi))
     return None
 
 
@@ -105,15 +120,15 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
             scalars.append((i, c, s))
     if scalars:
         aggs = []
-        for i, c, (m, ok, _lim_s) in scalars:
-            aggs += [m.alias(f"m{i}"), ok.alias(f"ok{i}")]
+        for i, c, (m, ok, lim) in scalars:
+            aggs += [m.alias(f"m{i}"), ok.alias(f"ok{i}"), lim.alias(f"l{i}")]
         wide = df.agg(*aggs)
         rows = F.array(*[F.struct(F.lit(c.name).alias("check"),
                                   F.lit(c.severity).alias("severity"),
                                   F.col(f"m{i}").alias("measured"),
-                                  F.lit(lim).alias("limit"),
+                                  F.col(f"l{i}").alias("limit"),
                                   F.col(f"ok{i}").alias("ok"))
-                         for i, c, (_m, _ok, lim) in scalars])
+                         for i, c, _s in scalars])
         parts.append(wide.select(F.inline(rows)))
 
     for c in checks:
@@ -129,7 +144,7 @@ def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
             parts.append(spark.createDataFrame(
                 [(c.name, c.severity, float(len(missing)),
                   "missing: " + ",".join(missing), not missing)], CHECK_SCHEMA))
-        elif c.kind in ("nulls", "range") and c.columns[0] not in present:
+        elif c.kind in ("nulls", "range", "rows_per_key") and c.columns[0] not in present:
             parts.append(spark.createDataFrame(
                 [(c.name, c.severity, None, f"column {c.columns[0]} absent", False)],
                 CHECK_SCHEMA))
