@@ -145,10 +145,13 @@ def add_days_since_start(df: DataFrame, date_col: str = "session_date",
 def add_season_progress(df: DataFrame, year: str = "year", rnd: str = "round",
                         name: str = "season_progress") -> DataFrame:
     """C11: (round - min) / (max - min) within the year; 0 for a single
-    round.  Min/max per year are an aggregate joined back (AQE broadcasts it
-    when its measured size is small), not a window over the year."""
+    round.  Min/max per year are an aggregate joined back with a size-checked
+    broadcast, not a window over the year (one task per year)."""
+    from lapdeck.functions.joins import broadcast_if_small
     mm = df.groupBy(year).agg(F.min(rnd).alias("__rmin"), F.max(rnd).alias("__rmax"))
-    out = df.join(mm, [year], "left")
+    # every row of a year shares the join key: broadcast the per-year table
+    # (size-checked) instead of a shuffle join that would put a year in one task
+    out = df.join(broadcast_if_small(mm), [year], "left")
     prog = F.try_divide((F.col(rnd) - F.col("__rmin")).cast("double"),
                         (F.col("__rmax") - F.col("__rmin")).cast("double"))
     prog = F.when(F.col("__rmax") == F.col("__rmin"), F.lit(0.0)).otherwise(prog)
@@ -289,33 +292,38 @@ def overflow_count(df: DataFrame, n: int) -> Column:
 
 
 # ------------------------------------------------------------------- C12
-def catalog_issues(catalog: DataFrame, race: str = "Race", quali: str = "Qualifying",
-                   keys: Sequence[str] = ("year", "round")) -> DataFrame:
-    """Issue table (issue, count, detail) -- no race at all; incomplete
-    races; races without qualifying (anti-join on year, round); sessions with
-    NULL positions.  One row per issue kind, always present."""
+def _issue_frames(catalog: DataFrame, race: str, quali: str, keys: Sequence[str]):
     races = catalog.filter(F.col("session") == race)
     quals = catalog.filter(F.col("session") == quali).select(*keys).distinct()
-    no_quali = races.join(quals, list(keys), "left_anti")
-    nulls = catalog.filter(F.coalesce(F.col("has_null_positions"), F.lit(False)))
-    incomplete = races.filter(~F.col("is_complete"))
-
-    def _issue(name: str, frame: DataFrame, label: Column) -> DataFrame:
-        return frame.agg(F.lit(name).alias("issue"),
-                         F.count(F.lit(1)).alias("count"),
-                         F.array_sort(F.collect_set(label)).alias("detail"))
-
-    lbl = F.concat_ws(" ", *[F.col(k).cast("string") for k in ("year", "event", "session")
-                             if k in catalog.columns])
-    no_race = races.agg(F.lit("no_races").alias("issue"),
-                        (F.count(F.lit(1)) == 0).cast("bigint").alias("count"),
-                        F.array().cast("array<string>").alias("detail"))
-    return reduce(DataFrame.unionByName, [
-        no_race,
-        _issue("incomplete_races", incomplete, lbl),
-        _issue("races_missing_qualifying", no_quali, lbl),
-        _issue("sessions_with_null_positions", nulls, lbl),
-    ])
+    return {
+        "incomplete_races": races.filter(~F.col("is_complete")),
+        "races_missing_qualifying": races.join(quals, list(keys), "left_anti"),
+        "sessions_with_null_positions": catalog.filter(
+            F.coalesce(F.col("has_null_positions"), F.lit(False))),
+    }, races
+
+
+def catalog_issues(catalog: DataFrame, race: str = "Race", quali: str = "Qualifying",
+                   keys: Sequence[str] = ("year", "round")) -> DataFrame:
+    """One row per issue kind (issue, count), always present -- no race
+    at all; incomplete races; races without qualifying (anti-join on year,
+    round); sessions with NULL positions.  The affected sessions themselves
+    are rows of :func:`catalog_issue_details` (never gathered into one list)."""
+    frames, races = _issue_frames(catalog, race, quali, keys)
+    parts = [races.agg(F.lit("no_races").alias("issue"),
+                       (F.count(F.lit(1)) == 0).cast("bigint").alias("count"))]
+    parts += [f.agg(F.lit(name).alias("issue"), F.count(F.lit(1)).alias("count"))
+              for name, f in frames.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def catalog_issue_details(catalog: DataFrame, race: str = "Race", quali: str = "Qualifying",
+                          keys: Sequence[str] = ("year", "round")) -> DataFrame:
+    """C12 detail: (issue, year, event, session) for every affected session."""
+    frames, _ = _issue_frames(catalog, race, quali, keys)
+    return reduce(DataFrame.unionByName,
+                  [f.select(F.lit(name).alias("issue"), "year", "event", "session")
+                   for name, f in frames.items()])
 
 
 # -------------------------------------------------------------- assembled

@@ -5,7 +5,9 @@ lap order = (ts, event_id), lap time = ``value`` with valid bounds 1 < v < 100,
 track status ok = event types other than ``error``, stint = weekday of ``ts``
 (0 = Monday), position = ``$.k`` of ``props`` with every tenth value (k % 10
 = 0) made NULL so the missing-position path runs, sectors = (value, k,
-value / 2).  Chunk (the unit of one window task) = the day of ``ts``.
+value / 2).  Chunk (the unit of one window task) = the hour of ``ts``: a user holding a
+third of all rows is split into hourly slices; the carry-over window then
+sees at most 168 chunk summaries per (week, user).
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ EVENTS_SPEC = SequenceSpec(
     stint="stint",
     sectors=("value", "k_d", "half_value"),
     position="pos",
-    chunk="day",
+    chunk="chunk",
 )
 
 
@@ -49,7 +51,7 @@ def prepared_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.cast("double").alias("k_d"),
         (F.col("value") / 2).alias("half_value"),
         F.when(k % 10 != 0, k).cast("double").alias("pos"),
-        F.date_trunc("day", "ts").alias("day"),
+        F.date_trunc("hour", "ts").alias("chunk"),
     )
 
 
