@@ -43,20 +43,36 @@ CATALOG_COLUMNS = (
 
 
 # ------------------------------------------------------------------ C1 C2
-def parse_manifest(manifest: DataFrame, root: str = "", path_col: str = "path") -> DataFrame:
-    """Split ``year/event/session/type.parquet`` keys into columns.
-    Season-level files (``year/x.parquet``) get NULL event / session."""
-    rel = F.regexp_replace(F.col(path_col), "^" + _re_escape(root.rstrip("/")) + "/?", "") \
-        if root else F.regexp_replace(F.col(path_col), "^[a-z]+:/*[^/]*/", "")
-    parts = F.split(rel, "/")
-    n = F.size(parts)
-    last = F.element_at(parts, -1)
+def parse_manifest(manifest: DataFrame, root: str = "", path_col: str = "path",
+                   layout: str = "reference") -> DataFrame:
+    """Key columns from object paths.
+
+    ``reference`` layout: ``year/event/session/type.parquet`` (season-level
+    ``year/x.parquet`` files get NULL event / session; a ``type.parquet``
+    folder of part files counts as one object per part).  ``hive`` layout:
+    ``data_type=t/year=y/event=e/session=s/part-*.parquet`` as written by
+    :func:`lapdeck.sources.sinks.write_sessions`."""
+    if root:
+        rel = F.regexp_replace(F.col(path_col), "^(file:)?" + _re_escape(root.rstrip("/")) + "/?", "")
+    else:
+        rel = F.regexp_replace(F.col(path_col), "^[a-z0-9]+:/*[^/]*/", "")
+    if layout == "hive":
+        def kv(k: str):
+            v = F.regexp_extract(rel, f"(^|/){k}=([^/]+)", 2)
+            return F.when(v != "", F.url_decode(v))
+        return manifest.withColumns({"rel_path": rel, "year_part": kv("year"),
+                                     "event": kv("event"), "session": kv("session"),
+                                     "data_type": kv("data_type")})
+    rx = r"^([^/]+)/([^/]+)/([^/]+)/([^/]+)\.parquet(/|$)"
+    season = r"^([^/]+)/([^/]+)\.parquet(/|$)"
+    is_session = F.regexp_like(rel, F.lit(rx))
     return manifest.withColumns({
         "rel_path": rel,
-        "year_part": F.element_at(parts, 1),
-        "event": F.when(n == 4, F.element_at(parts, 2)),
-        "session": F.when(n == 4, F.element_at(parts, 3)),
-        "data_type": F.regexp_replace(last, r"\.[^.]+$", ""),
+        "year_part": F.split(rel, "/").getItem(0),
+        "event": F.when(is_session, F.regexp_extract(rel, rx, 2)),
+        "session": F.when(is_session, F.regexp_extract(rel, rx, 3)),
+        "data_type": F.when(is_session, F.regexp_extract(rel, rx, 4))
+                      .otherwise(F.regexp_extract(rel, season, 2)),
     })
 
 
