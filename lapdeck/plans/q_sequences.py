@@ -276,6 +276,90 @@ def q_stats(spark, sf_dir):
     return rounded(dataset_statistics(features(spark, sf_dir, ("counts", "pace"))))
 
 
-@register("seq_features_all", None, "L1-L18 (full 37-feature row)")
+SQL_ALL = _EV + """,
+agg AS (
+  SELECT week, user_id,
+    count(*) AS total_laps, count(*) FILTER (WHERE valid) AS valid_laps,
+    avg(value) FILTER (WHERE valid) AS avg_lap_time,
+    quantile_cont(value, 0.5) FILTER (WHERE valid) AS median_lap_time,
+    min(value) FILTER (WHERE valid) AS best_lap_time,
+    max(value) FILTER (WHERE valid) AS worst_lap_time,
+    quantile_cont(value, 0.05) FILTER (WHERE valid) AS pct_05_lap_time,
+    quantile_cont(value, 0.95) FILTER (WHERE valid) AS pct_95_lap_time,
+    stddev_samp(value) FILTER (WHERE valid) AS lap_time_std,
+    quantile_cont(value, 0.75) FILTER (WHERE valid)
+      - quantile_cont(value, 0.25) FILTER (WHERE valid) AS lap_time_iqr,
+    avg(value) FILTER (WHERE valid AND value > 15 AND value < 60) AS avg_sector1,
+    avg(k_d) FILTER (WHERE valid AND k_d > 15 AND k_d < 60) AS avg_sector2,
+    avg(half_value) FILTER (WHERE valid AND half_value > 15 AND half_value < 60) AS avg_sector3,
+    min(value) FILTER (WHERE valid AND value > 15 AND value < 60) AS best_sector1,
+    min(k_d) FILTER (WHERE valid AND k_d > 15 AND k_d < 60) AS best_sector2,
+    min(half_value) FILTER (WHERE valid AND half_value > 15 AND half_value < 60) AS best_sector3,
+    avg(pos) AS avg_position, min(pos) AS best_position, max(pos) AS worst_position,
+    count(DISTINCT stint) AS ns
+  FROM ev GROUP BY week, user_id HAVING count(*) FILTER (WHERE valid) >= 5
+),
+idx AS (
+  SELECT week, user_id, value,
+         row_number() OVER (PARTITION BY week, user_id ORDER BY ts, event_id) - 1 AS x
+  FROM ev WHERE valid
+),
+trend AS (SELECT week, user_id, regr_slope(value, x) AS slope FROM idx GROUP BY week, user_id),
+stint_avg AS (
+  SELECT week, user_id, stint, avg(value) AS a
+  FROM ev WHERE valid AND stint IS NOT NULL GROUP BY week, user_id, stint
+),
+fl AS (
+  SELECT week, user_id, arg_min(a, stint) AS f, arg_max(a, stint) AS l
+  FROM stint_avg GROUP BY week, user_id
+),
+seq AS (
+  SELECT week, user_id, pos, event_type,
+    row_number() OVER (PARTITION BY week, user_id ORDER BY ts, event_id) AS rn,
+    lag(pos IGNORE NULLS) OVER (PARTITION BY week, user_id ORDER BY ts, event_id) AS prev
+  FROM ev
+),
+posf AS (
+  SELECT week, user_id,
+    count(*) FILTER (WHERE pos IS NOT NULL AND prev IS NOT NULL AND pos <> prev) AS changes,
+    CASE WHEN count(pos) >= 2
+         THEN arg_min(pos, rn) FILTER (WHERE pos IS NOT NULL)
+            - arg_max(pos, rn) FILTER (WHERE pos IS NOT NULL) ELSE 0 END AS net,
+    arg_min(event_type, rn) AS team_name
+  FROM seq GROUP BY week, user_id
+)
+SELECT a.week, a.user_id,
+  '#' || CAST(a.user_id AS VARCHAR) AS driver_abbreviation, p.team_name,
+  CAST(a.total_laps AS BIGINT) AS total_laps, CAST(a.valid_laps AS BIGINT) AS valid_laps,
+  CAST(0 AS BIGINT) AS deleted_laps, CAST(a.total_laps - a.valid_laps AS BIGINT) AS invalid_laps,
+  round(a.avg_lap_time, 6) AS avg_lap_time, round(a.median_lap_time, 6) AS median_lap_time,
+  round(a.best_lap_time, 6) AS best_lap_time, round(a.worst_lap_time, 6) AS worst_lap_time,
+  round(a.worst_lap_time - a.best_lap_time, 6) AS lap_time_range,
+  round(a.pct_05_lap_time, 6) AS pct_05_lap_time, round(a.pct_95_lap_time, 6) AS pct_95_lap_time,
+  round(a.lap_time_std, 6) AS lap_time_std,
+  round(CASE WHEN a.avg_lap_time > 0 THEN a.lap_time_std / a.avg_lap_time ELSE 0 END, 6)
+    AS lap_time_cv,
+  round(a.lap_time_iqr, 6) AS lap_time_iqr,
+  round(a.avg_lap_time - a.best_lap_time, 6) AS seconds_off_best,
+  round(t.slope, 6) AS lap_time_trend, round(t.slope, 6) AS tire_deg_per_lap,
+  round(fl.f, 6) AS first_stint_avg, round(fl.l, 6) AS last_stint_avg,
+  round(fl.l - fl.f, 6) AS stint_delta,
+  round(a.avg_sector1, 6) AS avg_sector1, round(a.avg_sector2, 6) AS avg_sector2,
+  round(a.avg_sector3, 6) AS avg_sector3, round(a.best_sector1, 6) AS best_sector1,
+  round(a.best_sector2, 6) AS best_sector2, round(a.best_sector3, 6) AS best_sector3,
+  round(a.avg_position, 6) AS avg_position, round(a.best_position, 6) AS best_position,
+  round(a.worst_position, 6) AS worst_position,
+  CAST(p.changes AS BIGINT) AS position_changes, round(p.net, 6) AS net_position_change,
+  CAST(a.ns - 1 AS BIGINT) AS num_pit_stops, CAST(a.ns AS BIGINT) AS num_tire_stints,
+  round(CASE WHEN a.ns > 0 THEN a.total_laps / a.ns END, 6) AS avg_stint_length,
+  round(a.valid_laps / a.total_laps, 6) AS valid_lap_pct
+FROM agg a
+LEFT JOIN trend t ON a.week = t.week AND a.user_id = t.user_id
+LEFT JOIN fl ON a.week = fl.week AND a.user_id = fl.user_id
+LEFT JOIN posf p ON a.week = p.week AND a.user_id = p.user_id
+"""
+
+
+@register("seq_features_all", SQL_ALL, "L1-L18 (full feature row)")
 def q_all(spark, sf_dir):
     return rounded(features(spark, sf_dir))
