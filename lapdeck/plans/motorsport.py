@@ -23,6 +23,7 @@ from lapdeck.operators import checks as K
 from lapdeck.operators.results import (ResultsSpec, race_results, select_races,
                                        skipped_races)
 from lapdeck.operators.sequences import SequenceSpec, dataset_statistics, sequence_features
+from lapdeck.session import ensure_checkpoint_dir
 from lapdeck.sources.manifest import list_files
 from lapdeck.sources.readers import read_fan_in
 from lapdeck.sources.sinks import write_csv, write_parquet, write_sample
@@ -45,7 +46,10 @@ def catalog_job(spark: SparkSession, root: str, as_of: str | None = None,
     files = C.parse_manifest(list_files(spark, root), root)
     session_info = read_fan_in(spark, root, "session_info")
     results = read_fan_in(spark, root, "results")
-    cat = C.build_catalog(files, session_info, results)
+    # the catalog is small and feeds every later job: materialise it once in
+    # the shared checkpoint folder (lineage cut, survives executor loss)
+    ensure_checkpoint_dir(spark)
+    cat = C.build_catalog(files, session_info, results).checkpoint(eager=True)
     validated, verdict = C.validate_catalog(cat, as_of)
     if out:
         ordered = validated.orderBy(F.col("year").asc_nulls_last(),

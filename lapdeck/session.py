@@ -44,6 +44,25 @@ def build_session(master: str | None = None, app_name: str = "lapdeck",
     return spark
 
 
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
+                 max_partitions: int = 100_000) -> dict[str, str]:
+    """Shuffle / scan sizing for a job reading ``input_bytes``.
+
+    Initial shuffle partitions are sized so a partition holds about
+    ``target_partition_bytes`` of the (pre-aggregation) input -- this keeps
+    sort and window spills bounded per task -- and AQE coalesces partitions
+    that turn out small.  Files are split at the same size.
+    """
+    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

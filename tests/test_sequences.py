@@ -145,3 +145,41 @@ def test_sequence_plan_has_one_full_shuffle(spark):
     # no window is partitioned by the group alone over raw rows: the first
     # window must include the chunk column
     assert "__chunk" in plan
+
+
+def test_hot_user_is_split_into_bounded_chunks(spark):
+    """A user holding a third of all rows: every window task sees one
+    (group, chunk) -- bounded by the chunk width -- and the result equals the
+    unchunked computation."""
+    import datetime as dt
+    n_hot, n_other = 30000, 60000
+    rng = np.random.default_rng(1)
+    start = dt.datetime(2024, 1, 1)
+    ts = [start + dt.timedelta(seconds=int(s)) for s in rng.integers(0, 6 * 86400, n_hot + n_other)]
+    pdf = pd.DataFrame({
+        "event_id": np.arange(n_hot + n_other),
+        "ts": ts,
+        "user_id": np.r_[np.zeros(n_hot, dtype=int), rng.integers(1, 500, n_other)],
+        "value": np.round(rng.uniform(0, 120, n_hot + n_other), 2),
+        "pos": rng.integers(1, 20, n_hot + n_other).astype(float),
+    })
+    df = (spark.createDataFrame(pdf).withColumn("week", F.lit(1))
+          .withColumn("chunk", F.date_trunc("hour", "ts")))
+    spec = SequenceSpec(group=("week", "user_id"), order=("ts", "event_id"), measure="value",
+                        lo=1, hi=100, status=None, deleted=None, number="user_id",
+                        identity=None, team=None, stint=None, sectors=(), position="pos",
+                        chunk="chunk")
+    per_chunk = df.groupBy("user_id", "chunk").count().agg(F.max("count")).first()[0]
+    assert per_chunk < n_hot / 50          # the hot group is cut into >= 50 window tasks
+    fams = ("counts", "trend", "positions")
+    a = {r.user_id: r for r in sequence_features(df, spec, fams).collect()}
+    b = {r.user_id: r for r in sequence_features(
+        df, SequenceSpec(**{**spec.__dict__, "chunk": None}), fams).collect()}
+    assert a.keys() == b.keys()
+    hot_a, hot_b = a[0], b[0]
+    assert hot_a.total_laps == n_hot
+    assert hot_a.position_changes == hot_b.position_changes
+    assert hot_a.net_position_change == hot_b.net_position_change
+    assert hot_a.lap_time_trend == pytest.approx(hot_b.lap_time_trend, rel=1e-9, abs=1e-12)
+    for k in a:
+        assert a[k].position_changes == b[k].position_changes
