@@ -82,6 +82,9 @@ class SequenceSpec:
     sector_hi: float = 60.0
     position: str | None = "Position"
     chunk: str | None = None
+    # None = exact quantiles (pandas' linear interpolation); an int switches
+    # to percentile_approx with that accuracy for high-cardinality measures
+    quantile_accuracy: int | None = None
     extra: tuple[str, ...] = field(default_factory=tuple)
 
 
@@ -171,7 +174,10 @@ def sequence_features(df: DataFrame, spec: SequenceSpec = SequenceSpec(),
         qs += [0.75, 0.25]
         aggs.append(F.stddev_samp(vt).alias("lap_time_std"))
     if qs:
-        aggs.append(F.percentile(vt, F.array(*[F.lit(q) for q in qs])).alias("__q"))
+        probs = F.array(*[F.lit(q) for q in qs])
+        qagg = (F.percentile(vt, probs) if spec.quantile_accuracy is None
+                else F.percentile_approx(vt, probs, spec.quantile_accuracy).cast("array<double>"))
+        aggs.append(qagg.alias("__q"))
     if "sectors" in fams:
         for i, sc in enumerate(spec.sectors, 1):
             if has(sc):

@@ -39,6 +39,37 @@ class JobOutput:
     extra: dict | None = None
 
 
+# ------------------------------------------------------------------- ingest
+def ingest_plan(schedule: DataFrame, landed_files: DataFrame | None = None,
+                events: list[str] | None = None, sessions: list[str] | None = None,
+                enabled: list[str] | None = None, ledger: DataFrame | None = None,
+                mode: str | None = None, year: int | None = None) -> DataFrame:
+    """P2-P6 + P16: what to fetch.  One row per (event, session, data_type)
+    still missing, after scope resolution, the enabled-session filter, the
+    gap plan against the landed manifest and (optionally) the run ledger
+    (``skip_existing`` / ``retry_failed``).  Fetching itself is a network
+    client and not part of this engine; this is the dry-run plan."""
+    from lapdeck.operators import planning as P
+    plan = P.resolve_scope(schedule, events, sessions).withColumnRenamed("EventName", "event_name")
+    plan = plan.filter(F.col("session").isNotNull() & (F.col("session") != ""))
+    if enabled:
+        plan = P.filter_enabled(plan, enabled)
+    from lapdeck.functions.columns import event_key
+    plan = plan.withColumn("event", event_key("event_name"))
+    if year is not None:
+        plan = plan.withColumn("year", F.lit(year))
+    keys = ["year", "event", "session"] if year is not None else ["event", "session"]
+    if ledger is not None and mode:
+        plan = P.plan_remaining(plan, ledger, keys, mode)
+    expected = P.expected_files(plan, [*keys, "event_name"])
+    if landed_files is None:
+        return expected
+    landed = landed_files
+    if year is not None and "year" not in landed.columns:
+        landed = landed.withColumn("year", F.col("year_part").try_cast("int"))
+    return P.gap_plan(expected, landed, keys)
+
+
 # ------------------------------------------------------------------ catalog
 def catalog_job(spark: SparkSession, root: str, as_of: str | None = None,
                 out: str | None = None) -> JobOutput:

@@ -62,3 +62,31 @@ def run_available(spark: SparkSession, **kwargs) -> None:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+
+
+def start_catalog_refresh(spark: SparkSession, root: str, out: str, checkpoint: str,
+                          glob: str = "*/*/*/*", as_of: str | None = None,
+                          available_now: bool = True,
+                          interval: str = "300 seconds") -> StreamingQuery:
+    """T3 for landed sessions: whenever new Parquet objects appear under
+    ``root`` (matched by ``glob``), rebuild the catalog and overwrite it at
+    ``out``.  The file source's checkpoint is the cursor (the first run sees
+    every existing file, later runs only new ones); the catalog is a small
+    aggregate over the manifest, so a full rewrite is the idempotent unit.
+    Only file metadata is read by the stream: the content column is dropped
+    before anything else touches it."""
+    from lapdeck.plans.motorsport import catalog_job
+    stream = (spark.readStream.format("binaryFile")
+              .schema("path string, modificationTime timestamp, length long, content binary")
+              .option("pathGlobFilter", "*.parquet")
+              .load(f"{root.rstrip('/')}/{glob}")
+              .select("path", "length", "modificationTime"))
+
+    def _batch(df: DataFrame, _epoch: int) -> None:
+        if df.isEmpty():
+            return
+        catalog_job(spark, root, as_of=as_of, out=out)
+
+    w = stream.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()

@@ -183,3 +183,13 @@ def test_hot_user_is_split_into_bounded_chunks(spark):
     assert hot_a.lap_time_trend == pytest.approx(hot_b.lap_time_trend, rel=1e-9, abs=1e-12)
     for k in a:
         assert a[k].position_changes == b[k].position_changes
+
+
+def test_approximate_quantiles_option(spark):
+    df = spark.createDataFrame(_laps(), SCHEMA)
+    exact = {r.DriverNumber: r for r in sequence_features(df, families=("pace",)).collect()}
+    approx = {r.DriverNumber: r for r in sequence_features(
+        df, SequenceSpec(quantile_accuracy=100000), families=("pace",)).collect()}
+    for k in exact:
+        # approximate quantiles return observed values close to the exact ones
+        assert abs(exact[k].median_lap_time - approx[k].median_lap_time) < 5
