@@ -6,8 +6,8 @@
 * :func:`gate_files` turns footer facts into (ok, reason) per file -- reasons
   ``missing`` (no such file), ``unreadable``, ``empty`` (0 rows),
   ``missing columns``.
-* :func:`read_gated` scans the files that passed, with an explicit schema,
-  NaN -> NULL normalisation and the path-derived key columns.
+* :func:`read_gated` keeps the rows of the files that passed (semi-join on
+  the file path), with an explicit schema and NaN -> NULL normalisation.
 """
 
 from __future__ import annotations
@@ -72,19 +72,24 @@ def gate_files(facts: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 def read_gated(spark: SparkSession, gated: DataFrame, schema: T.StructType,
-               key_from_path: bool = True) -> DataFrame:
-    """S1 + S2: scan only the files that passed the gate.
-
-    The accepted path list is small metadata (one string per file) -- the
-    same list Spark's file index holds anyway; rows are never collected.
+               location: str | list[str], key_from_path: bool = True) -> DataFrame:
+    """S1 + S2: rows of the files that passed the gate.
+
+    ``location`` (a folder, glob or list of them) is scanned once with the
+    explicit schema; rows are kept by a semi-join of their source file path
+    against the accepted paths, so the accepted list stays a distributed
+    DataFrame (never collected).  Unreadable files are skipped by the scan
+    (``ignoreCorruptFiles``) and were already rejected by the gate.
     """
-    ok = [r["path"] for r in gated.filter("ok").select("path").collect()]
-    if not ok:
-        return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).parquet(*ok)
-    if key_from_path:
-        df = df.withColumn("source_path", F.col("_metadata.file_path"))
-    return normalise_missing(df)
+    locs = [location] if isinstance(location, str) else list(location)
+    df = (spark.read.schema(schema).option("ignoreCorruptFiles", "true")
+          .option("recursiveFileLookup", "true").parquet(*locs)
+          .withColumn("source_path", F.col("_metadata.file_path")))
+    ok = gated.filter("ok").select(F.col("path").alias("source_path"))
+    kept = df.join(ok, ["source_path"], "left_semi")
+    if not key_from_path:
+        kept = kept.drop("source_path")
+    return normalise_missing(kept)
 
 
 def read_fan_in(spark: SparkSession, root: str, data_type: str,

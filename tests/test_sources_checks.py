@@ -55,7 +55,9 @@ def test_sinks_and_gated_scan(spark, tmp_path):
     assert reasons == {"missing columns"}
     ok = R.gate_files(R.file_facts(files), ["LapNumber"])
     schema = T.StructType([T.StructField("LapNumber", T.DoubleType())])
-    assert R.read_gated(spark, ok, schema).count() == 2
+    assert R.read_gated(spark, ok, schema, f"{root}/data_type=laps").count() == 2
+    # a gate that rejects everything keeps no rows
+    assert R.read_gated(spark, facts, schema, f"{root}/data_type=laps").count() == 0
     missing = spark.createDataFrame([(f"{root}/nope.parquet",)], "path string")
     assert R.gate_files(R.file_facts(missing), ["x"]).first().reason == "missing"
     assert child_prefixes(files).count() == 1
