@@ -109,9 +109,19 @@ def races_by_year(catalog: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ results
-def results_output_checks(df: DataFrame) -> DataFrame:
+def _materialised(df: DataFrame) -> DataFrame:
+    """Checks read their input twice (one aggregate pass + a duplicate-key
+    pass); an output table is written once to the shared checkpoint folder
+    instead of being recomputed from its sources."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def results_output_checks(df: DataFrame, materialise: bool = True) -> DataFrame:
     """Rows per race in [15, 25], unique (race, driver), required columns,
     null shares of finish <= 0.30 and grid <= 0.05, positions in 1..25."""
+    if materialise:
+        df = _materialised(df)
     return K.run_checks(df, [
         K.rows_per_key("rows_per_race", "race_id", 15, 25),
         K.duplicates("duplicate_race_driver", ["race_id", "driver_id"]),
@@ -156,10 +166,12 @@ def prepare_laps(laps: DataFrame) -> DataFrame:
     return laps.withColumns(cols) if cols else laps
 
 
-def features_output_checks(df: DataFrame) -> DataFrame:
+def features_output_checks(df: DataFrame, materialise: bool = True) -> DataFrame:
     """Rows per race in [15, 25], unique (race, driver), required
     columns, mean lap in 60..180, null shares <= 0.10, groups with a valid
     share below 0.5 (reported as a range check on valid_lap_pct)."""
+    if materialise:
+        df = _materialised(df)
     return K.run_checks(df, [
         K.rows_per_key("rows_per_race", "race_id", 15, 25),
         K.duplicates("duplicate_race_driver", ["race_id", "driver_number"]),

@@ -111,3 +111,44 @@ def q_accounting(spark, sf_dir):
     produced = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
     skips = skipped_races(selected, produced, ["o_orderkey"], "results missing")
     return rounded(accounting(selected, skips))
+
+
+SQL_RESULT_CHECKS = """
+WITH r AS (""" + SQL_LEFT_JOIN + """)
+SELECT * FROM (
+  SELECT 'rows_per_race' AS "check", 'warning' AS severity, CAST(count(*) AS DOUBLE) AS measured,
+    printf('[%d, %d]', count(DISTINCT o_orderstatus) * 15, count(DISTINCT o_orderstatus) * 25)
+      AS "limit",
+    count(*) BETWEEN count(DISTINCT o_orderstatus) * 15 AND count(DISTINCT o_orderstatus) * 25 AS ok
+  FROM r
+  UNION ALL
+  SELECT 'finish_position_nulls', 'warning',
+    round(COALESCE(avg(CASE WHEN finish_position IS NULL THEN 1.0 ELSE 0.0 END), 0), 6), '<= 0.3',
+    COALESCE(avg(CASE WHEN finish_position IS NULL THEN 1.0 ELSE 0.0 END), 0) <= 0.3
+  FROM r
+  UNION ALL
+  SELECT 'grid_position_nulls', 'warning',
+    round(COALESCE(avg(CASE WHEN grid_position IS NULL THEN 1.0 ELSE 0.0 END), 0), 6), '<= 0.05',
+    COALESCE(avg(CASE WHEN grid_position IS NULL THEN 1.0 ELSE 0.0 END), 0) <= 0.05
+  FROM r
+  UNION ALL
+  SELECT 'finish_position_range', 'warning',
+    CAST(count(*) FILTER (WHERE finish_position < 1 OR finish_position > 25) AS DOUBLE), '[1, 25]',
+    count(*) FILTER (WHERE finish_position < 1 OR finish_position > 25) = 0
+  FROM r
+  UNION ALL
+  SELECT 'duplicate_race_driver', 'error', CAST(COALESCE(sum(n), 0) AS DOUBLE), '0',
+    COALESCE(sum(n), 0) = 0
+  FROM (SELECT count(*) AS n FROM r GROUP BY o_orderstatus, o_orderkey HAVING count(*) > 1)
+  UNION ALL
+  SELECT 'required_columns', 'error', 2.0, 'missing: points,status', FALSE)
+"""
+
+
+@register("results_output_checks", SQL_RESULT_CHECKS, "R12 (output checks, race = order status)")
+def q_result_checks(spark, sf_dir):
+    from lapdeck.plans.motorsport import results_output_checks
+    r = outcome_features(_orders_with_lines(spark, sf_dir), ORDERS_SPEC).select(
+        F.col("o_orderstatus").alias("race_id"), F.col("o_orderkey").alias("driver_id"),
+        F.col("o_orderkey").alias("driver_number"), "finish_position", "grid_position")
+    return rounded(results_output_checks(r))

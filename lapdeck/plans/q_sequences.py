@@ -363,3 +363,51 @@ LEFT JOIN posf p ON a.week = p.week AND a.user_id = p.user_id
 @register("seq_features_all", SQL_ALL, "L1-L18 (full feature row)")
 def q_all(spark, sf_dir):
     return rounded(features(spark, sf_dir))
+
+
+SQL_FEATURE_CHECKS = """
+WITH f AS (
+  SELECT strftime(week, '%Y-%m-%d') AS race_id, CAST(user_id AS VARCHAR) AS driver_number, *
+  FROM (""" + SQL_ALL + """)
+)
+SELECT * FROM (
+  SELECT 'rows_per_race' AS "check", 'warning' AS severity, CAST(count(*) AS DOUBLE) AS measured,
+    printf('[%d, %d]', count(DISTINCT race_id) * 15, count(DISTINCT race_id) * 25) AS "limit",
+    count(*) BETWEEN count(DISTINCT race_id) * 15 AND count(DISTINCT race_id) * 25 AS ok
+  FROM f
+  UNION ALL
+  SELECT 'avg_lap_time_range', 'warning',
+    CAST(count(*) FILTER (WHERE avg_lap_time < 60 OR avg_lap_time > 180) AS DOUBLE), '[60, 180]',
+    count(*) FILTER (WHERE avg_lap_time < 60 OR avg_lap_time > 180) = 0
+  FROM f
+  UNION ALL
+  SELECT 'avg_lap_time_nulls', 'warning',
+    round(COALESCE(avg(CASE WHEN avg_lap_time IS NULL THEN 1.0 ELSE 0.0 END), 0), 6), '<= 0.1',
+    COALESCE(avg(CASE WHEN avg_lap_time IS NULL THEN 1.0 ELSE 0.0 END), 0) <= 0.1
+  FROM f
+  UNION ALL
+  SELECT 'best_lap_time_nulls', 'warning',
+    round(COALESCE(avg(CASE WHEN best_lap_time IS NULL THEN 1.0 ELSE 0.0 END), 0), 6), '<= 0.1',
+    COALESCE(avg(CASE WHEN best_lap_time IS NULL THEN 1.0 ELSE 0.0 END), 0) <= 0.1
+  FROM f
+  UNION ALL
+  SELECT 'low_valid_share', 'warning',
+    CAST(count(*) FILTER (WHERE valid_lap_pct < 0.5) AS DOUBLE), '[0.5, ]',
+    count(*) FILTER (WHERE valid_lap_pct < 0.5) = 0
+  FROM f
+  UNION ALL
+  SELECT 'duplicate_race_driver', 'error', CAST(COALESCE(sum(n), 0) AS DOUBLE), '0',
+    COALESCE(sum(n), 0) = 0
+  FROM (SELECT count(*) AS n FROM f GROUP BY race_id, driver_number HAVING count(*) > 1)
+  UNION ALL
+  SELECT 'required_columns', 'error', 0.0, 'missing: ', TRUE)
+"""
+
+
+@register("seq_output_checks", SQL_FEATURE_CHECKS, "L19 (output checks of the feature table)")
+def q_output_checks(spark, sf_dir):
+    from lapdeck.plans.motorsport import features_output_checks
+    f = features(spark, sf_dir).select(
+        F.date_format("week", "yyyy-MM-dd").alias("race_id"),
+        F.col("user_id").cast("string").alias("driver_number"), "*")
+    return rounded(features_output_checks(f))

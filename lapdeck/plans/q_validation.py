@@ -140,3 +140,25 @@ def q_normalise(spark, sf_dir):
     return d.select("doc_id",
                     event_key(F.concat_ws(" ", "source", "lang")).alias("source_key"),
                     upper_in_domain("lang", ("EN", "DE", "FR")).alias("lang_code"))
+
+
+# Dimension of the event types (type, category, counts as ok).
+EVENT_TYPE_DIM = [("click", "engagement", True), ("view", "engagement", True),
+                  ("purchase", "conversion", True), ("signup", "conversion", True),
+                  ("error", "failure", False)]
+
+SQL_DOMAIN = """
+SELECT e.event_id, e.event_type, d.category, d.is_ok
+FROM events e LEFT JOIN (VALUES ('click', 'engagement', TRUE), ('view', 'engagement', TRUE),
+  ('purchase', 'conversion', TRUE), ('signup', 'conversion', TRUE), ('error', 'failure', FALSE))
+  AS d(event_type, category, is_ok) ON e.event_type = d.event_type
+"""
+
+
+@register("domain_lookup", SQL_DOMAIN, "V16 (broadcast join with a fixed dimension)")
+def q_domain(spark, sf_dir):
+    dim = spark.createDataFrame(EVENT_TYPE_DIM, "event_type string, category string, is_ok boolean")
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type")
+    # the dimension's size is fixed by this file, so broadcasting it is safe
+    return ev.join(F.broadcast(dim), ["event_type"], "left").select(
+        "event_id", "event_type", "category", "is_ok")
