@@ -44,10 +44,10 @@ CATALOG_COLUMNS = (
 
 # ------------------------------------------------------------------ C1 C2
 def parse_manifest(manifest: DataFrame, root: str = "", path_col: str = "path",
-                   layout: str = "reference") -> DataFrame:
+                   layout: str = "nested") -> DataFrame:
     """Key columns from object paths.
 
-    ``reference`` layout: ``year/event/session/type.parquet`` (season-level
+    ``nested`` layout: ``year/event/session/type.parquet`` (season-level
     ``year/x.parquet`` files get NULL event / session; a ``type.parquet``
     folder of part files counts as one object per part).  ``hive`` layout:
     ``data_type=t/year=y/event=e/session=s/part-*.parquet`` as written by

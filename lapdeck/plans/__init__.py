@@ -1,2 +1,2 @@
-"""End-to-end plans: the motorsport pipelines and the query set that re-aims
+"""End-to-end plans: the motorsport jobs and the query set that re-aims
 every operator at the driver's tables (see ``registry``)."""
