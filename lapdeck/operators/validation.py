@@ -162,3 +162,15 @@ def normalise_values(df: DataFrame, upper_cols: Sequence[str] = (),
         if c in df.columns:
             cols[c] = upper_in_domain(c, dom)
     return df.withColumns(cols) if cols else df
+
+
+def raise_on_invalid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """V2 inside the plan: the returned DataFrame fails at execution with the
+    first invalid row's reasons (``raise_error``), without a separate count
+    job -- usable in streaming queries where a driver-side check is not."""
+    v = validate(df, rules)
+    boom = F.when(F.size("errors") > 0,
+                  F.raise_error(F.concat(F.lit("Validation failed: "),
+                                         F.array_join("errors", "; "))))
+    # the filter keeps every valid row; evaluating it on an invalid row raises
+    return v.filter(boom.isNull()).drop("errors", "warnings")

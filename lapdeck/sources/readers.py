@@ -118,3 +118,19 @@ def read_sessions(spark: SparkSession, root: str, data_type: str) -> DataFrame:
     partition columns come from discovery, filters on them prune folders."""
     return normalise_missing(
         spark.read.option("basePath", root).parquet(f"{root.rstrip('/')}/data_type={data_type}"))
+
+
+def dataset_gate(spark: SparkSession, df: DataFrame | None, required: Sequence[str]) -> DataFrame:
+    """S3 for a loaded table (schedule, circuits, session tables): one row
+    (ok, reason, missing_columns, rows) with reason ``missing`` (no table),
+    ``missing columns`` (checked on the schema, no job) or ``empty``."""
+    schema = "ok boolean, reason string, missing_columns array<string>, rows long"
+    if df is None:
+        return spark.createDataFrame([(False, "missing", [], None)], schema)
+    missing = [c for c in required if c not in df.columns]
+    if missing:
+        return spark.createDataFrame([(False, "missing columns", missing, None)], schema)
+    n = df.agg(F.count(F.lit(1)).alias("rows"))
+    reason = F.when(F.col("rows") == 0, F.lit("empty"))
+    return n.select(reason.isNull().alias("ok"), reason.alias("reason"),
+                    F.array().cast("array<string>").alias("missing_columns"), "rows")

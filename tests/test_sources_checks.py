@@ -138,3 +138,13 @@ def test_manifest_diff_and_state(spark):
     st = {r.year: r.files for r in bucket_state(
         old.withColumn("year_part", F.split("path", "/")[0])).collect()}
     assert st == {2022: 2, 2021: 1, None: 4}
+
+
+def test_dataset_gate(spark):
+    df = spark.createDataFrame([(1, "a")], "RoundNumber int, EventName string")
+    assert R.dataset_gate(spark, None, ["x"]).first().reason == "missing"
+    g = R.dataset_gate(spark, df, ["RoundNumber", "Session1"]).first()
+    assert (g.ok, g.reason, g.missing_columns) == (False, "missing columns", ["Session1"])
+    assert R.dataset_gate(spark, df.limit(0), ["RoundNumber"]).first().reason == "empty"
+    g = R.dataset_gate(spark, df, ["RoundNumber"]).first()
+    assert g.ok and g.rows == 1

@@ -152,3 +152,11 @@ def test_validation_is_one_projection(spark):
     df = spark.range(10).withColumn("x", F.col("id") - 5)
     plan = v.validate(df, [v.in_range("x", 0, None)])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "PythonUDF" not in plan
+
+
+def test_raise_on_invalid_in_plan(spark):
+    ok = _df(spark, [_result()])
+    assert v.raise_on_invalid(ok, D.RACE_RESULT_RULES).count() == 1
+    bad = _df(spark, [_result(), _result(DriverNumber="ABC")])
+    with pytest.raises(Exception, match="ABC"):
+        v.raise_on_invalid(bad, D.RACE_RESULT_RULES).collect()
