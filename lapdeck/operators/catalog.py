@@ -98,11 +98,13 @@ def session_files(files: DataFrame, lo: int = 2020, hi: int = 2030,
 
 # ------------------------------------------------------------------ C3-C5
 def presence_flags(df: DataFrame, keys: Sequence[str], type_col: str,
-                   expected: Sequence[str], prefix: str = "has_") -> DataFrame:
-    """One boolean per expected type (``bool_or``) plus ``n_present``."""
+                   expected: Sequence[str], prefix: str = "has_",
+                   extra: Sequence[Column] = ()) -> DataFrame:
+    """One boolean per expected type (``bool_or``) plus ``n_present``;
+    ``extra`` aggregates ride along in the same pass."""
     flags = [F.coalesce(F.bool_or(F.col(type_col) == t), F.lit(False)).alias(f"{prefix}{t}")
              for t in expected]
-    out = df.groupBy(*keys).agg(*flags)
+    out = df.groupBy(*keys).agg(*flags, *extra)
     n = reduce(lambda a, b: a + b, [F.col(f"{prefix}{t}").cast("int") for t in expected])
     return out.withColumn("n_present", n)
 

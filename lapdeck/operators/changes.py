@@ -45,17 +45,19 @@ def manifest_diff(old: DataFrame, new: DataFrame, key: str = "path",
                     *[f"old_{c}" for c in compare], *[f"new_{c}" for c in compare])
 
 
-def diff_counts(diff: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
-    """T2 summary: totals of both snapshots, the reference's total-based
-    new / deleted (max(0, +-delta)) and the exact per-path counts."""
-    n_old = old.select(F.count(F.lit(1))).scalar()
-    n_new = new.select(F.count(F.lit(1))).scalar()
+def diff_counts(diff: DataFrame) -> DataFrame:
+    """T2 summary from the per-path diff (one aggregate, no re-scan of the
+    snapshots): totals of both snapshots, the reference's total-based new /
+    deleted (max(0, +-delta)) and the exact per-path counts."""
     c = F.col("change")
-    agg = diff.agg(F.count_if(c == "new").alias("new_files"),
+    agg = diff.agg(F.count_if(c != "new").alias("old_total"),
+                   F.count_if(c != "deleted").alias("new_total"),
+                   F.count_if(c == "new").alias("new_files"),
                    F.count_if(c == "deleted").alias("deleted_files"),
                    F.count_if(c == "modified").alias("modified_files"))
+    n_old, n_new = F.col("old_total"), F.col("new_total")
     return agg.select(
-        n_old.alias("old_total"), n_new.alias("new_total"),
+        "old_total", "new_total",
         F.greatest(n_new - n_old, F.lit(0)).alias("total_delta_new"),
         F.greatest(n_old - n_new, F.lit(0)).alias("total_delta_deleted"),
         "new_files", "deleted_files", "modified_files",

@@ -80,7 +80,7 @@ FROM d
 @register("manifest_diff_counts", SQL_DIFF_COUNTS, "T2 (summary)")
 def q_diff_counts(spark, sf_dir):
     old, new = _snapshots(spark, sf_dir)
-    return diff_counts(manifest_diff(old, new), old, new)
+    return diff_counts(manifest_diff(old, new))
 
 
 SQL_STATE = """

@@ -137,7 +137,7 @@ def q_precedence(spark, sf_dir):
         "doc_id", F.when(F.col("n_chars") >= 1000, 1).otherwise(0).alias("quality"),
         F.lit(0).alias("toxic"))
     return p.resolve_precedence([(1, labels), (2, heur)], ["doc_id"],
-                                valid=F.col("quality").isNotNull())
+                                valid=F.col("quality").isNotNull(), single_row=True)
 
 
 def _ledger(spark, sf_dir):

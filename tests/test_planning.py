@@ -124,3 +124,13 @@ def test_overview_and_ledger(spark):
     assert skip == {"q", "n"}
     retry = {r.event for r in P.plan_remaining(plan, ledger, ["event", "session"], "retry_failed").collect()}
     assert retry == {"s", "q"}
+
+
+def test_precedence_single_row_fast_path_matches(spark):
+    a = spark.createDataFrame([("a", 1), ("b", None)], "s string, v int")
+    b = spark.createDataFrame([("a", 2), ("b", 2), ("c", 2)], "s string, v int")
+    srcs = [(1, a), (2, b)]
+    slow = {(r.s, r.v, r.source_rank) for r in P.resolve_precedence(srcs, ["s"], F.col("v").isNotNull()).collect()}
+    fast = {(r.s, r.v, r.source_rank) for r in P.resolve_precedence(
+        srcs, ["s"], F.col("v").isNotNull(), single_row=True).collect()}
+    assert slow == fast == {("a", 1, 1), ("b", 2, 2), ("c", 2, 2)}

@@ -132,7 +132,7 @@ def test_manifest_diff_and_state(spark):
     d = {r.path: r.change for r in manifest_diff(old, new).collect()}
     assert d == {"2022/a": "unchanged", "2022/b": "modified", "2021/c": "deleted",
                  "2023/e": "new", "x/d": "unchanged"}
-    c = diff_counts(manifest_diff(old, new), old, new).first()
+    c = diff_counts(manifest_diff(old, new)).first()
     assert (c.total_delta_new, c.new_files, c.deleted_files, c.modified_files, c.changed) == \
         (0, 1, 1, 1, True)
     st = {r.year: r.files for r in bucket_state(
