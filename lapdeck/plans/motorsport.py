@@ -208,3 +208,27 @@ def lap_features_job(spark: SparkSession, root: str, catalog: DataFrame,
         write_sample(feats, f"{out}/lap_features_sample.csv", ["race_date", "driver_number"])
     return JobOutput(feats, features_output_checks(feats), skips,
                      extra={"statistics": dataset_statistics(feats)})
+
+
+def report_tables(validated: DataFrame, n: int = 20) -> dict[str, DataFrame]:
+    """The summary report's tables (no Markdown): overall counts, rows
+    with warnings / errors, per (year, session) totals most frequent first,
+    mean completeness per year, the first ``n`` incomplete and warned rows and
+    how many did not fit."""
+    order = [F.col("year").asc_nulls_last(), F.col("round").asc_nulls_last(), F.col("session")]
+    flagged = validated.filter((F.col("validation_warnings") != "")
+                               | (F.col("validation_errors") != ""))
+    incomplete = validated.filter(~F.col("is_complete"))
+    warned = validated.filter(F.col("validation_warnings") != "")
+    return {
+        "overall": build_statistics(validated),
+        "flagged": flagged,
+        "by_year_session": C.breakdown(validated, ["year", "session"], F.col("is_complete")),
+        "mean_score_by_year": validated.groupBy("year").agg(
+            F.round(F.avg("completeness_score"), 2).alias("mean_completeness")),
+        "first_incomplete": C.first_n(incomplete, n, order),
+        "first_warned": C.first_n(warned, n, order),
+        "overflow": validated.sparkSession.range(1).select(
+            C.overflow_count(incomplete, n).alias("incomplete_not_shown"),
+            C.overflow_count(warned, n).alias("warned_not_shown")),
+    }

@@ -150,3 +150,12 @@ def test_cli_catalog(spark, bucket, tmp_path, capsys):
     main(["catalog", "--root", bucket, "--out", str(tmp_path / "c")])
     assert "validation_passed" in capsys.readouterr().out
     assert spark.read.parquet(str(tmp_path / "c" / "race_catalog.parquet")).count() == 3
+
+
+def test_report_tables(spark, bucket):
+    cat = M.catalog_job(spark, bucket, as_of="2022-04-01 00:00:00").data
+    rep = M.report_tables(cat, n=1)
+    assert rep["overall"].first().total_sessions == 3
+    assert rep["flagged"].count() == 1
+    assert rep["first_warned"].count() == 1 and rep["overflow"].first().warned_not_shown == 0
+    assert rep["by_year_session"].first().session == "Race"

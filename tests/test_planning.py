@@ -134,3 +134,16 @@ def test_precedence_single_row_fast_path_matches(spark):
     fast = {(r.s, r.v, r.source_rank) for r in P.resolve_precedence(
         srcs, ["s"], F.col("v").isNotNull(), single_row=True).collect()}
     assert slow == fast == {("a", 1, 1), ("b", 2, 2), ("c", 2, 2)}
+
+
+def test_season_tag_enabled_filter_and_cache_sizes(spark):
+    df = spark.createDataFrame([("a", "Race"), ("a", "Practice 1"), ("b", "Sprint")],
+                               "event string, session string")
+    assert P.season_tag(df, 2024).first().Season == 2024
+    got = {r.session for r in P.filter_enabled(df, P.enabled_sessions(include_sprint=True)).collect()}
+    assert got == {"Race", "Sprint"}
+    landed = spark.createDataFrame([("a", "laps", 1048576), ("a", "laps", 1048576),
+                                    ("a", "results", 524288)],
+                                   "event string, data_type string, length long")
+    sizes = P.cache_sizes(landed, ["event"]).first().size_mb
+    assert sizes == {"laps": 2.0, "results": 0.5}
