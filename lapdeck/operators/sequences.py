@@ -228,7 +228,9 @@ def sequence_features(df: DataFrame, spec: SequenceSpec = SequenceSpec(),
         derived["lap_time_iqr"] = F.col("__q75") - F.col("__q25")
         derived["seconds_off_best"] = F.col("avg_lap_time") - F.col("best_lap_time")
     if "stints" in fams:
-        derived["num_pit_stops"] = F.col("num_tire_stints") - 1
+        # no stint column at all -> 0 pit stops; a column of NULLs -> -1 (kept)
+        derived["num_pit_stops"] = (F.col("num_tire_stints") - 1 if has(spec.stint)
+                                    else F.lit(0).cast("bigint"))
         derived["avg_stint_length"] = F.try_divide(
             F.col("total_laps").cast("double"),
             F.when(F.col("num_tire_stints") > 0, F.col("num_tire_stints")))

@@ -123,7 +123,7 @@ def test_missing_optional_columns(spark):
     assert r.driver_abbreviation == "#1" and r.team_name == "Unknown"
     assert r.position_changes == 0 and r.net_position_change == 0.0
     assert r.deleted_laps == 0 and r.avg_sector1 is None
-    assert r.num_tire_stints == 0 and r.avg_stint_length is None
+    assert r.num_tire_stints == 0 and r.avg_stint_length is None and r.num_pit_stops == 0
 
 
 def test_family_selection_and_stats(spark):
