@@ -131,3 +131,12 @@ def test_text_durations_parse(spark):
         df.withColumns({"Position": F.lit(1.0), "GridPosition": F.lit(1.0),
                         "Status": F.lit("Finished")}), ResultsSpec()).collect()]
     assert got == [pytest.approx(4827.511), pytest.approx(2.446), None, None]
+
+
+def test_first_per_key_limits_rows_before_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("o"))
+    out = first_per_key(df, ["k"], ["o"])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert sorted(r.o for r in out.collect()) == [0, 1, 2]
