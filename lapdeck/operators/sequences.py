@@ -30,6 +30,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapdeck.functions.columns import struct_order
 
@@ -82,6 +83,10 @@ class SequenceSpec:
     sector_hi: float = 60.0
     position: str | None = "Position"
     chunk: str | None = None
+    # adaptive split: a (group, chunk) cell with more rows than this is cut
+    # into equal ranges of the first order column (sized to this many rows
+    # under uniform density); None = no adaptive split
+    max_chunk_rows: int | None = None
     # None = exact quantiles (pandas' linear interpolation); an int switches
     # to percentile_approx with that accuracy for high-cardinality measures
     quantile_accuracy: int | None = None
@@ -277,13 +282,53 @@ def sequence_features(df: DataFrame, spec: SequenceSpec = SequenceSpec(),
     return out.select(*g, *feats)
 
 
+def _numeric_order(df: DataFrame, c: str) -> Column | None:
+    """A numeric, non-decreasing image of an order column (for range splits)."""
+    t = df.schema[c].dataType
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
+    if isinstance(t, T.DateType):
+        return F.unix_date(F.col(c)).cast("double")
+    if isinstance(t, T.NumericType):
+        return F.col(c).cast("double")
+    return None
+
+
+def _split_hot_cells(rows: DataFrame, spec: SequenceSpec) -> DataFrame:
+    """Cut (group, chunk) cells holding more than ``max_chunk_rows`` rows into
+    sub-ranges of the first order column.
+
+    Cell sizes come from one partial aggregate; only the hot cells are kept
+    (at most rows / max_chunk_rows of them) and joined back through a
+    size-checked broadcast, so the rows are not shuffled for this.  The
+    sub-range index is a non-decreasing function of the order, which is all
+    the carry-over across chunks needs; it is exact whatever the density.
+    """
+    from lapdeck.functions.joins import broadcast_if_small
+    g = list(spec.group)
+    o1 = _numeric_order(rows, spec.order[0])
+    if o1 is None or not spec.max_chunk_rows:
+        return rows.withColumn("__chunk", F.col("__chunk0")).drop("__chunk0")
+    hot = (rows.groupBy(*g, "__chunk0")
+           .agg(F.count(F.lit(1)).alias("__n"), F.min(o1).alias("__lo"), F.max(o1).alias("__hi"))
+           .filter(F.col("__n") > spec.max_chunk_rows))
+    j = _null_safe_join(rows, broadcast_if_small(hot), [*g, "__chunk0"], "left")
+    parts = F.ceil(F.col("__n") / F.lit(spec.max_chunk_rows))
+    width = (F.col("__hi") - F.col("__lo")) / parts
+    sub = (F.when(F.col("__n").isNull() | (width <= 0), F.lit(0))
+           .otherwise(F.least(F.floor((o1 - F.col("__lo")) / width), parts - 1)))
+    return (j.withColumn("__chunk", F.struct(F.col("__chunk0").alias("c"),
+                                             sub.cast("long").alias("s")))
+            .drop("__chunk0", "__n", "__lo", "__hi"))
+
+
 def _windowed(base: DataFrame, spec: SequenceSpec, want_trend: bool,
               want_pos: bool) -> DataFrame:
     """Running state inside each (group, chunk): index among valid rows and
     the previous non-null position."""
     g = list(spec.group)
     chunk = F.col(spec.chunk) if spec.chunk else F.lit(0)
-    rows = base.withColumn("__chunk", chunk)
+    rows = _split_hot_cells(base.withColumn("__chunk0", chunk), spec)
     w = Window.partitionBy(*g, "__chunk").orderBy(*spec.order)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

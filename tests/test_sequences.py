@@ -193,3 +193,30 @@ def test_approximate_quantiles_option(spark):
     for k in exact:
         # approximate quantiles return observed values close to the exact ones
         assert abs(exact[k].median_lap_time - approx[k].median_lap_time) < 5
+
+
+def test_adaptive_split_of_hot_cells(spark):
+    """With no time chunk at all, a 12k-row group is cut into sub-ranges of
+    at most ~1000 rows; features equal the unsplit computation."""
+    pdf = _laps(n_drivers=3, n_laps=4000, seed=5)
+    df = spark.createDataFrame(pdf, SCHEMA)
+    fams = ("counts", "trend", "positions")
+    a = {r.DriverNumber: r for r in sequence_features(df, SequenceSpec(), fams).collect()}
+    b = {r.DriverNumber: r for r in sequence_features(
+        df, SequenceSpec(max_chunk_rows=1000), fams).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k].position_changes == b[k].position_changes
+        assert a[k].net_position_change == b[k].net_position_change
+        assert a[k].lap_time_trend == pytest.approx(b[k].lap_time_trend, rel=1e-9, abs=1e-12)
+
+
+def test_hot_cells_really_split(spark):
+    from lapdeck.operators.sequences import _windowed, valid_predicate
+    pdf = _laps(n_drivers=2, n_laps=3000, seed=9)
+    df = spark.createDataFrame(pdf, SCHEMA)
+    spec = SequenceSpec(max_chunk_rows=1000)
+    rows = _windowed(df.withColumn("__valid", valid_predicate(spec, df.columns)), spec, True, True)
+    sizes = rows.groupBy("DriverNumber", "__chunk").count().collect()
+    assert max(r["count"] for r in sizes) <= 1100
+    assert len([r for r in sizes if r.DriverNumber == "1"]) == 3
