@@ -27,6 +27,11 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy",
         raise ValueError(f"unknown codec {compression}")
     if df.isEmpty():
         return False
+    if partition_by:
+        # REBALANCE: AQE sizes the write tasks per partition value and splits
+        # a hot value over several tasks -- neither one task per session
+        # (skew) nor one file per session per task (small files)
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -29,7 +29,7 @@ def refresh_batch(spark: SparkSession, batch: DataFrame, landing: str, schema: T
     touched = batch.select(*partition_cols).distinct()
     full = spark.read.schema(schema).parquet(landing)
     affected = full.join(touched, list(partition_cols), "left_semi")
-    (rebuild(affected).write.mode("overwrite")
+    (rebuild(affected).hint("rebalance", *partition_cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(target))
 

@@ -148,3 +148,11 @@ def test_dataset_gate(spark):
     assert R.dataset_gate(spark, df.limit(0), ["RoundNumber"]).first().reason == "empty"
     g = R.dataset_gate(spark, df, ["RoundNumber"]).first()
     assert g.ok and g.rows == 1
+
+
+def test_partitioned_write_is_rebalanced(spark, tmp_path):
+    df = spark.range(1000).select((F.col("id") % 2).alias("year"), "id")
+    plan = df.hint("rebalance", "year")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan
+    assert S.write_parquet(df, str(tmp_path / "p"), partition_by=("year",))
+    assert spark.read.parquet(str(tmp_path / "p")).count() == 1000
