@@ -110,6 +110,19 @@ def attach_qualifying(race: DataFrame, quali: DataFrame, spec: ResultsSpec = Res
     return r.join(quali.select(*keys, *qcols), keys, "left")
 
 
+def qualifying_warnings(joined: DataFrame, race_col: str = "race_id",
+                        q_cols: Sequence[str] = ("Q1", "Q2", "Q3"), q1: str = "Q1") -> DataFrame:
+    """R4 warnings per race: no qualifying at all (every Q column NULL for
+    every driver) and the number of drivers without a Q1 time."""
+    present = [c for c in q_cols if c in joined.columns]
+    any_q = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in present]) \
+        if present else F.lit(False)
+    no_q1 = F.col(q1).isNull() if q1 in joined.columns else F.lit(True)
+    return joined.groupBy(race_col).agg(
+        (~F.coalesce(F.bool_or(any_q), F.lit(False))).alias("missing_qualifying"),
+        F.count_if(no_q1).alias("drivers_without_q1"))
+
+
 def outcome_features(df: DataFrame, spec: ResultsSpec = ResultsSpec()) -> DataFrame:
     """Position gain, top-N, finished / dnf, durations in seconds."""
     fin, grid = F.col(spec.finish), F.col(spec.grid)

@@ -144,7 +144,9 @@ def race_results_job(spark: SparkSession, root: str, catalog: DataFrame,
     if out:
         write_parquet(res, f"{out}/race_results.parquet")
         write_csv(res, f"{out}/race_results.csv")
-    return JobOutput(res, results_output_checks(res), skips)
+    from lapdeck.operators.results import qualifying_warnings
+    warnings = qualifying_warnings(res, "race_id", ("q1", "q2", "q3"), "q1")
+    return JobOutput(res, results_output_checks(res), skips, extra={"warnings": warnings})
 
 
 # --------------------------------------------------------------------- laps

@@ -88,6 +88,9 @@ def test_three_jobs(spark, bucket, tmp_path):
     assert all(x.q1 is None for x in r if x.race_id == "2022_R02")
     chk = {c.check: c.ok for c in res.checks.collect()}
     assert chk["rows_per_race"] and chk["duplicate_race_driver"]
+    warn = {w.race_id: (w.missing_qualifying, w.drivers_without_q1)
+            for w in res.extra["warnings"].collect()}
+    assert warn == {"2022_R01": (False, 0), "2022_R02": (True, 20)}
 
     lf = M.lap_features_job(spark, bucket, cat.data, out=str(tmp_path / "laps"))
     f = lf.data.collect()
