@@ -215,7 +215,3 @@ def _one_row_merge(*frames: DataFrame) -> DataFrame:
         for c in fr.columns:
             cols.append(fr.select(c).scalar().alias(c))
     return first.select(*cols)
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -79,6 +79,7 @@ def test_three_jobs(spark, bucket, tmp_path):
     assert cat.checks.first().total_warnings == 1
     stats = M.build_statistics(cat.data).first()
     assert (stats.total_sessions, stats.races, stats.practice_sessions) == (3, 2, 0)
+    assert [(r.year, r.races) for r in M.races_by_year(cat.data).collect()] == [(2022, 2)]
 
     res = M.race_results_job(spark, bucket, cat.data, out=str(tmp_path / "res"))
     r = res.data.collect()

@@ -147,3 +147,13 @@ def test_season_tag_enabled_filter_and_cache_sizes(spark):
                                    "event string, data_type string, length long")
     sizes = P.cache_sizes(landed, ["event"]).first().size_mb
     assert sizes == {"laps": 2.0, "results": 0.5}
+
+
+def test_cluster_conf_and_dimensions(spark):
+    from lapdeck.functions.domains import session_codes
+    from lapdeck.session import cluster_conf
+    conf = cluster_conf(100 * 2**40)  # 100 TiB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100_000  # capped
+    assert int(cluster_conf(10 * 2**30)["spark.sql.shuffle.partitions"]) == 200
+    codes = {r.code: r.session_name for r in session_codes(spark).collect()}
+    assert codes["R"] == "Race" and codes["FP2"] == "Practice 2"
