@@ -239,3 +239,33 @@ def q_seconds(spark, sf_dir):
     d = ev.select("event_id", (F.col("ts") - F.date_trunc("day", "ts")).alias("d"))
     dtype = d.schema["d"].dataType
     return rounded(d.select("event_id", duration_seconds("d", dtype).alias("seconds_into_day")))
+
+
+SQL_ENABLED = """
+SELECT o_orderkey, slot, session FROM (
+  UNPIVOT (SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders)
+  ON o_orderstatus, o_orderpriority INTO NAME slot VALUE session)
+WHERE session IN ('F', '1-URGENT', '2-HIGH')
+"""
+
+
+@register("plan_enabled", SQL_ENABLED, "P5 (enabled-session filter)")
+def q_enabled(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    u = p.schedule_unpivot(o, ["o_orderkey"], ["o_orderstatus", "o_orderpriority"])
+    return p.filter_enabled(u, ["F", "1-URGENT", "2-HIGH"])
+
+
+SQL_CACHE_SIZES = """
+SELECT lang, source AS data_type, round(sum(n_chars) / 1048576.0, 9) AS mb
+FROM documents GROUP BY lang, source
+"""
+
+
+@register("plan_cache_sizes", SQL_CACHE_SIZES, "P7 (size per table, as a map per session)")
+def q_cache_sizes(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(
+        "lang", F.col("source").alias("data_type"), F.col("n_chars").alias("length"))
+    sizes = p.cache_sizes(d, ["lang"])
+    return sizes.select("lang", F.explode("size_mb").alias("data_type", "mb")).withColumn(
+        "mb", F.round("mb", 9))

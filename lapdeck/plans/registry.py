@@ -53,7 +53,7 @@ def load_all() -> dict[str, Query]:
     # import for the side effect of registration
     from lapdeck.plans import q_sequences  # noqa: F401
     for mod in ("q_results", "q_catalog", "q_validation", "q_checks",
-                "q_planning", "q_changes", "q_text"):
+                "q_planning", "q_changes", "q_sources"):
         try:
             __import__(f"lapdeck.plans.{mod}")
         except ModuleNotFoundError as e:  # module not written yet
