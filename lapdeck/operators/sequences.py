@@ -145,12 +145,10 @@ def sequence_features(df: DataFrame, spec: SequenceSpec = SequenceSpec(),
 
     want_trend = "trend" in fams
     want_pos = "positions" in fams and has(spec.position)
-    if want_trend or want_pos:
-        # The only full shuffle of the rows: on (group, chunk) for the running
-        # state.  Aggregates that do not use the window columns are planned
-        # straight from the (column-pruned) scan with map-side partial
-        # aggregation -- Catalyst prunes the window out of those branches.
-        base = _windowed(base, spec, want_trend, want_pos)
+    # The only full shuffle of the rows: on (group, chunk) for the running
+    # state of the ordered features.  All other aggregates read the
+    # (column-pruned) scan directly with map-side partial aggregation.
+    windowed = _windowed(base, spec, want_trend, want_pos) if (want_trend or want_pos) else None
 
     # ---------------------------------------------------------- row level
     aggs: list[Column] = [F.count_if(F.col("__valid")).alias("valid_laps")]
@@ -260,8 +258,8 @@ def sequence_features(df: DataFrame, spec: SequenceSpec = SequenceSpec(),
                                    ("first_stint_avg", "last_stint_avg", "stint_delta")})
 
     # ------------------------------------------- order-dependent (chunked)
-    if want_trend or want_pos:
-        out = _null_safe_join(out, _ordered_features(base, spec, want_trend, want_pos),
+    if windowed is not None:
+        out = _null_safe_join(out, _ordered_features(windowed, spec, want_trend, want_pos),
                               g, "left")
     if "positions" in fams and not has(spec.position):
         out = out.withColumns({"position_changes": F.lit(0).cast("bigint"),
