@@ -163,3 +163,21 @@ def test_report_tables(spark, bucket):
     assert rep["flagged"].count() == 1
     assert rep["first_warned"].count() == 1 and rep["overflow"].first().warned_not_shown == 0
     assert rep["by_year_session"].first().session == "Race"
+
+
+def test_cli_plan_and_laps(spark, bucket, tmp_path, capsys):
+    from lapdeck.__main__ import main
+    sched = spark.createDataFrame(
+        [("Bahrain Grand Prix", "Practice 1", "Qualifying", "Race", None, "")],
+        "EventName string, Session1 string, Session2 string, Session3 string, "
+        "Session4 string, Session5 string")
+    sched.write.parquet(str(tmp_path / "sched"))
+    main(["plan", "--root", bucket, "--schedule", str(tmp_path / "sched"), "--year", "2022",
+          "--out", str(tmp_path / "gaps")])
+    gaps = spark.read.parquet(str(tmp_path / "gaps"))
+    # practice 1 was never landed (7 files), qualifying lacks 4 of 7, race is complete
+    assert gaps.filter("session = 'Practice 1'").count() == 7
+    assert gaps.filter("session = 'Race'").count() == 0
+    main(["laps", "--root", bucket, "--out", str(tmp_path / "laps")])
+    assert "rows_per_race" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "laps" / "lap_features.parquet")).count() == 40
