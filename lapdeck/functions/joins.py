@@ -25,3 +25,41 @@ def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_R
     ensure_checkpoint_dir(small.sparkSession)
     m = small.checkpoint(eager=True)
     return F.broadcast(m) if m.count() <= max_rows else m
+
+
+def join_back(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "left",
+              count_col: str | None = None, hot_rows: int = 10_000_000,
+              salts: int = 64) -> DataFrame:
+    """Join per-key ``facts`` back to the ``rows`` they were aggregated from.
+
+    A key holding a third of all rows would otherwise meet its single fact
+    row in ONE join task (AQE cannot split it: the facts side is an
+    aggregate, not a plain shuffle).  ``facts`` carries the key's row count
+    in ``count_col``; keys with more than ``hot_rows`` rows are salted: their
+    rows get a deterministic salt in [0, salts) (a hash of the row, stable
+    across task retries) and their fact row is replicated once per salt, so
+    the hot key is spread over ``salts`` tasks.  The hot-key list is
+    broadcast: there are fewer than rows / hot_rows hot keys.  Keys are
+    compared null-safely (NULL keys match each other, like groupBy).
+    """
+    r_cols = [c for c in facts.columns if c not in keys]
+    if count_col is None:
+        f = facts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *r_cols)
+        cond = [rows[k].eqNullSafe(f[f"__k_{k}"]) for k in keys]
+        return rows.join(f, cond, how).drop(*[f"__k_{k}" for k in keys])
+    hot = (facts.filter(F.col(count_col) > hot_rows)
+           .select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__hot")))
+    hcond = [rows[k].eqNullSafe(hot[f"__h_{k}"]) for k in keys]
+    tagged = rows.join(F.broadcast(hot), hcond, "left").drop(*[f"__h_{k}" for k in keys])
+    salt = F.when(F.coalesce(F.col("__hot"), F.lit(False)),
+                  F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)))
+    tagged = tagged.withColumn("__salt", F.coalesce(salt, F.lit(0).cast("bigint"))).drop("__hot")
+    spread = F.when(F.col(count_col) > hot_rows,
+                    F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))) \
+        .otherwise(F.array(F.lit(0).cast("bigint")))
+    f = facts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *r_cols,
+                     F.explode(spread).alias("__fsalt"))
+    cond = [tagged[k].eqNullSafe(f[f"__k_{k}"]) for k in keys] + \
+        [tagged["__salt"] == f["__fsalt"]]
+    return (tagged.join(f, cond, how)
+            .drop("__salt", "__fsalt", *[f"__k_{k}" for k in keys]))

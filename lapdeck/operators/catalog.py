@@ -179,22 +179,27 @@ def add_season_progress(df: DataFrame, year: str = "year", rnd: str = "round",
 # ---------------------------------------------------------------- C16-C20
 def flag_missing_partner(df: DataFrame, group: Sequence[str], kind_col: str,
                          need: str, partner: str, order: Sequence[str],
-                         message: str, out: str = "validation_warnings") -> DataFrame:
+                         message: str, out: str = "validation_warnings",
+                         hot_rows: int = 10_000_000) -> DataFrame:
     """In each group that has a ``need`` row but no ``partner`` row,
     append ``message`` to the FIRST ``need`` row (by ``order``).
 
     Per-group facts come from one aggregate (partner present? first need
-    row's order key) joined back on the group keys."""
+    row's order key, row count) joined back on the group keys; groups with
+    more than ``hot_rows`` rows are salted in the join-back (see
+    :func:`lapdeck.functions.joins.join_back`)."""
+    from lapdeck.functions.joins import join_back
     k = F.col(kind_col)
     ordc = struct_order(list(order))
     facts = (df.groupBy(*group)
              .agg(F.coalesce(F.bool_or(k == partner), F.lit(False)).alias("__has_partner"),
-                  F.min(F.when(k == need, ordc)).alias("__first_need")))
-    j = df.join(facts, list(group), "left")
+                  F.min(F.when(k == need, ordc)).alias("__first_need"),
+                  F.count(F.lit(1)).alias("__rows")))
+    j = join_back(df, facts, list(group), "left", count_col="__rows", hot_rows=hot_rows)
     hit = (k == need) & ~F.col("__has_partner") & (ordc == F.col("__first_need"))
     prev = F.col(out) if out in df.columns else F.lit("")
     return (j.withColumn(out, F.concat(prev, F.when(hit, F.lit(message)).otherwise(F.lit(""))))
-            .drop("__has_partner", "__first_need"))
+            .drop("__has_partner", "__first_need", "__rows"))
 
 
 def flag_missing_parts(df: DataFrame, parts: Sequence[tuple[str, str]],
@@ -224,13 +229,16 @@ def flag_when(df: DataFrame, cond: Column, message: str,
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str], message: str = MSG_DUPLICATE,
                     passed: str = "validation_passed",
-                    out: str = "validation_errors") -> DataFrame:
+                    out: str = "validation_errors", hot_rows: int = 10_000_000) -> DataFrame:
     """C20: every copy of a duplicated key gets passed=False and the message.
     Duplicate keys come from a pre-aggregated ``groupBy().count()`` joined
-    back (skew-safe), not a ``count(*) over (partition by keys)`` window."""
+    back, salting keys with more than ``hot_rows`` copies, not from a
+    ``count(*) over (partition by keys)`` window (one task per key).  NULL
+    keys count as equal, as in ``groupBy``."""
+    from lapdeck.functions.joins import join_back
     dups = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-            .filter(F.col("__n") > 1).select(*keys, F.lit(True).alias("__dup")))
-    j = df.join(dups, list(keys), "left")
+            .filter(F.col("__n") > 1).withColumn("__dup", F.lit(True)))
+    j = join_back(df, dups, list(keys), "left", count_col="__n", hot_rows=hot_rows).drop("__n")
     is_dup = F.coalesce(F.col("__dup"), F.lit(False))
     prev_ok = F.col(passed) if passed in df.columns else F.lit(True)
     prev = F.col(out) if out in df.columns else F.lit("")

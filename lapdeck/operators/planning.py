@@ -183,8 +183,11 @@ def resolve_precedence(sources: Sequence[tuple[int, DataFrame]], keys: Sequence[
         cols = [c for c in ok.columns if c not in keys]
         best = ok.groupBy(*keys).agg(F.min_by(F.struct(*cols), F.col("source_rank")).alias("__w"))
         return best.select(*keys, *[F.col(f"__w.{c}").alias(c) for c in cols])
-    winners = ok.groupBy(*keys).agg(F.min("source_rank").alias("source_rank"))
-    return ok.join(winners, [*keys, "source_rank"], "left_semi")
+    from lapdeck.functions.joins import join_back
+    winners = ok.groupBy(*keys).agg(F.min("source_rank").alias("source_rank"),
+                                    F.count(F.lit(1)).alias("__rows"))
+    # semi-join back; a key with very many rows is salted (see join_back)
+    return join_back(ok, winners, [*keys, "source_rank"], "left_semi", count_col="__rows")
 
 
 # -------------------------------------------------------------------- P10

@@ -18,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,7 +29,11 @@ def refresh_batch(spark: SparkSession, batch: DataFrame, landing: str, schema: T
     """One micro-batch: rebuild the partitions the batch touched."""
     touched = batch.select(*partition_cols).distinct()
     full = spark.read.schema(schema).parquet(landing)
-    affected = full.join(touched, list(partition_cols), "left_semi")
+    # broadcast the touched partition list so a hot partition is not read by
+    # one join task.  Its size is bounded by the batch's new files (one
+    # partition value per file at most), a list the file source already
+    # holds on the driver; ``max_files_per_trigger`` caps it further.
+    affected = full.join(F.broadcast(touched), list(partition_cols), "left_semi")
     (rebuild(affected).hint("rebalance", *partition_cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(target))
