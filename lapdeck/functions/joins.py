@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapdeck.session import ensure_checkpoint_dir
 
@@ -51,8 +52,11 @@ def join_back(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "le
            .select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__hot")))
     hcond = [rows[k].eqNullSafe(hot[f"__h_{k}"]) for k in keys]
     tagged = rows.join(F.broadcast(hot), hcond, "left").drop(*[f"__h_{k}" for k in keys])
+    # maps cannot be hashed; every other column feeds the row hash
+    hashable = [F.col(f.name) for f in rows.schema.fields
+                if not isinstance(f.dataType, T.MapType)] or [F.lit(0)]
     salt = F.when(F.coalesce(F.col("__hot"), F.lit(False)),
-                  F.pmod(F.xxhash64(*[F.col(c) for c in rows.columns]), F.lit(salts)))
+                  F.pmod(F.xxhash64(*hashable), F.lit(salts)))
     tagged = tagged.withColumn("__salt", F.coalesce(salt, F.lit(0).cast("bigint"))).drop("__hot")
     spread = F.when(F.col(count_col) > hot_rows,
                     F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))) \

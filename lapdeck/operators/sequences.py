@@ -13,8 +13,10 @@ laps.  Here the same features come out of a handful of aggregates:
   *chunks* -- a monotone bucket of the order key within the group (e.g. the
   day of a timestamp).  Windows run per (group, chunk); each chunk is
   summarised; a small window over the chunk summaries carries the running
-  state (prefix sums, last position) across chunk boundaries.  For bounded
-  groups (laps of one race) ``chunk=None`` puts each group in one chunk;
+  state (prefix sums, last position) across chunk boundaries.  A cell that
+  is still hot (``max_chunk_rows``) is cut into equal ranges of the first
+  order column.  For bounded groups (laps of one race) ``chunk=None`` puts
+  each group in one chunk;
 * stint means are a two-level aggregate (group, stint) -> group.
 
 All features are exact.  Percentiles use Spark's exact ``percentile``

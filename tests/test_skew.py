@@ -73,3 +73,10 @@ def test_null_keys_are_one_group(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "k int, v int")
     got = sorted((r.v, r.validation_passed) for r in flag_duplicates(df, ["k"]).collect())
     assert got == [(1, False), (2, False), (3, True)]
+
+
+def test_join_back_with_map_column(spark, no_broadcast):
+    rows = _hot(spark, 3000).withColumn("m", F.create_map(F.lit("a"), F.col("ts")))
+    facts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    out = join_back(rows, facts, ["k"], count_col="n", hot_rows=100, salts=4)
+    assert out.count() == 3000 and out.filter(F.col("n").isNull()).count() == 0
