@@ -4,7 +4,8 @@ The catalog is an aggregate over a *file manifest* (one row per landed file:
 year, event, session, data_type, size, mtime) plus two left joins (session
 metadata, result quality).  Per-key flags use aggregate + join instead of
 whole-partition windows: a key holding a third of all rows is then
-pre-aggregated map-side, and AQE can split it in the join.  Global values
+pre-aggregated map-side, and the join back salts it over many tasks
+(:func:`lapdeck.functions.joins.join_back`).  Global values
 (earliest date) are scalar subqueries, not unpartitioned windows or cross
 joins.
 """
