@@ -34,7 +34,9 @@ def write_parquet(df: DataFrame, path: str, compression: str = "snappy",
         df = df.hint("rebalance", *partition_by)
     w = df.write.mode(mode).option("compression", compression)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # replace only the partitions present in ``df`` whatever the session
+        # default is (static overwrite would wipe every other session)
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
     return True
 

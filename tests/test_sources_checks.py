@@ -156,3 +156,18 @@ def test_partitioned_write_is_rebalanced(spark, tmp_path):
     assert "RebalancePartitions" in plan
     assert S.write_parquet(df, str(tmp_path / "p"), partition_by=("year",))
     assert spark.read.parquet(str(tmp_path / "p")).count() == 1000
+
+
+def test_session_rewrite_is_dynamic_even_if_session_says_static(spark, tmp_path):
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        df = spark.createDataFrame([(2022, "a", "Race", 1), (2022, "b", "Race", 2)],
+                                   "year int, event string, session string, v int")
+        root = str(tmp_path / "dyn")
+        S.write_sessions({"t": df}, root)
+        S.write_sessions({"t": df.filter("event = 'b'").withColumn("v", F.lit(9))}, root)
+        got = sorted((r.event, r.v) for r in R.read_sessions(spark, root, "t").collect())
+        assert got == [("a", 1), ("b", 9)]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
