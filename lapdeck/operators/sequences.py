@@ -152,6 +152,17 @@ def sequence_features(df: DataFrame, spec: SequenceSpec = SequenceSpec(),
     # (column-pruned) scan directly with map-side partial aggregation.
     windowed = _windowed(base, spec, want_trend, want_pos) if (want_trend or want_pos) else None
 
+    if windowed is not None and fams <= {"trend", "positions"}:
+        # everything requested comes from the chunk summaries: one pass
+        out = _ordered_features(windowed, spec, want_trend, want_pos, standalone=True)
+        if "positions" in fams:
+            out = out.withColumns({
+                "position_changes": F.coalesce(F.col("position_changes"),
+                                               F.lit(0).cast("bigint")),
+                "net_position_change": F.coalesce(F.col("net_position_change"),
+                                                  F.lit(0.0))})
+        return out.select(*g, *[c for c in FEATURE_ORDER if c in out.columns])
+
     # ---------------------------------------------------------- row level
     aggs: list[Column] = [F.count_if(F.col("__valid")).alias("valid_laps")]
     if "counts" in fams:
@@ -342,13 +353,23 @@ def _windowed(base: DataFrame, spec: SequenceSpec, want_trend: bool,
 
 
 def _ordered_features(rows: DataFrame, spec: SequenceSpec, want_trend: bool,
-                      want_pos: bool) -> DataFrame:
+                      want_pos: bool, standalone: bool = False) -> DataFrame:
     """Trend slope (L8), position changes (L12) and net change (L13) from
-    per-chunk summaries of the windowed rows."""
+    per-chunk summaries of the windowed rows.
+
+    ``standalone`` also derives the minimum-support filter (L3) and the
+    position statistics (L11) from the chunk summaries, so a request for
+    only these families needs no second pass over the input."""
     g = list(spec.group)
     ordc = struct_order(list(spec.order))
 
     chunk_aggs: list[Column] = []
+    if standalone:
+        chunk_aggs.append(F.count_if(F.col("__valid")).alias("__nv"))
+        if want_pos:
+            p0 = F.col(spec.position)
+            chunk_aggs += [F.sum(p0).alias("__psum"), F.min(p0).alias("__pmin"),
+                           F.max(p0).alias("__pmax")]
     if want_trend:
         vt = F.when(F.col("__valid"), F.col(spec.measure))
         chunk_aggs += [
@@ -379,6 +400,11 @@ def _ordered_features(rows: DataFrame, spec: SequenceSpec, want_trend: bool,
     chunks = chunks.withColumns(carry)
 
     final: list[Column] = []
+    if standalone:
+        final.append(F.sum("__nv").alias("__NV"))
+        if want_pos:
+            final += [F.sum("__psum").alias("__PSUM"), F.min("__pmin").alias("best_position"),
+                      F.max("__pmax").alias("worst_position")]
     if want_trend:
         final += [F.sum("__m").alias("__M"), F.sum("__sy").alias("__SY"),
                   F.sum(F.col("__sxy") + F.col("__off") * F.col("__sy")).alias("__SXY")]
@@ -404,8 +430,16 @@ def _ordered_features(rows: DataFrame, spec: SequenceSpec, want_trend: bool,
         outc["net_position_change"] = F.when(
             F.col("__np") >= 2, (F.col("__fp") - F.col("__lp")).cast("double")
         ).otherwise(F.lit(0.0))
+    if standalone and want_pos:
+        outc["avg_position"] = F.try_divide(F.col("__PSUM").cast("double"),
+                                            F.col("__np").cast("double"))
+        outc["best_position"] = F.col("best_position").cast("double")
+        outc["worst_position"] = F.col("worst_position").cast("double")
     res = res.withColumns(outc)
-    keep = [c for c in ("lap_time_trend", "tire_deg_per_lap", "position_changes",
+    if standalone:
+        res = res.filter(F.col("__NV") >= spec.min_valid)
+    keep = [c for c in ("avg_position", "best_position", "worst_position",
+                        "lap_time_trend", "tire_deg_per_lap", "position_changes",
                         "net_position_change") if c in res.columns]
     return res.select(*g, *keep)
 

@@ -220,3 +220,16 @@ def test_hot_cells_really_split(spark):
     sizes = rows.groupBy("DriverNumber", "__chunk").count().collect()
     assert max(r["count"] for r in sizes) <= 1100
     assert len([r for r in sizes if r.DriverNumber == "1"]) == 3
+
+
+def test_single_pass_ordered_families_equal_full_path(spark):
+    """trend / positions alone are computed from the chunk summaries only;
+    the values equal those of the full feature row."""
+    df = spark.createDataFrame(_laps(n_drivers=5, n_laps=60, seed=11), SCHEMA)
+    full = {r.DriverNumber: r for r in sequence_features(df).collect()}
+    for fams in (("trend",), ("positions",), ("trend", "positions")):
+        part = {r.DriverNumber: r.asDict() for r in sequence_features(df, families=fams).collect()}
+        assert part.keys() == full.keys()
+        for k, row in part.items():
+            for c, val in row.items():
+                assert _close(val, full[k][c]), (fams, k, c, val, full[k][c])
