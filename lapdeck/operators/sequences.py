@@ -163,6 +163,9 @@ def sequence_features(df: DataFrame, spec: SequenceSpec = SequenceSpec(),
                                                   F.lit(0.0))})
         return out.select(*g, *[c for c in FEATURE_ORDER if c in out.columns])
 
+    if "stints" in fams and fams <= {"stints", "counts"} and has(spec.stint):
+        return _stints_and_counts(base, spec, fams, has(spec.deleted))
+
     # ---------------------------------------------------------- row level
     aggs: list[Column] = [F.count_if(F.col("__valid")).alias("valid_laps")]
     if "counts" in fams:
@@ -293,6 +296,43 @@ def sequence_features(df: DataFrame, spec: SequenceSpec = SequenceSpec(),
     return out.select(*g, *feats)
 
 
+def _stints_and_counts(base: DataFrame, spec: SequenceSpec, fams: set[str],
+                       has_deleted: bool) -> DataFrame:
+    """L5 + L9 + L14 in ONE two-level aggregate: per (group, stint) partial
+    sums, then per group -- no second scan and no join."""
+    g = list(spec.group)
+    st = F.col(spec.stint)
+    valid = F.col("__valid")
+    deleted = F.coalesce(F.col(spec.deleted), F.lit(False)) if has_deleted else F.lit(False)
+    per = base.groupBy(*g, spec.stint).agg(
+        F.count(F.lit(1)).alias("__rows"), F.count_if(valid).alias("__nv"),
+        F.count_if(deleted).alias("__nd"),
+        F.sum(F.when(valid, F.col(spec.measure))).alias("__sv"))
+    has_avg = F.col(spec.stint).isNotNull() & (F.col("__nv") > 0)
+    stint_avg = F.col("__sv") / F.col("__nv")
+    out = (per.groupBy(*g).agg(
+        F.sum("__rows").alias("total_laps"), F.sum("__nv").alias("valid_laps"),
+        F.sum("__nd").alias("deleted_laps"),
+        F.count(st).alias("num_tire_stints"),
+        F.min_by(stint_avg, F.when(has_avg, st)).alias("first_stint_avg"),
+        F.max_by(stint_avg, F.when(has_avg, st)).alias("last_stint_avg"))
+        .filter(F.col("valid_laps") >= spec.min_valid))
+    out = out.withColumns({
+        "stint_delta": F.col("last_stint_avg") - F.col("first_stint_avg"),
+        "num_pit_stops": F.col("num_tire_stints") - 1,
+        "avg_stint_length": F.try_divide(F.col("total_laps").cast("double"),
+                                         F.when(F.col("num_tire_stints") > 0,
+                                                F.col("num_tire_stints"))),
+        "invalid_laps": F.col("total_laps") - F.col("valid_laps"),
+        "valid_lap_pct": F.try_divide(F.col("valid_laps").cast("double"), F.col("total_laps")),
+    })
+    keep = [c for c in FEATURE_ORDER if c in out.columns]
+    if "counts" not in fams:
+        keep = [c for c in keep if c not in ("total_laps", "valid_laps", "deleted_laps",
+                                             "invalid_laps", "valid_lap_pct")]
+    return out.select(*g, *keep)
+
+
 def _numeric_order(df: DataFrame, c: str) -> Column | None:
     """A numeric, non-decreasing image of an order column (for range splits)."""
     t = df.schema[c].dataType

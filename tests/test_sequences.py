@@ -222,12 +222,13 @@ def test_hot_cells_really_split(spark):
     assert len([r for r in sizes if r.DriverNumber == "1"]) == 3
 
 
-def test_single_pass_ordered_families_equal_full_path(spark):
-    """trend / positions alone are computed from the chunk summaries only;
-    the values equal those of the full feature row."""
+def test_single_pass_family_plans_equal_full_path(spark):
+    """trend / positions alone come from the chunk summaries only, stints /
+    counts from one two-level aggregate; values equal the full feature row."""
     df = spark.createDataFrame(_laps(n_drivers=5, n_laps=60, seed=11), SCHEMA)
     full = {r.DriverNumber: r for r in sequence_features(df).collect()}
-    for fams in (("trend",), ("positions",), ("trend", "positions")):
+    for fams in (("trend",), ("positions",), ("trend", "positions"), ("stints",),
+                 ("stints", "counts")):
         part = {r.DriverNumber: r.asDict() for r in sequence_features(df, families=fams).collect()}
         assert part.keys() == full.keys()
         for k, row in part.items():
