@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapdeck.llm import warc
+from lapdeck.llm import mixing, warc
 from lapdeck.plans.registry import table
 from lapdeck.session import scratch_path
 
@@ -42,3 +42,9 @@ def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     done = warc.archive(pages, scratch_path(spark, "warc"))
     return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
