@@ -22,6 +22,7 @@ CRLF = "\r\n"
 # Fixed values of the WARC 1.1 format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_END = "\r\n\r\n"
+DECISION = ("kind", "to_id", "to_page", "to_uri", "to_date")
 
 RECORD_SCHEMA = ("file string, offset long, record_type string, record_id string, page_id string, target_uri string, "
                  "date string, refers_to_id string, refers_to_page string, payload_bytes long, payload_digest string, "
@@ -82,6 +83,29 @@ def _parse(blob: bytes) -> Iterator[tuple[int, dict[str, str], bytes, bytes]]:
         at = blob.find(b"WARC/", stop)
 
 
+def _records(file: str, blob: bytes, with_payload: bool) -> list[tuple]:
+    """Rows of ``RECORD_SCHEMA`` of one archive."""
+    rows = []
+    for at, f, head, payload in _parse(blob):
+        said = f.get("WARC-Payload-Digest", "").removeprefix("sha1:")
+        if f["WARC-Type"] == "response":
+            size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        else:
+            size, digest = int(dict(x.split(": ", 1) for x in head.decode().split(CRLF)[1:])["Content-Length"]), said
+        rows.append((file, at, f["WARC-Type"], f.get("WARC-Record-ID"), f.get("X-Page-ID"), f.get("WARC-Target-URI"),
+                     f.get("WARC-Date"), f.get("WARC-Refers-To"), f.get("X-Refers-To-Page-ID"), size, digest,
+                     digest == said, payload if with_payload else None))
+    return rows
+
+
+def _columns(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+
+
 def read_archives(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
     """One row per record (``RECORD_SCHEMA``).  A response's length and digest are those of the bytes
     read, and ``intact`` says that its header agrees; a revisit's come from its headers."""
@@ -89,21 +113,10 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for file, blob in zip(batch["path"], batch["content"], strict=True):
-                rows = []
-                for at, f, head, payload in _parse(blob):
-                    said = f.get("WARC-Payload-Digest", "").removeprefix("sha1:")
-                    if f["WARC-Type"] == "response":
-                        size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                    else:
-                        size, digest = int(dict(x.split(": ", 1) for x in head.decode().split(CRLF)[1:])["Content-Length"]), said
-                    rows.append((file, at, f["WARC-Type"], f.get("WARC-Record-ID"), f.get("X-Page-ID"), f.get("WARC-Target-URI"),
-                                 f.get("WARC-Date"), f.get("WARC-Refers-To"), f.get("X-Refers-To-Page-ID"), size, digest,
-                                 digest == said, payload if with_payload else None))
-                if rows:
-                    yield pd.DataFrame(rows, columns=[x.split()[0] for x in RECORD_SCHEMA.split(", ")])
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content").mapInPandas(parse, RECORD_SCHEMA)
+                if rows := _records(file, blob, with_payload):
+                    yield pd.DataFrame(rows, columns=_columns(RECORD_SCHEMA))
+
+    return _files(spark, path).mapInPandas(parse, RECORD_SCHEMA)
 
 
 def resolve_revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -124,9 +137,24 @@ def resolve_revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
                     *[F.when(~own, F.col(f"first.{c}")).alias(k) for k, c in to.items()])
 
 
-def write_deduplicated(records: DataFrame, decisions: DataFrame, path: str, max_records: int = 2_000) -> None:
-    """Archives in which revisits carry fresh headers and no payload; responses stay whole."""
-    r = records.join(decisions, ["file", "offset"])
+def write_deduplicated(spark: SparkSession, raw: str, decisions: DataFrame, path: str, max_records: int = 2_000) -> None:
+    """Rewrite the archives of ``raw`` so that revisits carry fresh headers and no payload; responses stay whole.
+
+    The decisions of one archive (bounded by its ``max_records``) are joined to the archive as it
+    is stored, so compressed files are moved, not payloads.
+    """
+    per_file = decisions.groupBy("file").agg(F.collect_list(F.struct("offset", *DECISION)).alias("decided"))
+    schema = f"{RECORD_SCHEMA}, kind string, to_id string, to_page long, to_uri string, to_date string"
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file, blob, decided in zip(batch["path"], batch["content"], batch["decided"], strict=True):
+                by_offset = {d["offset"]: [d[c] for c in DECISION] for d in decided}
+                if rows := [(*r, *by_offset[r[1]]) for r in _records(file, blob, True)]:
+                    yield pd.DataFrame(rows, columns=_columns(schema)).astype({"to_page": "Int64"})
+
+    files = _files(spark, raw)
+    r = files.join(per_file, files["path"] == per_file["file"]).select("path", "content", "decided").mapInPandas(parse, schema)
     revisit = F.col("kind") == "revisit"
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
                     F.col("payload_bytes").cast("string"), F.lit(RECORD_END))
@@ -153,7 +181,7 @@ def archive(pages: DataFrame, folder: str, min_bytes: int = 0, **write) -> DataF
     raw, dedup = f"{folder}/raw", f"{folder}/dedup"
     write_responses(pages, raw, **write)
     decisions = materialise(resolve_revisits(read_archives(spark, raw), min_bytes), "warc-decisions")
-    write_deduplicated(read_archives(spark, raw, with_payload=True), decisions, dedup)
+    write_deduplicated(spark, raw, decisions, dedup)
     return read_archives(spark, dedup).select(
         F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to_page").cast("long").alias("refers_to"), "intact", "target_uri")
