@@ -52,3 +52,10 @@ def salted_min(rows: DataFrame, key: str, order: list[str], spread_by: str, salt
                                   F.collect_list("__salt").alias("__salts"))
     facts = facts.withColumn("__salt", F.explode("__salts")).drop("__salts")
     return salted.join(facts, [key, "__salt"]).drop("__salt")
+
+
+def small_batches(spark, rows: int = 1_000) -> None:
+    """Send at most ``rows`` texts to a Python worker at once, so that very long texts fit in its memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= rows:
+        spark.conf.set(key, str(rows))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapdeck.llm import mixing, urls, warc
+from lapdeck.llm import mixing, quality, urls, warc
 from lapdeck.plans.registry import table
 from lapdeck.session import scratch_path
 
@@ -53,3 +53,8 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
