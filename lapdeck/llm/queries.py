@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapdeck.llm import mixing, quality, urls, warc
+from lapdeck.llm import hamming, mixing, quality, urls, warc
 from lapdeck.plans.registry import table
 from lapdeck.session import scratch_path
 
@@ -58,3 +58,17 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"))
+
+
+@query("""
+WITH e AS (SELECT vec_id, embedding FROM embeddings WHERE embedding IS NOT NULL),
+d AS (SELECT q.vec_id AS query_id, r.vec_id AS neighbor_id,
+             list_sum(list_transform(list_zip(q.embedding, r.embedding), lambda p: ((p[1] >= 0) <> (p[2] >= 0))::INT))::INT AS distance
+      FROM e q, e r WHERE q.vec_id % 100 = 0),
+k AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id)::INT AS rank FROM d)
+SELECT query_id, neighbor_id, distance, rank FROM k WHERE rank <= 10
+""")
+def op6_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    codes = e.select(F.col("vec_id").alias("id"), hamming.sign_code(F.col("embedding")).alias("code"))
+    return hamming.search(codes.filter(F.col("id") % 100 == 0), codes, k=10)
