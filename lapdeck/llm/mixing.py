@@ -55,7 +55,7 @@ def _ordinal(col: Column, buckets: int) -> Column:
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
              weights: tuple[float, ...] = WEIGHTS, share: float = 1.0, max_epochs: int = 3, seed: int = 17,
-             rows_per_bucket: int = 20_000) -> DataFrame:
+             rows_per_bucket: int = 1_000) -> DataFrame:
     """One row per document: the id, source, size, source_size, target, first_finish and copies.
 
     ``copies`` is how often the mix reads the document (0 to ``max_epochs``).  Null or wordless
