@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapdeck.llm import hamming, mixing, quality, urls, warc
+from lapdeck.llm import hamming, langid, mixing, quality, urls, warc
 from lapdeck.plans.registry import table
 from lapdeck.session import scratch_path
 
@@ -72,3 +72,8 @@ def op6_hamming_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     codes = e.select(F.col("vec_id").alias("id"), hamming.sign_code(F.col("embedding")).alias("code"))
     return hamming.search(codes.filter(F.col("id") % 100 == 0), codes, k=10)
+
+
+@query()
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
