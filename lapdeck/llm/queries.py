@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapdeck.llm import hamming, langid, mixing, quality, repeats, urls, warc
+from lapdeck.llm import hamming, langid, mixing, quality, repeats, secret_scan, urls, warc
 from lapdeck.plans.registry import table
 from lapdeck.session import scratch_path
 
@@ -83,3 +83,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = repeats.repeated_spans(table(spark, sf_dir, "documents"))
     return spans.select("doc_id", "start", "end", "n_words", "kept_ids")
+
+
+@query()
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents")).drop("row")
