@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapdeck.llm import hamming, langid, mixing, quality, repeats, secret_scan, urls, warc
+from lapdeck.llm import hamming, langid, mixing, near, quality, repeats, secret_scan, urls, warc
 from lapdeck.plans.registry import table
 from lapdeck.session import scratch_path
 
@@ -88,3 +88,8 @@ def op10_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents")).drop("row")
+
+
+@query()
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
