@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapdeck.llm import hamming, langid, mixing, near, quality, repeats, secret_scan, urls, warc
+from lapdeck.llm import hamming, langid, leaks, mixing, near, quality, repeats, secret_scan, urls, warc
 from lapdeck.plans.registry import table
 from lapdeck.session import scratch_path
 
@@ -93,3 +93,9 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query()
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("row")
