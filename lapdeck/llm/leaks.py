@@ -30,7 +30,7 @@ from lapdeck.llm.common import materialise, small_batches
 BITS = 18  # hashed terms
 PASSAGE = 64
 SCALES = (16, 32, 64)
-STEP = 100_000
+STEP = 4_096
 SLICE = 128  # terms per row of the sketch
 SENTENCE = re.compile(r"[.!?]+[\x20\x09-\x0D]+|\n")
 
@@ -90,7 +90,8 @@ def _passages(batch: pa.RecordBatch, terms: Terms) -> Iterator[tuple[np.ndarray,
 
 
 def term_weights(docs: DataFrame, terms: Terms, text_col: str) -> np.ndarray:
-    """Inverse document frequency of the terms over all passages of all texts."""
+    """Squared inverse document frequency of the terms over all passages of all texts (squared, so that the many
+    fairly common words of a language don't fill the latent space)."""
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +110,18 @@ def term_weights(docs: DataFrame, terms: Terms, text_col: str) -> np.ndarray:
     df = np.zeros(terms.size + 1)
     for r in counts.collect():  # one row per term of the block
         df[r["term"]] = r["df"]
-    return np.log((df[-1] + 1.0) / (df[:-1] + 1.0)) + 0.1
+    return (np.log((df[-1] + 1.0) / (df[:-1] + 1.0)) + 0.1) ** 2
+
+
+def add_products(z: np.ndarray, start: np.ndarray, passage: np.ndarray, term: np.ndarray) -> None:
+    """z += C^T (C start) for the counts C of these passages; one entry per word."""
+    at = np.flatnonzero(np.concatenate([[True], np.diff(passage) != 0]))
+    y = np.add.reduceat(start[term], at, axis=0)  # passages x width
+    which = np.repeat(np.arange(len(at)), np.diff(np.concatenate([at, [len(term)]])))
+    order = np.argsort(term, kind="stable")
+    term, which = term[order], which[order]
+    at = np.flatnonzero(np.concatenate([[True], np.diff(term) != 0]))
+    z[term[at]] += np.add.reduceat(y[which], at, axis=0)
 
 
 def latent_space(docs: DataFrame, terms: Terms, idf: np.ndarray, text_col: str, rank: int, extra: int = 8, seed: int = 1) -> np.ndarray:
@@ -121,17 +133,12 @@ def latent_space(docs: DataFrame, terms: Terms, idf: np.ndarray, text_col: str,
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, weight, s, w = shared.value
         start = (np.random.default_rng(s).standard_normal((t.size, w)) * weight[:, None]).astype(np.float32)
-        z = np.zeros((w, t.size))
+        z = np.zeros((t.size, w))
         for batch in batches:
             for passage, term, _ in _passages(batch, t):
-                if not len(term):
-                    continue
-                at = np.flatnonzero(np.concatenate([[True], np.diff(passage) != 0]))
-                y = np.add.reduceat(start[term], at, axis=0)  # passages x width
-                which = np.repeat(np.arange(len(at)), np.diff(np.concatenate([at, [len(term)]])))
-                for j in range(w):
-                    z[j] += np.bincount(term, y[which, j], t.size)
-        z = (z * weight).T
+                if len(term):
+                    add_products(z, start, passage, term)
+        z *= weight[:, None]
         slices = range(0, t.size, SLICE)
         yield pa.RecordBatch.from_pydict({"slice": pa.array(list(slices), pa.int32()),
                                           "z": pa.array([z[i:i + SLICE].tobytes() for i in slices], pa.binary())})
@@ -167,8 +174,8 @@ def common_words(pattern: dict[int, int], size: int, region: list[int]) -> int:
 
 
 class Searcher:
-    def __init__(self, q: Queries, terms: Terms, vectors: np.ndarray, cosine: float, similar: float, paraphrase: float):
-        self.q, self.terms, self.limits = q, terms, (cosine, similar, paraphrase)
+    def __init__(self, q: Queries, terms: Terms, vectors: np.ndarray, cosine: float, similar: float, paraphrase: float, known: float = 0.5):
+        self.q, self.terms, self.limits = q, terms, (cosine, similar, paraphrase, known)
         self.vectors = np.concatenate([vectors, np.zeros((1, vectors.shape[1]))]).astype(np.float32)
         p = np.array([self.vectors[terms.of(w)].sum(0) for w in q.words])
         self.norm = np.linalg.norm(p, axis=1)
@@ -176,6 +183,10 @@ class Searcher:
         scale = np.argmin(np.abs(np.log(size)[:, None] - np.log(SCALES)[None, :]), axis=1)
         self.at = [np.flatnonzero((scale == k) & (self.norm > 0)) for k in range(len(SCALES))]
         self.matrix = [(p[at] / self.norm[at][:, None]).T.astype(np.float32) for at in self.at]
+        self.size = size
+        self.member = np.zeros(1 << 23, bool)  # (item, term) by hash; a collision only means one more check
+        for k, w in enumerate(q.words):
+            self.member[self._slot(np.full(len(w), k), terms.of(w))] = True
         self.pattern = []
         for w in q.words:
             places: dict[int, int] = {}
@@ -191,27 +202,52 @@ class Searcher:
         h = tp.word_hashes(w)
         term, first = self.terms.of(h), w.first
         hits: dict[tuple[int, int], list[tuple[int, int, float]]] = {}
-        longest = max(SCALES)
-        for a in range(0, len(h), STEP):
-            b = min(len(h), a + STEP + longest)
-            sums = np.zeros((b - a + 1, self.vectors.shape[1]))
-            np.cumsum(self.vectors[term[a:b]], axis=0, dtype=np.float64, out=sums[1:])
-            for scale, which, matrix in zip(SCALES, self.at, self.matrix, strict=True):
-                if not len(which):
+        known = np.concatenate([[0], np.cumsum(term < self.terms.size)])
+        terms_only = term[term < self.terms.size]
+        place = np.arange(len(h)) - first[w.text]
+        windows = []
+        for scale in SCALES:
+            start = np.flatnonzero(place % (scale // 4) == 0)
+            stop = np.minimum(start + scale, first[w.text[start] + 1])
+            # a window cut short by the text's end says nothing that the one before does not
+            whole = (stop - start >= scale * 3 // 4) | (place[start] == 0)
+            # words that no item has are in no common subsequence
+            whole &= known[stop] - known[start] >= np.maximum(1, self.limits[3] * (stop - start))
+            windows.append((start[whole], stop[whole]))
+        for a in range(0, len(terms_only), STEP):
+            sums = np.zeros((min(len(terms_only) - a, STEP + max(SCALES)) + 1, self.vectors.shape[1]), np.float32)
+            np.cumsum(self.vectors[terms_only[a:a + len(sums) - 1]], axis=0, out=sums[1:])
+            for (starts, stops), which, matrix in zip(windows, self.at, self.matrix, strict=True):
+                i, j = np.searchsorted(known[starts], (a, a + STEP))
+                if i == j or not len(which):
                     continue
-                start = np.arange(a, min(a + STEP, len(h)))
-                start = start[(start - first[w.text[start]]) % (scale // 4) == 0]
-                stop = np.minimum(start + scale, first[w.text[start] + 1])
-                # a window cut short by the text's end says nothing that the one before does not
-                whole = (stop - start >= scale * 3 // 4) | (start == first[w.text[start]])
-                start, stop = start[whole], stop[whole]
-                x = (sums[stop - a] - sums[start - a]).astype(np.float32)
+                start, stop = starts[i:j], stops[i:j]
+                x = sums[known[stop] - a] - sums[known[start] - a]
                 norm = np.sqrt(np.einsum("ij,ij->i", x, x))
-                cos = (x @ matrix) / np.maximum(norm, 1e-6)[:, None]
-                for i, j in zip(*np.nonzero(cos >= self.limits[0]), strict=True):
-                    hits.setdefault((int(w.text[start[i]]), int(which[j])), []).append((int(start[i]), int(stop[i]), float(cos[i, j])))
+                cos = x @ matrix
+                close = np.nonzero(cos >= np.maximum(norm, 1e-6)[:, None] * np.float32(self.limits[0]))
+                if not len(close[0]):
+                    continue
+                cos = cos[close] / norm[close[0]]
+                start, stop, item = start[close[0]], stop[close[0]], which[close[1]]
+                enough = self._shares(term, start, stop, item)
+                for a0, b0, k, c in zip(*(x[enough].tolist() for x in (start, stop, item, cos)), strict=True):
+                    hits.setdefault((int(w.text[a0]), k), []).append((a0, b0, c))
         return self._verify(w, h, first, hits)
 
+    def _shares(self, term: np.ndarray, start: np.ndarray, stop: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Whether half the words of the window, or of the item if it is shorter, can be words of the item."""
+        size = stop - start
+        at = np.cumsum(size) - size
+        place = np.arange(size.sum()) - np.repeat(at, size) + np.repeat(start, size)
+        has = self.member[self._slot(np.repeat(item, size), term[place])] & (term[place] < self.terms.size)
+        both = np.add.reduceat(has, at) if len(at) else at
+        return both >= self.limits[3] * np.minimum(size, self.size[item])
+
+    @staticmethod
+    def _slot(item: np.ndarray, term: np.ndarray) -> np.ndarray:
+        return (tp.scramble(item.astype(tp.U) << tp.U(32) | term.astype(tp.U)) >> tp.U(64 - 23)).astype(np.int64)
+
     def _verify(self, w: tp.Words, h: np.ndarray, first: np.ndarray, hits: dict) -> list[tuple]:
         found = []
         chars = np.concatenate([[0], np.cumsum((w.data & 0xC0) != 0x80)])
@@ -235,7 +271,7 @@ class Searcher:
                 if n:
                     tail = {x: p >> (size - n) for x, p in self.pattern[k].items() if p >> (size - n)}
                     answer = common_words(tail, n, region) / n
-                _, similar, paraphrase = self.limits
+                _, similar, paraphrase, _ = self.limits
                 leak = lcs >= (similar if size >= 12 else 0.999) or (size >= 12 and n >= 4 and lcs >= paraphrase and answer >= 0.9)
                 if leak and (best is None or lcs > best[3]):
                     inside = [i for i, y in enumerate(known) if y]
@@ -248,7 +284,7 @@ class Searcher:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-               item_text: str = "text", rank: int = 48, cosine: float = 0.6, similar: float = 0.75, paraphrase: float = 0.6, block: int = 4_000) -> DataFrame:
+               item_text: str = "text", rank: int = 64, cosine: float = 0.7, similar: float = 0.75, paraphrase: float = 0.6, block: int = 4_000) -> DataFrame:
     """One row per document and benchmark item that it contains: id, row (hash of the text), item_id, start, end, cosine, lcs, answer.
 
     A passage of an item is contained when ``similar`` of its words are a common subsequence with a region of the text (all of them
