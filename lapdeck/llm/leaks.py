@@ -180,8 +180,9 @@ class Searcher:
         p = np.array([self.vectors[terms.of(w)].sum(0) for w in q.words])
         self.norm = np.linalg.norm(p, axis=1)
         size = np.array([len(w) for w in q.words])
-        scale = np.argmin(np.abs(np.log(size)[:, None] - np.log(SCALES)[None, :]), axis=1)
-        self.at = [np.flatnonzero((scale == k) & (self.norm > 0)) for k in range(len(SCALES))]
+        # a passage is sought at its nearest scale, and below it at one that lies inside it wherever windows begin
+        nearest = np.argmin(np.abs(np.log(size)[:, None] - np.log(SCALES)[None, :]), axis=1)
+        self.at = [np.flatnonzero(((nearest == k) | (scale <= size) & (2.2 * scale >= size)) & (self.norm > 0)) for k, scale in enumerate(SCALES)]
         self.matrix = [(p[at] / self.norm[at][:, None]).T.astype(np.float32) for at in self.at]
         self.size = size
         self.member = np.zeros(1 << 23, bool)  # (item, term) by hash; a collision only means one more check
