@@ -118,6 +118,22 @@ def _cut(queued: DataFrame, share: float, max_epochs: int, rows: int, rows_per_b
     return float(end) if end is not None else last["range"] * width - 1e-12
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The documents that the mix reads, with their own columns and size, source_size, target, first_finish, copies and taken (words).
+
+    Rows that repeat an id, a source and a size get the plan of one of them.
+    """
+    key = (F.col(id_col), F.col(source_col), word_count(F.col(text_col)))
+    plan = mix_plan(docs, id_col, text_col, source_col, **how).filter("copies > 0")
+    first = F.min(F.struct("first_finish", "source_size", "target", "copies")).alias("plan")
+    plan = materialise(plan.groupBy(F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), F.col("size").alias("__size")).agg(first), "mix-plan")
+    rows = docs.withColumn("__words", key[2])
+    same = rows[id_col].eqNullSafe(F.col("__id")) & rows[source_col].eqNullSafe(F.col("__source")) & (F.col("__words") == F.col("__size"))
+    out = rows.join(plan, same).withColumns({
+        "size": F.col("__size"), **{c: F.col(f"plan.{c}") for c in ("source_size", "target", "first_finish", "copies")}})
+    return out.withColumn("taken", F.col("size") * F.col("copies")).drop("__id", "__source", "__size", "__words", "plan")
+
+
 def mixed_stream(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", partitions: int = 200) -> DataFrame:
     """The mix itself: every copy of every document read, range-sorted by virtual finish time.  Needs unique ids."""
     copies = plan.filter("copies > 0").select(id_col, "first_finish", (F.col("source_size") / F.col("target")).alias("lap"),
