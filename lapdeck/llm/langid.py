@@ -143,16 +143,14 @@ def sample_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  chars: int = 60_000, per_language: int = 200, seed: int = 3) -> dict[str, str]:
     """At most ``chars`` characters of labelled text per language: whole documents, those of smallest id hash first,
     of at most ``per_language`` documents.  A document that does not fit is passed over."""
-    at = F.xxhash64(F.lit(seed), F.col(id_col))
-    fits = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).filter(F.length(text_col).between(1, chars))
+    rows = docs.select(F.col(lang_col).alias("lang"), F.xxhash64(F.lit(seed), F.col(id_col)).alias("at"), F.col(id_col).alias("id"),
+                       F.col(text_col).alias("text"))
+    fits = rows.filter("lang is not null and text is not null").filter(F.length("text").between(1, chars))
     order = Window.partitionBy("lang").orderBy("at", "id")
-    chosen = (fits.select(F.col(lang_col).alias("lang"), at.alias("at"), F.col(id_col).alias("id"))
-              .withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language))
-    edge = materialise(chosen.groupBy("lang").agg(F.max("at").alias("edge")), "langid-edge")
-    e = edge.select(F.col("lang").alias("e_lang"), "edge")
-    rows = fits.join(e, F.col(lang_col) == F.col("e_lang")).filter(at <= F.col("edge"))
-    rows = rows.select(F.col(lang_col).alias("lang"), at.alias("at"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = rows.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language)
+    first = fits.select("lang", "at", "id").withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language)
+    edge = materialise(first.groupBy("lang").agg(F.max("at").alias("edge")), "langid-edge")
+    chosen = fits.join(edge, "lang").filter(F.col("at") <= F.col("edge")).drop("edge")
+    rows = chosen.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_language)
     used = F.sum(F.length("text") + 1).over(Window.partitionBy("lang").orderBy("at", "id", "k"))
     picked = rows.withColumn("used", used).filter(F.col("used") <= chars).select("lang", "at", "id", "k", "text")
     out: dict[str, list[str]] = {}

@@ -42,7 +42,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
     before, everything = by_ratio.rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy()
     left = F.sum("source_size").over(everything) * share - F.coalesce(F.sum("cap").over(before), F.lit(0.0))
     weight_left = F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
-    s = s.withColumn("level", left / weight_left).withColumn("open", F.col("level") <= F.col("ratio"))
+    s = s.withColumn("level", F.try_divide(left, weight_left)).withColumn("open", F.col("level") <= F.col("ratio"))
     level = F.min(F.when(F.col("open"), F.struct("ratio", "source", "level"))).over(everything)["level"]
     return s.select("source", "source_size", F.least(F.col("cap"), F.coalesce(level * F.col("weight"), F.col("cap"))).alias("target"))
 
@@ -82,7 +82,7 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     queued = queued.join(c, queued["source"].eqNullSafe(c["c_source"]) & (queued["bucket"] == c["c_bucket"])).drop("c_source", "c_bucket")
     first = F.when((F.col("target") > 0) & (F.col("size") > 0), (F.col("prior") + F.col("inner")) / F.col("target"))
     queued = materialise(queued.select("id", "source", "size", "source_size", "target", first.alias("first_finish"),
-                                       (F.col("source_size") / F.col("target")).alias("lap")), "mix-queue")
+                                       F.try_divide("source_size", "target").alias("lap")), "mix-queue")
 
     cut = _cut(queued, share, max_epochs, rows, rows_per_bucket)
     read = [F.coalesce((F.col("first_finish") + e * F.col("lap") <= F.lit(cut)).cast("int"), F.lit(0)) for e in range(max_epochs)]
@@ -119,24 +119,25 @@ def _cut(queued: DataFrame, share: float, max_epochs: int, rows: int, rows_per_b
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The documents that the mix reads, with their own columns and size, source_size, target, first_finish, copies and taken (words).
+    """The documents that the mix reads, with their own columns and size, source_size, target, first_finish, copies and taken
+    (words); columns of these names are replaced.
 
     Rows that repeat an id, a source and a size get the plan of one of them.
     """
     key = (F.col(id_col), F.col(source_col), word_count(F.col(text_col)))
     plan = mix_plan(docs, id_col, text_col, source_col, **how).filter("copies > 0")
-    first = F.min(F.struct("first_finish", "source_size", "target", "copies")).alias("plan")
+    first = F.min(F.struct("first_finish", "source_size", "target", "copies")).alias("__plan")
     plan = materialise(plan.groupBy(F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), F.col("size").alias("__size")).agg(first), "mix-plan")
     rows = docs.withColumn("__words", key[2])
     same = rows[id_col].eqNullSafe(F.col("__id")) & rows[source_col].eqNullSafe(F.col("__source")) & (F.col("__words") == F.col("__size"))
     out = rows.join(plan, same).withColumns({
-        "size": F.col("__size"), **{c: F.col(f"plan.{c}") for c in ("source_size", "target", "first_finish", "copies")}})
-    return out.withColumn("taken", F.col("size") * F.col("copies")).drop("__id", "__source", "__size", "__words", "plan")
+        "size": F.col("__size"), **{c: F.col(f"__plan.{c}") for c in ("source_size", "target", "first_finish", "copies")}})
+    return out.withColumn("taken", F.col("size") * F.col("copies")).drop("__id", "__source", "__size", "__words", "__plan")
 
 
 def mixed_stream(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", partitions: int = 200) -> DataFrame:
     """The mix itself: every copy of every document read, range-sorted by virtual finish time.  Needs unique ids."""
-    copies = plan.filter("copies > 0").select(id_col, "first_finish", (F.col("source_size") / F.col("target")).alias("lap"),
+    copies = plan.filter("copies > 0").select(id_col, "first_finish", F.try_divide("source_size", "target").alias("lap"),
                                               F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("epoch"))
     copies = copies.select(id_col, "epoch", (F.col("first_finish") + F.col("epoch") * F.col("lap")).alias("virtual_finish"))
     return (docs.join(copies, id_col).repartitionByRange(partitions, "virtual_finish", id_col)

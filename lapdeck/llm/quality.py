@@ -204,9 +204,11 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     voted = materialise(docs.select(at.alias("at"), vote_column(text).alias("votes")), "quality-votes")
     counts = {r["votes"]: r["count"] for r in voted.groupBy("votes").count().collect()}  # at most 3 ** labellers rows
     posterior = fit_labellers(counts)
+    if not posterior:
+        return Scorer(posterior, np.zeros(DIM), -3.0)
     edge = voted.orderBy("at").limit(sample_docs).agg(F.max("at")).first()[0]
-    p = F.create_map(*[F.lit(x) for kv in posterior.items() for x in kv]) if posterior else F.create_map()
-    sample = docs.filter(at <= F.lit(edge)).limit(2 * sample_docs) if edge is not None else docs.limit(0)
+    p = F.create_map(*[F.lit(x) for kv in posterior.items() for x in kv])
+    sample = docs.filter(at <= F.lit(edge)).limit(2 * sample_docs)
     rows = sample.select(_features(text).alias("x"), vote_column(text).alias("votes"))
     rows = materialise(rows.withColumn("p", F.try_element_at(p, "votes")), "quality-sample")
     rows = rows.select(array_to_vector("x").alias("features"), (F.col("p") >= 0.5).cast("double").alias("label"),

@@ -103,14 +103,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 25) -> DataFrame:
-    """``docs`` with the repeated spans taken out of the text, and ``removed``: the spans' offsets in the original text."""
+    """``docs`` with the repeated spans taken out of the text, and ``removed``: the spans' offsets in the original text
+    (a column of that name is replaced)."""
     spans = repeated_spans(docs, id_col, text_col, min_words)
     per_row = materialise(spans.groupBy(F.col(id_col).alias("__id"), F.col("row").alias("__row"))
-                          .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("removed")), "unit-spans")
+                          .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__cut")), "unit-spans")
     joined = docs.join(per_row, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__row")), "left")
-    removed = F.coalesce("removed", F.array().cast("array<struct<start:int,end:int>>"))
-    ends = F.concat(removed["start"], F.array(F.length(text_col)))
-    begins = F.concat(F.array(F.lit(0)), removed["end"])
+    begins = F.concat(F.array(F.lit(0)), F.col("__cut")["end"])
+    ends = F.concat(F.col("__cut")["start"], F.array(F.length(text_col)))
     kept = F.zip_with(begins, ends, lambda a, b: F.substring(F.col(text_col), a + 1, b - a))
-    text = F.when(F.size(removed) == 0, F.col(text_col)).otherwise(F.array_join(kept, ""))
-    return joined.withColumns({"removed": removed, text_col: text}).drop("__id", "__row")
+    text = F.when(F.col("__cut").isNull(), F.col(text_col)).otherwise(F.array_join(kept, ""))
+    none = F.array().cast("array<struct<start:int,end:int>>")
+    return joined.withColumns({"removed": F.coalesce("__cut", none), text_col: text}).drop("__id", "__row", "__cut")
