@@ -12,10 +12,12 @@ Plan (every step moves packed arrays, not one row per shingle):
 2. per hash range: shingles that only one set has can match nothing and stop here; the
    others go on to their set, with their document frequency;
 3. per set: shared shingles in global order, l, prefix.  A set whose prefix has only own shingles is finished;
-4. equal sets become one node.  Of the nodes that share a prefix shingle first each is verified against a
-   representative, and components are formed; then all candidate pairs between different
-   components are counted and verified.  Pairs within a component need no check, so a large
-   group of near copies costs as many pairs as it has members, not their square.
+4. equal sets become one node.  Nodes joined by prefix shingles that more than ``HOT_LIST`` nodes have
+   form families; a family is cut into blocks, and a task counts the overlaps of two blocks in
+   memory and returns the links that join components, at most one per node.  For all other pairs, first
+   each node is verified against a representative of its lists and components are formed; then
+   the candidate pairs between components are counted and verified.  So neither a large group of
+   near copies nor a shingle that many texts have makes a row per pair.
 
 Overlaps are counted on shared shingles only, which is exact: a shingle that one set has is in no intersection.
 """
@@ -39,6 +41,8 @@ U = np.uint64
 KEEP = 48  # bits of a shingle hash that travel, besides those that its range implies
 CHARS_PER_RANGE = 2_000_000
 FLUSH = 400_000
+HOT_LIST = 256
+FAMILY_BLOCK = 512
 
 
 def _bits(chars: int) -> int:
@@ -247,44 +251,114 @@ def _with_components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return materialise(both.select("node", F.coalesce("comp", "node").alias("comp")), "near-comps")
 
 
-def link_components(nodes: DataFrame, per_cent: int = 75) -> DataFrame:
+def _spanning_links(n: np.ndarray, sets: list[np.ndarray], split: int, per_cent: int) -> list[tuple[int, int]]:
+    """Similar pairs among ``sets`` (numbers), as few as keep their components; with ``split``, only pairs across it."""
+    size = len(sets)
+    owner = np.repeat(np.arange(size), [len(s) for s in sets])
+    token = np.concatenate(sets)
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    at = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
+    both = np.zeros((size, size), np.int32)
+    for a, b in zip(at[:-1], at[1:], strict=True):
+        if b - a > 1:
+            m = owner[a:b]
+            both[m[:, None], m[None, :]] += 1
+    similar = 100 * both >= per_cent * (n[:, None] + n[None, :] - both)
+    similar[np.tril_indices(size)] = False
+    if split:
+        similar[:split, :split] = similar[split:, split:] = False
+    parent = list(range(size))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    links = []
+    for i, j in zip(*(x.tolist() for x in np.nonzero(similar)), strict=True):
+        a, b = root(i), root(j)
+        if a != b:
+            parent[b] = a
+            links.append((i, j))
+    return links
+
+
+def _family_links(families: DataFrame, nodes: DataFrame, per_cent: int) -> DataFrame:
+    """(a, b): links that join the components within each family (node, family), all of its pairs considered."""
+    size = materialise(families.groupBy("family").agg(F.ceil(F.count("*") / FAMILY_BLOCK).cast("int").alias("blocks")), "near-families")
+    rows = families.join(size, "family").join(nodes.select("node", "n", "shared"), "node")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    rows = rows.select("family", "node", "n", "shared", own.alias("own"), other.alias("other"))
+    key = ["family", "i", "j"]
+    rows = rows.select("family", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "n", "shared")
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, *key).sortWithinPartitions(*key, "own", "node")
+
+    def links(rows: list[dict]) -> pa.RecordBatch:
+        split = 0 if rows[0]["i"] == rows[0]["j"] else sum(r["own"] == rows[0]["i"] for r in rows)
+        found = _spanning_links(np.array([r["n"] for r in rows]), [np.frombuffer(r["shared"], U) for r in rows], split, per_cent)
+        return pa.RecordBatch.from_pydict({"a": pa.array([rows[i]["node"] for i, _ in found], pa.int64()),
+                                           "b": pa.array([rows[j]["node"] for _, j in found], pa.int64())})
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, block = None, []
+        for batch in batches:
+            for r in batch.to_pylist():
+                if (r["family"], r["i"], r["j"]) != at and block:
+                    yield links(block)
+                    block = []
+                at = (r["family"], r["i"], r["j"])
+                block.append(r)
+        if block:
+            yield links(block)
+
+    return rows.mapInArrow(step, "a long, b long")
+
+
+def link_components(nodes: DataFrame, per_cent: int = 75, hot_list: int = HOT_LIST) -> DataFrame:
     """(node, comp) from nodes (node, n, depth, prefix, shared): the components of all links."""
     postings = materialise(nodes.select("node", "n", "depth", F.explode("prefix").alias("token")), "near-postings")
 
+    # pairs that share a hot prefix shingle are in one family, and all pairs of a family are considered there
+    counts = postings.groupBy("token").agg(F.count("*").alias("size"), F.min("node").alias("least"))
+    hot = materialise(counts.filter(F.col("size") > hot_list).select("token", "least"), "near-hot")
+    joined = postings.join(hot, "token").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    families = materialise(connected_components(joined).select("node", F.col("comp").alias("family")), "near-families")
+    links = materialise(_family_links(families, nodes, per_cent), "near-links")
+    comps = _with_components(nodes, links)
+    others = postings.join(hot.select("token"), "token", "left_anti").join(families, "node", "left")
+    postings = materialise(others, "near-postings")
+
     def lists(rows: DataFrame, by: str) -> DataFrame:
         """Shingles whose nodes have two or more values of ``by``; with the smallest."""
         facts = rows.groupBy("token").agg(F.min(by).alias("least"), F.max(by).alias("most"))
         return materialise(facts.filter("least <> most").select("token", "least"), "near-lists")
 
     # each node against the representative that it shares most shingles with
-    stars = postings.join(lists(postings, "node"), "token").filter("node <> least")
+    tagged = materialise(postings.join(comps, "node"), "near-tagged")
+    stars = tagged.join(lists(tagged, "comp"), "token").filter("comp <> least")
     stars = stars.groupBy(F.col("node").alias("a"), F.col("least").alias("b")).count()
     best = Window.partitionBy("a").orderBy(F.desc("count"), "b")
     pairs = materialise(stars.withColumn("k", F.row_number().over(best)).filter("k = 1").select("a", "b"), "near-stars")
-    links = materialise(_verified(pairs, nodes, per_cent), "near-links")
-    comps = _with_components(nodes, links)
-
-    # then the representatives of components, shingle by shingle
-    tagged = materialise(postings.join(comps, "node"), "near-tagged")
-    first = tagged.join(lists(tagged, "comp"), "token").filter("comp <> least")
-    again = first.select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
-    again = materialise(again.join(pairs, ["a", "b"], "left_anti"), "near-again")
-    links = materialise(links.unionByName(_verified(again, nodes, per_cent)), "near-links")
-    tried = pairs.unionByName(again)
+    links = materialise(links.unionByName(_verified(pairs, nodes, per_cent)), "near-links")
     comps = _with_components(nodes, links)
 
-    # then every candidate pair between components
+    # then every candidate pair between components; a pair of one family has been considered
     tagged = materialise(postings.join(comps, "node"), "near-tagged")
     mixed = materialise(tagged.join(lists(tagged, "comp").select("token"), "token", "left_semi"), "near-mixed")
-    x, y = (mixed.select("token", F.col("node").alias(k), F.col("comp").alias(f"c_{k}"), F.col("n").alias(f"n_{k}"), F.col("depth").alias(f"d_{k}")) for k in "ab")
-    cross = x.join(y, "token").filter((F.col("c_a") > F.col("c_b")) & (100 * F.least("n_a", "n_b") >= per_cent * F.greatest("n_a", "n_b")))
-    cross = cross.groupBy("a", "b", F.least("d_a", "d_b").alias("need")).count().filter(F.col("count") >= F.col("need")).select("a", "b")
-    cross = materialise(cross.join(tried, ["a", "b"], "left_anti"), "near-cross")
+    x, y = (mixed.select("token", *[F.col(c).alias(f"{c}_{k}") for c in ("node", "comp", "n", "depth", "family")]) for k in "ab")
+    apart = (F.col("comp_a") > F.col("comp_b")) & ~F.coalesce(F.col("family_a") == F.col("family_b"), F.lit(False))
+    cross = x.join(y, "token").filter(apart & (100 * F.least("n_a", "n_b") >= per_cent * F.greatest("n_a", "n_b")))
+    cross = cross.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.least("depth_a", "depth_b").alias("need")).count()
+    cross = cross.filter(F.col("count") >= F.col("need")).select("a", "b")
+    cross = materialise(cross.join(pairs, ["a", "b"], "left_anti"), "near-cross")
     links = materialise(links.unionByName(_verified(cross, nodes, per_cent)), "near-links")
     return _with_components(nodes, links)
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, per_cent: int = 75, **cost) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, per_cent: int = 75, hot_list: int = HOT_LIST, **cost) -> DataFrame:
     """One row per document: id, row (hash of the text), n_shingles, component_id, is_first.
 
     Two texts link when 100 * intersection >= ``per_cent`` * union of their sets; ``component_id`` is the smallest id that links reach
@@ -300,7 +374,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = materialise(full.groupBy(*digest).agg(F.min("sid").alias("node"), F.min(rank).alias("first")), "near-groups")
     nodes = full.filter("depth is not null").join(groups.select(F.col("node").alias("sid")), "sid", "left_semi")
     nodes = materialise(nodes.select(F.col("sid").alias("node"), "n", "depth", "prefix", "shared"), "near-nodes")
-    comps = link_components(nodes, per_cent)
+    comps = link_components(nodes, per_cent, hot_list)
     grouped = groups.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     grouped = materialise(grouped, "near-grouped")
     heads = materialise(grouped.groupBy("comp").agg(F.min("first").alias("head")), "near-heads")

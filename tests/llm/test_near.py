@@ -63,9 +63,10 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("deepest", [1, 4])
-def test_equals_brute_force(make_docs, rows, deepest):
-    got = near.near_groups(make_docs(rows), deepest=deepest).collect()
+@pytest.mark.parametrize(("deepest", "hot_list", "block"), [(1, 256, 512), (4, 256, 512), (4, 3, 5), (2, 1, 512)])
+def test_equals_brute_force(make_docs, rows, monkeypatch, deepest, hot_list, block):
+    monkeypatch.setattr(near, "FAMILY_BLOCK", block)
+    got = near.near_groups(make_docs(rows), deepest=deepest, hot_list=hot_list).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
 
 
