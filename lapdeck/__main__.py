@@ -25,6 +25,9 @@ def main(argv: list[str] | None = None) -> None:
             p.add_argument("--first-n", type=int, default=None)
         if name in ("catalog", "refresh"):
             p.add_argument("--as-of", default=None, help="freshness reference time")
+        if name in ("catalog", "results", "laps"):
+            p.add_argument("--first-year", type=int, default=2020)
+            p.add_argument("--last-year", type=int, default=None)
         if name == "plan":
             p.add_argument("--schedule", required=True, help="season schedule parquet")
             p.add_argument("--year", type=int, required=True)
@@ -40,10 +43,10 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(a.master, app_name=f"lapdeck-{a.cmd}")
 
     if a.cmd == "catalog":
-        job = M.catalog_job(spark, a.root, as_of=a.as_of, out=a.out)
+        job = M.catalog_job(spark, a.root, a.as_of, a.out, a.first_year, a.last_year)
         print(json.dumps(job.checks.first().asDict()))
     elif a.cmd in ("results", "laps"):
-        cat = M.catalog_job(spark, a.root).data
+        cat = M.catalog_job(spark, a.root, None, None, a.first_year, a.last_year).data
         fn = M.race_results_job if a.cmd == "results" else M.lap_features_job
         job = fn(spark, a.root, cat, first_n=a.first_n, out=a.out)
         for r in job.checks.collect():
@@ -57,7 +60,8 @@ def main(argv: list[str] | None = None) -> None:
         if a.out:
             gaps.write.mode("overwrite").parquet(a.out)
         else:
-            gaps.show(50, truncate=False)
+            for r in gaps.toLocalIterator():
+                print(json.dumps(r.asDict(), default=str))
     elif a.cmd == "refresh":
         from lapdeck.streaming.refresh import start_catalog_refresh
         q = start_catalog_refresh(spark, a.root, a.out, a.checkpoint, as_of=a.as_of,

@@ -1,69 +1,22 @@
-"""Join helpers with an explicit size guard."""
+"""Join per-key facts back to the rows they were aggregated from."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from lapdeck.session import ensure_checkpoint_dir
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+def join_back(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "left", salts: int = 64) -> DataFrame:
+    """Join one-row-per-key ``facts`` to ``rows`` on ``keys`` (null-safe: NULL keys match each other, like groupBy).
 
-
-def broadcast_if_small(small: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``small`` only after proving its size.
-
-    The side is written once to the shared checkpoint folder (a reliable
-    checkpoint: computed once, survives executor loss, lineage cut), its rows
-    are counted from that copy, and it is marked for broadcast only when it
-    has at most ``max_rows`` rows.  A larger side is returned unmarked, so the
-    join stays a shuffle join whose skewed partitions AQE splits.
-
-    Use it where a shuffle join would be skewed by construction, e.g. joining
-    per-year statistics back to every row (all rows of a year share one key).
-    """
-    ensure_checkpoint_dir(small.sparkSession)
-    m = small.checkpoint(eager=True)
-    return F.broadcast(m) if m.count() <= max_rows else m
-
-
-def join_back(rows: DataFrame, facts: DataFrame, keys: list[str], how: str = "left",
-              count_col: str | None = None, hot_rows: int = 10_000_000,
-              salts: int = 64) -> DataFrame:
-    """Join per-key ``facts`` back to the ``rows`` they were aggregated from.
-
-    A key holding a third of all rows would otherwise meet its single fact
-    row in ONE join task (AQE cannot split it: the facts side is an
-    aggregate, not a plain shuffle).  ``facts`` carries the key's row count
-    in ``count_col``; keys with more than ``hot_rows`` rows are salted: their
-    rows get a deterministic salt in [0, salts) (a hash of the row, stable
-    across task retries) and their fact row is replicated once per salt, so
-    the hot key is spread over ``salts`` tasks.  The hot-key list is
-    broadcast: there are fewer than rows / hot_rows hot keys.  Keys are
-    compared null-safely (NULL keys match each other, like groupBy).
+    A key may hold a third of all rows, and AQE cannot split a join whose one side is an aggregate.  So
+    every row gets a salt from its place (partition and row number: equal rows differ, a retried scan task
+    gives the same), and the facts go to the salts that their key was seen with.  There are never more such facts than
+    rows, and a join task gets at most a ``salts``-th of any key.  One plan for every size: no row-count switch.
     """
-    r_cols = [c for c in facts.columns if c not in keys]
-    if count_col is None:
-        f = facts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *r_cols)
-        cond = [rows[k].eqNullSafe(f[f"__k_{k}"]) for k in keys]
-        return rows.join(f, cond, how).drop(*[f"__k_{k}" for k in keys])
-    hot = (facts.filter(F.col(count_col) > hot_rows)
-           .select(*[F.col(k).alias(f"__h_{k}") for k in keys], F.lit(True).alias("__hot")))
-    hcond = [rows[k].eqNullSafe(hot[f"__h_{k}"]) for k in keys]
-    tagged = rows.join(F.broadcast(hot), hcond, "left").drop(*[f"__h_{k}" for k in keys])
-    # maps cannot be hashed; every other column feeds the row hash
-    hashable = [F.col(f.name) for f in rows.schema.fields
-                if not isinstance(f.dataType, T.MapType)] or [F.lit(0)]
-    salt = F.when(F.coalesce(F.col("__hot"), F.lit(False)),
-                  F.pmod(F.xxhash64(*hashable), F.lit(salts)))
-    tagged = tagged.withColumn("__salt", F.coalesce(salt, F.lit(0).cast("bigint"))).drop("__hot")
-    spread = F.when(F.col(count_col) > hot_rows,
-                    F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))) \
-        .otherwise(F.array(F.lit(0).cast("bigint")))
-    f = facts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *r_cols,
-                     F.explode(spread).alias("__fsalt"))
-    cond = [tagged[k].eqNullSafe(f[f"__k_{k}"]) for k in keys] + \
-        [tagged["__salt"] == f["__fsalt"]]
-    return (tagged.join(f, cond, how)
-            .drop("__salt", "__fsalt", *[f"__k_{k}" for k in keys]))
+    salted = rows.withColumn("__salt", F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    seen = salted.select(*keys, "__salt").distinct()  # combined map-side
+    f = facts.select(*[F.col(k).alias(f"__k_{k}") for k in keys], *[c for c in facts.columns if c not in keys])
+    here = seen.join(f, [seen[k].eqNullSafe(f[f"__k_{k}"]) for k in keys]).drop(*keys).withColumnRenamed("__salt", "__fsalt")
+    on = [salted[k].eqNullSafe(here[f"__k_{k}"]) for k in keys] + [salted["__salt"] == here["__fsalt"]]
+    return salted.join(here, on, how).drop("__salt", "__fsalt", *[f"__k_{k}" for k in keys])

@@ -72,7 +72,8 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 10, bits: int = 64, seg
     widest = -(-bits // segments)
     for radius in range(widest + 1):
         probes = _keys(open_codes, "q", segments, bits, radius)
-        seen = probes.join(index, ["segment", "value"]).select("q", "entry", "n").distinct()
+        # a few queries make very many probes, which no estimate of their size shows: never broadcast them
+        seen = probes.hint("merge").join(index, ["segment", "value"]).select("q", "entry", "n").distinct()
         seen = seen.withColumn("distance", F.bit_count(F.col("q").bitwiseXOR(F.col("entry"))))
         if best is not None:
             seen = seen.unionByName(best).distinct()

@@ -34,12 +34,15 @@ MSG_MISSING_QUALI = "Missing qualifying session; "
 MSG_MISSING_FILES = "Missing files: {}; "
 MSG_NULL_POSITIONS = "Contains null positions (may be DNFs); "
 MSG_DUPLICATE = "Duplicate entry; "
+# Fixed value: days after which the latest race counts as stale.
+MAX_AGE_DAYS = 21
 
+# The catalog's columns in order.
 CATALOG_COLUMNS = (
-    "year", "round", "event", "session", "session_date", "circuit", "total_laps",
-    "event_format", *[f"has_{t}" for t in DATA_TYPES], "is_complete",
-    "completeness_score", "num_drivers", "has_null_positions",
-    "has_null_grid_positions", "has_qualifying_data",
+    "year", "round", "event_name", "circuit", "session", "session_date", "session_path",
+    "has_results", "has_laps", "has_weather", "has_session_info", "has_track_status", "has_session_status", "has_race_control",
+    "total_drivers", "total_laps", "event_format", "has_qualifying_data",
+    "has_null_positions", "has_null_grid", "is_complete", "completeness_score",
 )
 
 
@@ -54,7 +57,7 @@ def parse_manifest(manifest: DataFrame, root: str = "", path_col: str = "path",
     ``data_type=t/year=y/event=e/session=s/part-*.parquet`` as written by
     :func:`lapdeck.sources.sinks.write_sessions`."""
     if root:
-        rel = F.regexp_replace(F.col(path_col), "^(file:)?" + _re_escape(root.rstrip("/")) + "/?", "")
+        rel = F.regexp_replace(F.col(path_col), "^([a-z0-9]+:(//[^/]*)?)?" + _re_escape(_path_part(root)) + "/?", "")
     else:
         rel = F.regexp_replace(F.col(path_col), "^[a-z0-9]+:/*[^/]*/", "")
     if layout == "hive":
@@ -77,24 +80,33 @@ def parse_manifest(manifest: DataFrame, root: str = "", path_col: str = "path",
     })
 
 
+def _path_part(root: str) -> str:
+    """The root without scheme and authority: listings name them whether or not the root did."""
+    import re
+    return re.sub(r"^[A-Za-z0-9]+:(//[^/]*)?", "", root).rstrip("/")
+
+
 def _re_escape(s: str) -> str:
     import re
     return re.escape(s)
 
 
-def discover_years(files: DataFrame, lo: int = 2020, hi: int = 2030) -> DataFrame:
-    """First path part numeric and within [lo, hi]."""
+def _within(year: Column, lo: int | None, hi: int | None) -> Column:
+    return year.isNotNull() & (F.lit(True) if lo is None else year >= lo) & (F.lit(True) if hi is None else year <= hi)
+
+
+def discover_years(files: DataFrame, lo: int | None = 2020, hi: int | None = None) -> DataFrame:
+    """First path part numeric and not outside ``lo`` and ``hi`` (None: open)."""
     y = F.col("year_part").try_cast("int")
-    return (files.select(y.alias("year")).filter(F.col("year").between(lo, hi))
-            .distinct())
+    return files.select(y.alias("year")).filter(_within(F.col("year"), lo, hi)).distinct()
 
 
-def session_files(files: DataFrame, lo: int = 2020, hi: int = 2030,
+def session_files(files: DataFrame, lo: int | None = 2020, hi: int | None = None,
                   sessions: Sequence[str] = SESSION_TYPES) -> DataFrame:
     """C1+C2: per-session files of valid years and known session names."""
     y = F.col("year_part").try_cast("int")
     return (files.withColumn("year", y)
-            .filter(F.col("year").between(lo, hi) & F.col("session").isin(list(sessions))))
+            .filter(_within(F.col("year"), lo, hi) & F.col("session").isin(list(sessions))))
 
 
 # ------------------------------------------------------------------ C3-C5
@@ -132,7 +144,7 @@ def attach_first(df: DataFrame, other: DataFrame, keys: Sequence[str],
 
 
 def quality_metrics(df: DataFrame, results: DataFrame, keys: Sequence[str],
-                    null_cols: dict[str, str], count_name: str = "num_drivers") -> DataFrame:
+                    null_cols: dict[str, str], count_name: str = "total_drivers") -> DataFrame:
     """Per key row count and "any NULL in column" flags, left-joined;
     absent keys get NULL count and False flags; an absent column gives False."""
     present = set(results.columns)
@@ -164,13 +176,10 @@ def add_days_since_start(df: DataFrame, date_col: str = "session_date",
 def add_season_progress(df: DataFrame, year: str = "year", rnd: str = "round",
                         name: str = "season_progress") -> DataFrame:
     """C11: (round - min) / (max - min) within the year; 0 for a single
-    round.  Min/max per year are an aggregate joined back with a size-checked
-    broadcast, not a window over the year (one task per year)."""
-    from lapdeck.functions.joins import broadcast_if_small
+    round.  Min/max per year are an aggregate joined back; AQE broadcasts it by
+    its measured bytes."""
     mm = df.groupBy(year).agg(F.min(rnd).alias("__rmin"), F.max(rnd).alias("__rmax"))
-    # every row of a year shares the join key: broadcast the per-year table
-    # (size-checked) instead of a shuffle join that would put a year in one task
-    out = df.join(broadcast_if_small(mm), [year], "left")
+    out = df.join(mm, [year], "left")
     prog = F.try_divide((F.col(rnd) - F.col("__rmin")).cast("double"),
                         (F.col("__rmax") - F.col("__rmin")).cast("double"))
     prog = F.when(F.col("__rmax") == F.col("__rmin"), F.lit(0.0)).otherwise(prog)
@@ -180,27 +189,24 @@ def add_season_progress(df: DataFrame, year: str = "year", rnd: str = "round",
 # ---------------------------------------------------------------- C16-C20
 def flag_missing_partner(df: DataFrame, group: Sequence[str], kind_col: str,
                          need: str, partner: str, order: Sequence[str],
-                         message: str, out: str = "validation_warnings",
-                         hot_rows: int = 10_000_000) -> DataFrame:
+                         message: str, out: str = "validation_warnings") -> DataFrame:
     """In each group that has a ``need`` row but no ``partner`` row,
     append ``message`` to the FIRST ``need`` row (by ``order``).
 
     Per-group facts come from one aggregate (partner present? first need
-    row's order key, row count) joined back on the group keys; groups with
-    more than ``hot_rows`` rows are salted in the join-back (see
+    row's order key) joined back on the salted group keys (see
     :func:`lapdeck.functions.joins.join_back`)."""
     from lapdeck.functions.joins import join_back
     k = F.col(kind_col)
     ordc = struct_order(list(order))
     facts = (df.groupBy(*group)
              .agg(F.coalesce(F.bool_or(k == partner), F.lit(False)).alias("__has_partner"),
-                  F.min(F.when(k == need, ordc)).alias("__first_need"),
-                  F.count(F.lit(1)).alias("__rows")))
-    j = join_back(df, facts, list(group), "left", count_col="__rows", hot_rows=hot_rows)
+                  F.min(F.when(k == need, ordc)).alias("__first_need")))
+    j = join_back(df, facts, list(group), "left")
     hit = (k == need) & ~F.col("__has_partner") & (ordc == F.col("__first_need"))
     prev = F.col(out) if out in df.columns else F.lit("")
     return (j.withColumn(out, F.concat(prev, F.when(hit, F.lit(message)).otherwise(F.lit(""))))
-            .drop("__has_partner", "__first_need", "__rows"))
+            .drop("__has_partner", "__first_need"))
 
 
 def flag_missing_parts(df: DataFrame, parts: Sequence[tuple[str, str]],
@@ -230,16 +236,16 @@ def flag_when(df: DataFrame, cond: Column, message: str,
 
 def flag_duplicates(df: DataFrame, keys: Sequence[str], message: str = MSG_DUPLICATE,
                     passed: str = "validation_passed",
-                    out: str = "validation_errors", hot_rows: int = 10_000_000) -> DataFrame:
+                    out: str = "validation_errors") -> DataFrame:
     """C20: every copy of a duplicated key gets passed=False and the message.
     Duplicate keys come from a pre-aggregated ``groupBy().count()`` joined
-    back, salting keys with more than ``hot_rows`` copies, not from a
+    back on salted keys, not from a
     ``count(*) over (partition by keys)`` window (one task per key).  NULL
     keys count as equal, as in ``groupBy``."""
     from lapdeck.functions.joins import join_back
     dups = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
             .filter(F.col("__n") > 1).withColumn("__dup", F.lit(True)))
-    j = join_back(df, dups, list(keys), "left", count_col="__n", hot_rows=hot_rows).drop("__n")
+    j = join_back(df, dups, list(keys), "left").drop("__n")
     is_dup = F.coalesce(F.col("__dup"), F.lit(False))
     prev_ok = F.col(passed) if passed in df.columns else F.lit(True)
     prev = F.col(out) if out in df.columns else F.lit("")
@@ -250,7 +256,7 @@ def flag_duplicates(df: DataFrame, keys: Sequence[str], message: str = MSG_DUPLI
 
 
 def freshness(df: DataFrame, date_col: str, as_of: Column | str,
-              where: Column | None = None, max_age_days: int = 21) -> DataFrame:
+              where: Column | None = None, max_age_days: int = MAX_AGE_DAYS) -> DataFrame:
     """One row -- latest date (of the rows matching ``where``), its age in
     whole days at ``as_of`` and whether it is stale (age > max)."""
     src = df if where is None else df.filter(where)
@@ -356,9 +362,10 @@ def catalog_issue_details(catalog: DataFrame, race: str = "Race", quali: str = "
 # -------------------------------------------------------------- assembled
 def build_catalog(files: DataFrame, session_info: DataFrame | None = None,
                   results: DataFrame | None = None,
-                  keys: Sequence[str] = ("year", "event", "session")) -> DataFrame:
+                  keys: Sequence[str] = ("year", "event", "session"),
+                  lo: int | None = 2020, hi: int | None = None) -> DataFrame:
     """Manifest -> one row per (year, event, session)."""
-    sess = session_files(files)
+    sess = session_files(files, lo, hi)
     cat = completeness(presence_flags(sess, list(keys), "data_type", DATA_TYPES),
                        DATA_TYPES, CRITICAL_TYPES).drop("n_present")
     if session_info is not None:
@@ -373,16 +380,19 @@ def build_catalog(files: DataFrame, session_info: DataFrame | None = None,
     if results is not None:
         cat = quality_metrics(cat, results, list(keys),
                               {"Position": "has_null_positions",
-                               "GridPosition": "has_null_grid_positions"})
+                               "GridPosition": "has_null_grid"})
     else:
-        cat = cat.withColumns({"num_drivers": F.lit(None).cast("bigint"),
+        cat = cat.withColumns({"total_drivers": F.lit(None).cast("bigint"),
                                "has_null_positions": F.lit(False),
-                               "has_null_grid_positions": F.lit(False)})
+                               "has_null_grid": F.lit(False)})
     quali = (cat.filter(F.col("session") == "Qualifying").select("year", "round")
              .distinct().withColumn("has_qualifying_data", F.lit(True)))
     cat = cat.join(quali, ["year", "round"], "left").withColumn(
         "has_qualifying_data", F.coalesce(F.col("has_qualifying_data"), F.lit(False)))
-    cat = cat.select(*[c for c in CATALOG_COLUMNS if c in cat.columns])
+    # event_name is the folder's event key; it is kept as ``event`` too, the key of the landed tables
+    cat = cat.withColumnRenamed("has_race_control_messages", "has_race_control").withColumns({
+        "event_name": F.col("event"), "session_path": F.concat_ws("/", "year", "event", "session", F.lit(""))})
+    cat = cat.select(*CATALOG_COLUMNS, "event")
     cat = add_race_id(cat)
     cat = add_days_since_start(cat)
     return add_season_progress(cat)
@@ -399,18 +409,18 @@ def validate_catalog(cat: DataFrame, as_of: str | None = None) -> tuple[DataFram
                            when=F.col("session") == "Race")
     v = flag_when(v, F.col("has_null_positions"), MSG_NULL_POSITIONS)
     v = flag_duplicates(v, ["year", "round", "session"])
-    races = v.filter(F.col("session") == "Race")
-    w_quali = races.agg(F.bool_or(F.col("validation_warnings").contains(
-        MSG_MISSING_QUALI.strip())).alias("x")).select(F.coalesce("x", F.lit(False)))
-    w_files = races.agg(F.bool_or(~F.col("is_complete")).alias("x")).select(
-        F.coalesce("x", F.lit(False)))
-    stale = (freshness(v, "session_date", as_of, F.col("session") == "Race")
-             .select("is_stale") if as_of else None)
-    err = v.agg(F.bool_or(F.col("validation_errors") != "").alias("x")).select(
-        F.coalesce("x", F.lit(False)))
-    n = v.select(F.count(F.lit(1))).scalar()
-    warnings = (w_quali.scalar().cast("int") + w_files.scalar().cast("int")
-                + (stale.scalar().cast("int") if stale is not None else F.lit(0)))
-    errors = err.scalar().cast("int")
-    verdict_df = cat.sparkSession.range(1).select(*verdict(n, errors, warnings))
+    race = F.col("session") == "Race"
+
+    def any_row(cond: Column) -> Column:
+        return F.coalesce(F.bool_or(cond), F.lit(False)).cast("int")
+
+    kinds = [F.count(F.lit(1)).alias("n"), any_row(F.col("validation_errors") != "").alias("errors"),
+             any_row(race & F.col("validation_warnings").contains(MSG_MISSING_QUALI.strip())).alias("quali"),
+             any_row(race & ~F.col("is_complete")).alias("files"), F.max(F.when(race, F.col("session_date"))).alias("latest")]
+    facts = v.agg(*kinds)
+    stale = F.lit(0)
+    if as_of:
+        age = F.timestamp_diff("DAY", F.col("latest"), F.lit(as_of).cast("timestamp_ntz"))
+        stale = F.coalesce(age > MAX_AGE_DAYS, F.lit(False)).cast("int")
+    verdict_df = facts.select(*verdict(F.col("n"), F.col("errors"), F.col("quali") + F.col("files") + stale))
     return v, verdict_df

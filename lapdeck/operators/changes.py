@@ -28,14 +28,11 @@ def manifest_diff(old: DataFrame, new: DataFrame, key: str = "path",
                   compare: tuple[str, ...] = ("length", "modificationTime")) -> DataFrame:
     """One row per path in either snapshot with ``change`` in
     new / deleted / modified / unchanged."""
-    o = old.select(key, *[F.col(c).alias(f"old_{c}") for c in compare])
-    n = new.select(key, *[F.col(c).alias(f"new_{c}") for c in compare])
-    j = o.join(n, [key], "full_outer")
-    in_old = F.lit(False)
-    in_new = F.lit(False)
-    for c in compare:
-        in_old = in_old | F.col(f"old_{c}").isNotNull()
-        in_new = in_new | F.col(f"new_{c}").isNotNull()
+    o = old.select(F.col(key).alias("__old"), *[F.col(c).alias(f"old_{c}") for c in compare], F.lit(True).alias("__in_old"))
+    n = new.select(F.col(key).alias("__new"), *[F.col(c).alias(f"new_{c}") for c in compare], F.lit(True).alias("__in_new"))
+    # NULL paths match each other
+    j = o.join(n, F.col("__old").eqNullSafe(F.col("__new")), "full_outer").withColumn(key, F.coalesce("__old", "__new"))
+    in_old, in_new = F.col("__in_old").isNotNull(), F.col("__in_new").isNotNull()
     differs = F.lit(False)
     for c in compare:
         differs = differs | ~F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}"))

@@ -160,14 +160,12 @@ def cache_sizes(landed: DataFrame, keys: Sequence[str], type_col: str = "data_ty
 
 # ----------------------------------------------------------------- P8 P9
 def resolve_precedence(sources: Sequence[tuple[int, DataFrame]], keys: Sequence[str],
-                       valid: Column | None = None, force_rank: int | None = None,
-                       single_row: bool = False) -> DataFrame:
+                       valid: Column | None = None, force_rank: int | None = None) -> DataFrame:
     """For each key take the rows of the best-ranked (lowest) source
     that has a valid row.  The winner per key is a ``min(rank)`` aggregate
     (map-side partial), then a semi-join keeps the winner's rows; no
     ``row_number`` window over a hot key.  ``force_rank`` keeps only that
-    tier (force refresh = origin only).  ``single_row=True`` (each source
-    has at most one row per key) picks the winner in one aggregate pass."""
+    tier (force refresh = origin only)."""
     tagged = None
     for rank, df in sources:
         if force_rank is not None and rank != force_rank:
@@ -177,17 +175,9 @@ def resolve_precedence(sources: Sequence[tuple[int, DataFrame]], keys: Sequence[
     if tagged is None:
         raise ValueError("no source left after force_rank")
     ok = tagged if valid is None else tagged.filter(valid)
-    if single_row:
-        # at most one row per key and source: the winner is one aggregate
-        # (min_by over the rank), one pass over the sources
-        cols = [c for c in ok.columns if c not in keys]
-        best = ok.groupBy(*keys).agg(F.min_by(F.struct(*cols), F.col("source_rank")).alias("__w"))
-        return best.select(*keys, *[F.col(f"__w.{c}").alias(c) for c in cols])
     from lapdeck.functions.joins import join_back
-    winners = ok.groupBy(*keys).agg(F.min("source_rank").alias("source_rank"),
-                                    F.count(F.lit(1)).alias("__rows"))
-    # semi-join back; a key with very many rows is salted (see join_back)
-    return join_back(ok, winners, [*keys, "source_rank"], "left_semi", count_col="__rows")
+    winners = ok.groupBy(*keys).agg(F.min("source_rank").alias("source_rank"))
+    return join_back(ok, winners, [*keys, "source_rank"], "left_semi")
 
 
 # -------------------------------------------------------------------- P10

@@ -100,7 +100,8 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         for r in rules:
             if r.severity != sev:
                 continue
-            ok = F.coalesce(r.predicate(present), F.lit(False))
+            # a hard rule must hold; a soft one is only broken by a value, never by NULL
+            ok = F.coalesce(r.predicate(present), F.lit(sev == "warning"))
             text = (F.concat(F.lit(r.name + ": "), _val(r.column))
                     if r.column and r.column in present else F.lit(r.name))
             items.append(F.when(~ok, text))

@@ -7,7 +7,7 @@ points, as Spark plans).
 
 Every job is one lazy plan per output; nothing loops over races or drivers
 on the driver.  Inputs are read in the reference's layout
-(``year/event/session/type.parquet``) with :func:`read_fan_in`.
+(``year/event/session/type.parquet``) with :func:`read_landed`, which gates every file.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from lapdeck.operators import checks as K
 from lapdeck.operators.results import (ResultsSpec, race_results, select_races,
                                        skipped_races)
 from lapdeck.operators.sequences import SequenceSpec, dataset_statistics, sequence_features
-from lapdeck.session import ensure_checkpoint_dir
+from lapdeck.session import scratch_path
 from lapdeck.sources.manifest import list_files
-from lapdeck.sources.readers import read_fan_in
+from lapdeck.sources.landed import landed_gate, read_landed, session_reasons
 from lapdeck.sources.sinks import write_csv, write_parquet, write_sample
 
 SESSION_KEYS = ["year", "event", "session"]
@@ -72,15 +72,14 @@ def ingest_plan(schedule: DataFrame, landed_files: DataFrame | None = None,
 
 # ------------------------------------------------------------------ catalog
 def catalog_job(spark: SparkSession, root: str, as_of: str | None = None,
-                out: str | None = None) -> JobOutput:
+                out: str | None = None, first_year: int | None = 2020,
+                last_year: int | None = None) -> JobOutput:
     """Build, validate and (optionally) store the catalog."""
     files = C.parse_manifest(list_files(spark, root), root)
-    session_info = read_fan_in(spark, root, "session_info")
-    results = read_fan_in(spark, root, "results")
-    # the catalog is small and feeds every later job: materialise it once in
-    # the shared checkpoint folder (lineage cut, survives executor loss)
-    ensure_checkpoint_dir(spark)
-    cat = C.build_catalog(files, session_info, results).checkpoint(eager=True)
+    session_info = read_landed(spark, root, "session_info")
+    results = read_landed(spark, root, "results")
+    # the catalog feeds every later job: written once as a table
+    cat = _stored(C.build_catalog(files, session_info, results, lo=first_year, hi=last_year))
     validated, verdict = C.validate_catalog(cat, as_of)
     if out:
         ordered = validated.orderBy(F.col("year").asc_nulls_last(),
@@ -109,19 +108,19 @@ def races_by_year(catalog: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ results
-def _materialised(df: DataFrame) -> DataFrame:
-    """Checks read their input twice (one aggregate pass + a duplicate-key
-    pass); an output table is written once to the shared checkpoint folder
-    instead of being recomputed from its sources."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _stored(df: DataFrame) -> DataFrame:
+    """``df`` written once as a table in the shared folder and read back: column pruning and
+    statistics stay, and the files outlive any executor."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def results_output_checks(df: DataFrame, materialise: bool = True) -> DataFrame:
     """Rows per race in [15, 25], unique (race, driver), required columns,
     null shares of finish <= 0.30 and grid <= 0.05, positions in 1..25."""
     if materialise:
-        df = _materialised(df)
+        df = _stored(df)
     return K.run_checks(df, [
         K.rows_per_key("rows_per_race", "race_id", 15, 25),
         K.duplicates("duplicate_race_driver", ["race_id", "driver_id"]),
@@ -133,20 +132,32 @@ def results_output_checks(df: DataFrame, materialise: bool = True) -> DataFrame:
     ])
 
 
+def _skips(spark: SparkSession, root: str, data_type: str, selected: DataFrame, produced: DataFrame,
+           otherwise: str = "no rows") -> DataFrame:
+    """The selected races without output and the gate's reason (``missing`` without an object)."""
+    gate = landed_gate(spark, root, data_type)
+    seen = gate.select(*SESSION_KEYS).distinct().withColumn("seen", F.lit(True))
+    skipped = skipped_races(selected.select(*SESSION_KEYS, "race_id"), produced, ["race_id"], "")
+    skipped = skipped.drop("reason").join(session_reasons(gate), SESSION_KEYS, "left").join(seen, SESSION_KEYS, "left")
+    why = F.coalesce("reason", F.when(F.col("seen").isNull(), "missing").otherwise(otherwise))
+    return skipped.select("race_id", why.alias("reason"))
+
+
 def race_results_job(spark: SparkSession, root: str, catalog: DataFrame,
                      first_n: int | None = None, out: str | None = None) -> JobOutput:
     """R1-R13."""
-    results = read_fan_in(spark, root, "results")
-    cat = catalog.withColumns({"event_name": F.col("event"), "race_date": F.col("session_date")})
+    results = read_landed(spark, root, "results")
+    cat = catalog.withColumn("race_date", F.col("session_date"))
     res = race_results(cat, results, ResultsSpec(), SESSION_KEYS, first_n)
-    selected = select_races(catalog, first_n=first_n).select("race_id")
-    skips = skipped_races(selected, res, ["race_id"], "results missing")
+    order = [F.col("race_date").asc_nulls_last(), F.col("finish_position").asc_nulls_last(), "driver_number"]
+    res = _stored(res).orderBy(*order)
+    skips = _skips(spark, root, "results", select_races(catalog, first_n=first_n), res)
     if out:
         write_parquet(res, f"{out}/race_results.parquet")
         write_csv(res, f"{out}/race_results.csv")
     from lapdeck.operators.results import qualifying_warnings
     warnings = qualifying_warnings(res, "race_id", ("q1", "q2", "q3"), "q1")
-    return JobOutput(res, results_output_checks(res), skips, extra={"warnings": warnings})
+    return JobOutput(res, results_output_checks(res, materialise=False), skips, extra={"warnings": warnings})
 
 
 # --------------------------------------------------------------------- laps
@@ -157,10 +168,9 @@ def prepare_laps(laps: DataFrame) -> DataFrame:
     """L1 + P11: lap / sector times in seconds (durations, text or numbers)."""
     schema = {f.name: f.dataType for f in laps.schema.fields}
     cols = {}
-    if "LapTimeSeconds" not in schema and "LapTime" in schema:
-        cols["LapTimeSeconds"] = duration_seconds("LapTime", schema["LapTime"])
-    elif "LapTimeSeconds" in schema:
-        cols["LapTimeSeconds"] = duration_seconds("LapTimeSeconds", schema["LapTimeSeconds"])
+    times = [duration_seconds(c, schema[c]) for c in ("LapTimeSeconds", "LapTime") if c in schema]
+    if times:
+        cols["LapTimeSeconds"] = F.coalesce(*times)
     for i in (1, 2, 3):
         src = f"Sector{i}Time"
         if src in schema:
@@ -173,7 +183,7 @@ def features_output_checks(df: DataFrame, materialise: bool = True) -> DataFrame
     columns, mean lap in 60..180, null shares <= 0.10, groups with a valid
     share below 0.5 (reported as a range check on valid_lap_pct)."""
     if materialise:
-        df = _materialised(df)
+        df = _stored(df)
     return K.run_checks(df, [
         K.rows_per_key("rows_per_race", "race_id", 15, 25),
         K.duplicates("duplicate_race_driver", ["race_id", "driver_number"]),
@@ -192,9 +202,9 @@ def lap_features_job(spark: SparkSession, root: str, catalog: DataFrame,
     """Laps of the selected complete races -> one row per driver."""
     races = (select_races(catalog, first_n=first_n)
              .select(*SESSION_KEYS, "race_id", "round",
-                     F.col("event").alias("event_name"), "circuit",
+                     "event_name", "circuit",
                      F.col("session_date").alias("race_date")))
-    laps = read_fan_in(spark, root, "laps").join(
+    laps = read_landed(spark, root, "laps").join(
         races.select(*SESSION_KEYS, "race_id"), SESSION_KEYS, "inner")
     feats = sequence_features(prepare_laps(laps), LAP_SPEC)
     meta = races.select("race_id", "year", "round", "event_name", "circuit", "race_date")
@@ -202,13 +212,13 @@ def lap_features_job(spark: SparkSession, root: str, catalog: DataFrame,
              .withColumnRenamed("DriverNumber", "driver_number"))
     order = ["race_id", "year", "round", "event_name", "circuit", "race_date", "driver_number"]
     feats = feats.select(*order, *[c for c in feats.columns if c not in order])
-    feats = feats.orderBy(F.col("race_date").asc_nulls_last(), "driver_number")
-    skips = skipped_races(races.select("race_id"), feats, ["race_id"], "no lap features")
+    feats = _stored(feats).orderBy(F.col("race_date").asc_nulls_last(), "driver_number")
+    skips = _skips(spark, root, "laps", races, feats, "no valid laps")
     if out:
         write_parquet(feats, f"{out}/lap_features.parquet")
         write_csv(feats, f"{out}/lap_features.csv")
         write_sample(feats, f"{out}/lap_features_sample.csv", ["race_date", "driver_number"])
-    return JobOutput(feats, features_output_checks(feats), skips,
+    return JobOutput(feats, features_output_checks(feats, materialise=False), skips,
                      extra={"statistics": dataset_statistics(feats)})
 
 

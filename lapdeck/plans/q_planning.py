@@ -123,6 +123,9 @@ WITH src AS (
   UNION ALL
   SELECT doc_id, CASE WHEN n_chars >= 1000 THEN 1 ELSE 0 END AS quality, 0 AS toxic,
          2 AS source_rank FROM documents
+  UNION ALL
+  SELECT doc_id, CASE WHEN lang = 'en' THEN 1 END AS quality, 1 AS toxic,
+         2 AS source_rank FROM documents
 ), ok AS (SELECT * FROM src WHERE quality IS NOT NULL),
 win AS (SELECT doc_id, min(source_rank) AS source_rank FROM ok GROUP BY doc_id)
 SELECT ok.doc_id, ok.quality, ok.toxic, ok.source_rank
@@ -136,8 +139,11 @@ def q_precedence(spark, sf_dir):
     heur = table(spark, sf_dir, "documents").select(
         "doc_id", F.when(F.col("n_chars") >= 1000, 1).otherwise(0).alias("quality"),
         F.lit(0).alias("toxic"))
-    return p.resolve_precedence([(1, labels), (2, heur)], ["doc_id"],
-                                valid=F.col("quality").isNotNull(), single_row=True)
+    # a second row per key in the same tier; both stay where that tier wins
+    by_lang = table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(F.col("lang") == "en", 1).alias("quality"), F.lit(1).alias("toxic"))
+    return p.resolve_precedence([(1, labels), (2, heur.unionByName(by_lang))], ["doc_id"],
+                                valid=F.col("quality").isNotNull())
 
 
 def _ledger(spark, sf_dir):

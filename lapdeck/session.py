@@ -44,8 +44,7 @@ def build_session(master: str | None = None, app_name: str = "lapdeck",
     return spark
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
-                 max_partitions: int = 100_000) -> dict[str, str]:
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Shuffle / scan sizing for a job reading ``input_bytes``.
 
     Initial shuffle partitions are sized so a partition holds about
@@ -53,7 +52,7 @@ def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 << 20,
     sort and window spills bounded per task -- and AQE coalesces partitions
     that turn out small.  Files are split at the same size.
     """
-    n = max(200, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    n = max(200, -(-input_bytes // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),

@@ -1,4 +1,4 @@
-"""Scans with gates.
+"""Scans with gates (S1, S2, S3, S9); objects as they land are read by :mod:`lapdeck.sources.landed`.
 
 * :func:`file_facts` reads Parquet *footers only*, in parallel: the list of
   paths is a DataFrame and each task opens its files' footers with pyarrow
@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,7 @@ def _open(path: str):
 
 
 def _footer_facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pyarrow as pa
     import pyarrow.parquet as pq
 
     for pdf in batches:
@@ -48,7 +49,7 @@ def _footer_facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     rows.append((path, True, True, md.num_rows, list(md.schema.names)))
             except FileNotFoundError:
                 rows.append((path, False, False, None, None))
-            except Exception:  # noqa: BLE001 -- corrupt / not parquet
+            except pa.ArrowInvalid:  # not Parquet; any other error (credentials, scheme) is raised
                 rows.append((path, True, False, None, None))
         yield pd.DataFrame(rows, columns=["path", "exists", "readable", "num_rows", "columns"])
 
@@ -71,6 +72,12 @@ def gate_files(facts: DataFrame, required: Sequence[str]) -> DataFrame:
                               "ok": reason.isNull()})
 
 
+def _plain_path(path: Column, decode: bool = False) -> Column:
+    """A file path without ``file:`` and, for the scan's URL form, decoded (``+`` is itself there)."""
+    plain = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))) if decode else path
+    return F.regexp_replace(plain, "^file:/+", "/")
+
+
 def read_gated(spark: SparkSession, gated: DataFrame, schema: T.StructType,
                location: str | list[str], key_from_path: bool = True) -> DataFrame:
     """S1 + S2: rows of the files that passed the gate.
@@ -84,35 +91,14 @@ def read_gated(spark: SparkSession, gated: DataFrame, schema: T.StructType,
     locs = [location] if isinstance(location, str) else list(location)
     df = (spark.read.schema(schema).option("ignoreCorruptFiles", "true")
           .option("recursiveFileLookup", "true").parquet(*locs)
-          .withColumn("source_path", F.col("_metadata.file_path")))
-    ok = gated.filter("ok").select(F.col("path").alias("source_path"))
+          .withColumn("source_path", _plain_path(F.col("_metadata.file_path"), decode=True)))
+    ok = gated.filter("ok").select(_plain_path(F.col("path")).alias("source_path"))
     kept = df.join(ok, ["source_path"], "left_semi")
     if not key_from_path:
         kept = kept.drop("source_path")
     return normalise_missing(kept)
 
 
-def read_fan_in(spark: SparkSession, root: str, data_type: str,
-                schema: T.StructType | None = None) -> DataFrame:
-    """Every ``root/<year>/<event>/<session>/<data_type>.parquet`` in ONE
-    scan (glob), with year / event / session parsed from the file path.
-    Filters on those columns are applied right after the scan; prefer the
-    Hive-style layout written by :func:`lapdeck.sources.sinks.write_sessions`
-    so Spark prunes partitions before listing."""
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.parquet(f"{root.rstrip('/')}/*/*/*/{data_type}.parquet")
-    # the object may be a single file or a folder of part files
-    rx = r"/([^/]+)/([^/]+)/([^/]+)/" + data_type + r"\.parquet(/|$)"
-    path = F.col("_metadata.file_path")
-    return normalise_missing(df.withColumns({
-        "year": F.regexp_extract(path, rx, 1).try_cast("int"),
-        "event": F.regexp_extract(path, rx, 2),
-        "session": F.regexp_extract(path, rx, 3),
-    }))
-
-
 def read_sessions(spark: SparkSession, root: str, data_type: str) -> DataFrame:
     """S9 for the partitioned layout (``data_type=/year=/event=/session=``):
     partition columns come from discovery, filters on them prune folders."""

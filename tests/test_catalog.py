@@ -66,7 +66,7 @@ def test_catalog_rows(catalog):
                          ("belgian_grand_prix", "Race"), ("belgian_grand_prix", "Practice 1")}
     it = rows[("italian_grand_prix", "Race")]
     assert it.is_complete and it.completeness_score == 100.0 and it.race_id == "2022_R16"
-    assert it.num_drivers == 2 and it.has_null_positions and not it.has_null_grid_positions
+    assert it.total_drivers == 2 and it.has_null_positions and not it.has_null_grid
     assert it.has_qualifying_data and it.circuit == "Monza" and it.total_laps == 53
     be = rows[("belgian_grand_prix", "Race")]
     assert not be.is_complete and be.completeness_score == pytest.approx(300 / 7)
@@ -75,7 +75,7 @@ def test_catalog_rows(catalog):
     # season progress within 2022: rounds 14..16
     assert be.season_progress == 0.0 and it.season_progress == 1.0
     p1 = rows[("belgian_grand_prix", "Practice 1")]
-    assert p1.num_drivers is None and p1.has_null_positions is False
+    assert p1.total_drivers is None and p1.has_null_positions is False
 
 
 def test_validation_flags_and_verdict(catalog):

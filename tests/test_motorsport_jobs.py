@@ -73,7 +73,7 @@ def test_three_jobs(spark, bucket, tmp_path):
     rows = {(r.event, r.session): r for r in cat.data.collect()}
     assert len(rows) == 3 and rows[("bahrain_grand_prix", "Qualifying")].is_complete
     bah = rows[("bahrain_grand_prix", "Race")]
-    assert bah.completeness_score == 100.0 and bah.race_id == "2022_R01" and bah.num_drivers == 20
+    assert bah.completeness_score == 100.0 and bah.race_id == "2022_R01" and bah.total_drivers == 20
     sau = rows[("saudi_arabian_grand_prix", "Race")]
     assert sau.is_complete and "Missing qualifying session; " in sau.validation_warnings
     assert cat.checks.first().total_warnings == 1

@@ -126,14 +126,14 @@ def test_overview_and_ledger(spark):
     assert retry == {"s", "q"}
 
 
-def test_precedence_single_row_fast_path_matches(spark):
-    a = spark.createDataFrame([("a", 1), ("b", None)], "s string, v int")
-    b = spark.createDataFrame([("a", 2), ("b", 2), ("c", 2)], "s string, v int")
+def test_precedence_keeps_every_row_of_the_winner(spark):
+    a = spark.createDataFrame([("a", 1), ("a", 9), ("b", None)], "s string, v int")
+    b = spark.createDataFrame([("a", 2), ("b", 2), ("b", 2), ("c", 2)], "s string, v int")
     srcs = [(1, a), (2, b)]
-    slow = {(r.s, r.v, r.source_rank) for r in P.resolve_precedence(srcs, ["s"], F.col("v").isNotNull()).collect()}
-    fast = {(r.s, r.v, r.source_rank) for r in P.resolve_precedence(
-        srcs, ["s"], F.col("v").isNotNull(), single_row=True).collect()}
-    assert slow == fast == {("a", 1, 1), ("b", 2, 2), ("c", 2, 2)}
+    got = sorted((r.s, r.v, r.source_rank) for r in P.resolve_precedence(srcs, ["s"], F.col("v").isNotNull()).collect())
+    assert got == [("a", 1, 1), ("a", 9, 1), ("b", 2, 2), ("b", 2, 2), ("c", 2, 2)]
+    only = P.resolve_precedence(srcs, ["s"], F.col("v").isNotNull(), force_rank=1)
+    assert sorted((r.s, r.v) for r in only.collect()) == [("a", 1), ("a", 9)]
 
 
 def test_season_tag_enabled_filter_and_cache_sizes(spark):
@@ -152,7 +152,7 @@ def test_season_tag_enabled_filter_and_cache_sizes(spark):
 def test_cluster_conf_and_dimensions(spark):
     from lapdeck.functions.domains import session_codes
     from lapdeck.session import cluster_conf
-    conf = cluster_conf(100 * 2**40)  # 100 TiB
+    conf = cluster_conf(100 * 2**40)  # 100 TiB: every partition of the stated size
     assert int(conf["spark.sql.shuffle.partitions"]) == 100_000  # capped
     assert int(cluster_conf(10 * 2**30)["spark.sql.shuffle.partitions"]) == 200
     codes = {r.code: r.session_name for r in session_codes(spark).collect()}

@@ -1,8 +1,7 @@
 """Hot keys: a key holding a third of all rows must not land in one task.
 
-Join-back operators (C16, C20) salt keys above ``hot_rows`` rows; the
-thresholds are lowered so local test data counts as hot.  Broadcast joins
-are switched off so the salted shuffle join is what runs.
+Join-back operators (C16, C20, P8) salt every key.  Broadcast joins are switched off so the
+salted shuffle join is what runs.
 """
 
 import pytest
@@ -43,26 +42,34 @@ def _hot(spark, n=60000):
 def test_join_back_spreads_a_hot_key(spark, no_broadcast):
     rows = _hot(spark)
     facts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("mx"))
-    plain = join_back(rows, facts, ["k"], count_col=None)
-    salted = join_back(rows, facts, ["k"], count_col="n", hot_rows=1000, salts=8)
+    plain = rows.join(facts, "k", "left")
+    salted = join_back(rows, facts, ["k"], salts=16)
     tasks = lambda df: df.filter("k = 0").select(F.spark_partition_id()).distinct().count()
-    assert tasks(plain) == 1
     assert tasks(salted) >= 6          # the hot key is processed by several tasks
     a = sorted(map(tuple, plain.select("k", "ts", "n", "mx").collect()))
     b = sorted(map(tuple, salted.select("k", "ts", "n", "mx").collect()))
     assert a == b                      # same rows, same facts
 
 
+def test_equal_rows_are_spread(spark, no_broadcast):
+    rows = spark.range(20000).select(F.lit(1).alias("k"), F.lit("same").alias("v")).union(
+        spark.range(1000).select(F.col("id").cast("int") + 2, F.lit("x")))
+    facts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    out = join_back(rows, facts, ["k"], salts=16)
+    tasks = out.filter("k = 1").groupBy(F.spark_partition_id().alias("p")).count()
+    assert tasks.count() >= 6 and tasks.agg(F.max("count")).first()[0] < 10000
+    assert out.count() == 21000 and out.filter("k = 1 and n <> 20000").isEmpty()
+
+
 def test_duplicate_flag_with_hot_key(spark, no_broadcast):
-    out = flag_duplicates(_hot(spark), ["k"], hot_rows=1000)
+    out = flag_duplicates(_hot(spark), ["k"])
     assert out.count() == 60000
     assert out.filter(~F.col("validation_passed")).count() == 60000  # every key repeats
 
 
 def test_missing_partner_with_hot_key(spark, no_broadcast):
     df = _hot(spark).withColumn("k", F.when(F.col("k") == 0, 0).otherwise(F.col("ts") + 1))
-    out = flag_missing_partner(df, ["k"], "kind", "purchase", "view", ["ts"], "M; ",
-                               hot_rows=1000)
+    out = flag_missing_partner(df, ["k"], "kind", "purchase", "view", ["ts"], "M; ")
     flagged = out.filter(F.col("validation_warnings") != "")
     # key 0 has views; every other key is a single row: flagged iff it is a purchase
     assert flagged.filter(F.col("k") == 0).count() == 0
@@ -78,5 +85,5 @@ def test_null_keys_are_one_group(spark):
 def test_join_back_with_map_column(spark, no_broadcast):
     rows = _hot(spark, 3000).withColumn("m", F.create_map(F.lit("a"), F.col("ts")))
     facts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    out = join_back(rows, facts, ["k"], count_col="n", hot_rows=100, salts=4)
+    out = join_back(rows, facts, ["k"], salts=4)
     assert out.count() == 3000 and out.filter(F.col("n").isNull()).count() == 0

@@ -11,6 +11,7 @@ from lapdeck.functions.columns import event_key, normalise_missing
 from lapdeck.operators import checks as K
 from lapdeck.operators.changes import bucket_state, diff_counts, manifest_diff
 from lapdeck.sources import readers as R
+from lapdeck.sources.landed import read_landed
 from lapdeck.sources import sinks as S
 from lapdeck.sources.manifest import child_prefixes, ingest_summary, manifest
 
@@ -70,7 +71,7 @@ def test_fan_in_reference_layout_and_empty_gate(spark, tmp_path):
             .coalesce(1).write.parquet(f"{base}/2022/{ev}/Race/laps.parquet")
     spark.range(0).withColumn("LapNumber", F.col("id").cast("double")).drop("id") \
         .coalesce(1).write.parquet(f"{base}/2022/empty/Race/laps.parquet")
-    df = R.read_fan_in(spark, base, "laps")
+    df = read_landed(spark, base, "laps", required=["LapNumber"])
     got = {(r.event, r.session): r["count"] for r in df.groupBy("event", "session").count().collect()}
     assert got == {("monza", "Race"): 2, ("spa", "Race"): 1}
     files = spark.createDataFrame(
