@@ -73,9 +73,10 @@ def ingest_plan(schedule: DataFrame, landed_files: DataFrame | None = None,
 # ------------------------------------------------------------------ catalog
 def catalog_job(spark: SparkSession, root: str, as_of: str | None = None,
                 out: str | None = None, first_year: int | None = 2020,
-                last_year: int | None = None) -> JobOutput:
+                last_year: int | None = None,
+                glob: str = "*.parquet") -> JobOutput:
     """Build, validate and (optionally) store the catalog."""
-    files = C.parse_manifest(list_files(spark, root), root)
+    files = C.parse_manifest(list_files(spark, root, glob), root)
     session_info = read_landed(spark, root, "session_info")
     results = read_landed(spark, root, "results")
     # the catalog feeds every later job: written once as a table

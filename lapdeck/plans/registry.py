@@ -7,6 +7,7 @@ Doubles are rounded to 6 decimals on both sides, counts are BIGINT on both.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -50,13 +51,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def load_all() -> dict[str, Query]:
-    # import for the side effect of registration
-    from lapdeck.plans import q_sequences  # noqa: F401
-    for mod in ("q_results", "q_catalog", "q_validation", "q_checks",
-                "q_planning", "q_changes", "q_sources"):
-        try:
-            __import__(f"lapdeck.plans.{mod}")
-        except ModuleNotFoundError as e:  # module not written yet
-            if f"lapdeck.plans.{mod}" not in str(e):
-                raise
+    # imported for the side effect of registration
+    for mod in ("q_sequences", "q_results", "q_catalog", "q_validation", "q_checks",
+                "q_planning", "q_changes", "q_sources", "q_landed"):
+        importlib.import_module(f"lapdeck.plans.{mod}")
     return REGISTRY
