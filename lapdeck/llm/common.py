@@ -54,6 +54,17 @@ def salted_min(rows: DataFrame, key: str, order: list[str], spread_by: str, salt
     return salted.join(facts, [key, "__salt"]).drop("__salt")
 
 
+def smallest_hashes(df: DataFrame, at: Column, n: int, *ties: str) -> DataFrame:
+    """About the ``n`` rows of smallest 64-bit hash ``at``, never more: a bounded, repeatable sample.
+
+    A bound on the hash keeps all but about 1.5 n rows where they are, so that only those are
+    sorted, however many partitions there are.
+    """
+    rows = df.count()
+    edge = 2**63 - 1 if rows <= 2 * n else int(2**64 * (1.5 * n / rows)) - 2**63
+    return df.filter(at <= F.lit(edge)).orderBy(at, *ties).limit(n)
+
+
 def small_batches(spark, rows: int = 1_000) -> None:
     """Send at most ``rows`` texts to a Python worker at once, so that very long texts fit in its memory."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapdeck.llm import textpack as tp
-from lapdeck.llm.common import materialise, small_batches
+from lapdeck.llm.common import materialise, small_batches, smallest_hashes
 
 #: By signal: a value in the first range votes good, one in the second votes bad, others abstain.
 VOTES = {
@@ -206,7 +206,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     posterior = fit_labellers(counts)
     if not posterior:
         return Scorer(posterior, np.zeros(DIM), -3.0)
-    edge = voted.orderBy("at").limit(sample_docs).agg(F.max("at")).first()[0]
+    edge = smallest_hashes(voted, F.col("at"), sample_docs).agg(F.max("at")).first()[0]
     p = F.create_map(*[F.lit(x) for kv in posterior.items() for x in kv])
     sample = docs.filter(at <= F.lit(edge)).limit(2 * sample_docs)
     rows = sample.select(_features(text).alias("x"), vote_column(text).alias("votes"))

@@ -19,12 +19,14 @@ from pyspark.ml.classification import RandomForestClassificationModel, RandomFor
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lapdeck.llm import textpack as tp
-from lapdeck.llm.common import materialise, small_batches
+from lapdeck.llm.common import materialise, small_batches, smallest_hashes
 
-#: A candidate has at least 12 such characters, one of them a digit.  Quantifiers are bounded by what follows, so long texts stay linear.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/.\-])(?=[A-Za-z_+/.\-]*[0-9])[A-Za-z0-9_+/.\-]{12,}")
+#: A candidate has at least 12 such characters, one of them a digit, or is 16 capitals or more.  Matching starts at the edge of
+#: a run of such characters only, so long texts stay linear.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/.\-])(?:(?=[A-Za-z_+/.\-]*[0-9])[A-Za-z0-9_+/.\-]{12,}|[A-Z]{16,}(?![A-Za-z0-9_+/.\-]))")
 WORD = re.compile(r"[^\W\d_]+")
 NEAR, HASHED = 48, 24
 #: Words of a path that say that its strings are samples.
@@ -45,11 +47,15 @@ def _bucket(word: str, n: int) -> int:
 
 
 def corpus_dictionary(docs: DataFrame, text_col: str = "text", size: int = 5_000) -> dict[str, int]:
-    """The ``size`` most frequent words of 3 to 14 lower-case letters over all texts, with counts (ties by code point)."""
+    """The most frequent words of 3 to 14 lower-case letters over all texts, with counts: all words above the count at which there
+    would be more than ``size``, so never more than that reach the driver."""
     word = F.explode(F.split(F.lower(F.col(text_col)), r"[\x20\x09-\x0D]+")).alias("word")
     plain = docs.select(word).filter(F.col("word").rlike(r"^\p{Ll}{3,14}$"))
-    top = plain.groupBy("word").count().orderBy(F.desc("count"), "word").limit(size)
-    return {r["word"]: r["count"] for r in top.collect()}
+    counts = materialise(plain.groupBy("word").agg(F.count("*").alias("n")), "secret-words")
+    upto = F.sum("words").over(Window.orderBy(F.desc("n")))  # one row per count, not per word
+    levels = counts.groupBy("n").agg(F.count("*").alias("words")).withColumn("upto", upto)
+    least = levels.filter(F.col("upto") <= size).agg(F.min("n")).first()[0]
+    return {r["word"]: r["n"] for r in counts.filter(F.col("n") >= (least or 0)).collect()} if least else {}
 
 
 class Lexicon:
@@ -129,8 +135,8 @@ def train(found: DataFrame, label: Column, sample_rows: int = 5_000, trees: int
     """Fit the forest on at most ``sample_rows`` labelled candidates of either class (smallest hash first); the constant share of
     secrets if there is one class only, 1 (nothing is removed) without labels."""
     labelled = found.withColumn("label", label).filter("label is not null")
-    each = [labelled.filter(F.col("label") == v).orderBy(F.xxhash64(F.lit(seed), "row", "start"), "row", "start").limit(sample_rows)
-            .select("label", "features") for v in (0.0, 1.0)]
+    at = F.xxhash64(F.lit(seed), "row", "start")
+    each = [smallest_hashes(labelled.filter(F.col("label") == v), at, sample_rows, "row", "start").select("label", "features") for v in (0.0, 1.0)]
     sample = materialise(each[0].unionByName(each[1]).coalesce(1), "secret-sample")
     classes = {r["label"] for r in sample.select("label").distinct().collect()}
     if len(classes) < 2:

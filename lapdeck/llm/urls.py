@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapdeck.llm.common import ascii_lower, materialise
+from lapdeck.llm.common import ascii_lower, materialise, smallest_hashes
 
 # (verdict, host, path), as given for the production filter.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -115,8 +115,8 @@ def train(rows: DataFrame, sample_rows: int = 10_000, trees: int = 20, depth: in
     """
     cols = ["label", *FEATURES]
     labelled = rows.filter("label is not null")
-    each = [labelled.filter(F.col("label") == v).orderBy(F.xxhash64(F.lit(seed), "host", "path", "id")).limit(sample_rows).select(*cols)
-            for v in (0.0, 1.0)]
+    at = F.xxhash64(F.lit(seed), "host", "path", "id")
+    each = [smallest_hashes(labelled.filter(F.col("label") == v), at, sample_rows, "host", "path").select(*cols) for v in (0.0, 1.0)]
     sample = materialise(each[0].unionByName(each[1]).coalesce(1), "url-sample")
     classes = {r["label"] for r in sample.select("label").distinct().collect()}
     if len(classes) < 2:
