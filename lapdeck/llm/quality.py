@@ -108,6 +108,8 @@ class _Facts:
         gram = tp.scramble((d[:-2] << 16 | d[1:-1] << 8 | d[2:]).astype(tp.U)) % tp.U(DIM - SHAPES)
         at = np.searchsorted(w.text_at, np.arange(len(gram)), "right") - 1 if len(gram) else np.zeros(0, int)
         at = np.minimum(at, len(total) - 1)
+        inside = np.arange(len(gram)) + 2 < w.text_at[at + 1] - 1  # a text's score depends on no other text
+        at, gram = at[inside], gram[inside]
         bytes_of = np.diff(w.text_at) + FEW_BYTES
         return (np.concatenate([w.text, at]), np.concatenate([self.shape, gram.astype(int) + SHAPES]),
                 np.concatenate([4.0 / total[w.text], 4.0 / bytes_of[at]]))
