@@ -85,9 +85,8 @@ class SequenceSpec:
     sector_hi: float = 60.0
     position: str | None = "Position"
     chunk: str | None = None
-    # adaptive split: a (group, chunk) cell with more rows than this is cut
-    # into equal ranges of the first order column (sized to this many rows
-    # under uniform density); None = no adaptive split
+    # adaptive split: a (group, chunk) cell with more rows than this is cut at
+    # quantiles of the order key into pieces of about this many; None = no split
     max_chunk_rows: int | None = None
     # None = exact quantiles (pandas' linear interpolation); an int switches
     # to percentile_approx with that accuracy for high-cardinality measures
@@ -333,45 +332,33 @@ def _stints_and_counts(base: DataFrame, spec: SequenceSpec, fams: set[str],
     return out.select(*g, *keep)
 
 
-def _numeric_order(df: DataFrame, c: str) -> Column | None:
-    """A numeric, non-decreasing image of an order column (for range splits)."""
-    t = df.schema[c].dataType
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-    if isinstance(t, T.DateType):
-        return F.unix_date(F.col(c)).cast("double")
-    if isinstance(t, T.NumericType):
-        return F.col(c).cast("double")
-    return None
+SAMPLES_PER_CUT = 32
 
 
 def _split_hot_cells(rows: DataFrame, spec: SequenceSpec) -> DataFrame:
-    """Cut (group, chunk) cells holding more than ``max_chunk_rows`` rows into
-    sub-ranges of the first order column.
-
-    Cell sizes come from one partial aggregate; only the hot cells are kept
-    and broadcast back, so the rows are not shuffled for this.  The broadcast
-    has a proven bound: every hot cell holds more than ``max_chunk_rows``
-    rows, so there are fewer than rows / max_chunk_rows of them (under 500k
-    small rows for 10^12 input rows at the default 2M).  The sub-range index
-    is a non-decreasing function of the order, which is all the carry-over
-    across chunks needs; results are exact whatever the density.
+    """Cut (group, chunk) cells holding more than ``max_chunk_rows`` rows into sub-ranges of about that many rows.
+
+    The cuts are quantiles of the full order key, tie-break included, so a burst at one time is
+    cut as well: about ``SAMPLES_PER_CUT`` keys per ``max_chunk_rows`` rows, chosen by their hash, are
+    sorted, and every ``SAMPLES_PER_CUT``-th is a cut.  Cell sizes and samples come from one partial aggregate; only the hot
+    cells are kept and broadcast back, so the rows are not shuffled for this.  The broadcast has a
+    proven bound: there are fewer than rows / max_chunk_rows cells and as many cuts.  The sub-range index never
+    decreases along the order, which is all the carry-over needs; results are exact for any cuts.
     """
     g = list(spec.group)
-    o1 = _numeric_order(rows, spec.order[0])
-    if o1 is None or not spec.max_chunk_rows:
+    if not spec.max_chunk_rows:
         return rows.withColumn("__chunk", F.col("__chunk0")).drop("__chunk0")
+    key = F.struct(*spec.order)
+    sampled = F.pmod(F.xxhash64(*spec.order), F.lit(spec.max_chunk_rows)) < SAMPLES_PER_CUT
     hot = (rows.groupBy(*g, "__chunk0")
-           .agg(F.count(F.lit(1)).alias("__n"), F.min(o1).alias("__lo"), F.max(o1).alias("__hi"))
+           .agg(F.count(F.lit(1)).alias("__n"), F.sort_array(F.collect_list(F.when(sampled, key))).alias("__keys"))
            .filter(F.col("__n") > spec.max_chunk_rows))
+    cuts = F.filter("__keys", lambda x, i: i % SAMPLES_PER_CUT == SAMPLES_PER_CUT - 1)
+    hot = hot.select(*g, "__chunk0", cuts.alias("__cuts"))
     j = _null_safe_join(rows, F.broadcast(hot), [*g, "__chunk0"], "left")
-    parts = F.ceil(F.col("__n") / F.lit(spec.max_chunk_rows))
-    width = (F.col("__hi") - F.col("__lo")) / parts
-    sub = (F.when(F.col("__n").isNull() | (width <= 0), F.lit(0))
-           .otherwise(F.least(F.floor((o1 - F.col("__lo")) / width), parts - 1)))
-    return (j.withColumn("__chunk", F.struct(F.col("__chunk0").alias("c"),
-                                             sub.cast("long").alias("s")))
-            .drop("__chunk0", "__n", "__lo", "__hi"))
+    sub = F.coalesce(F.size(F.filter("__cuts", lambda c: c <= key)), F.lit(0))
+    return (j.withColumn("__chunk", F.struct(F.col("__chunk0").alias("c"), sub.cast("long").alias("s")))
+            .drop("__chunk0", "__cuts"))
 
 
 def _windowed(base: DataFrame, spec: SequenceSpec, want_trend: bool,

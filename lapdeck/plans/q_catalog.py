@@ -325,7 +325,7 @@ k AS (
     + (SELECT count(*) FILTER (WHERE NOT (has_click AND has_view AND has_purchase)) > 0 FROM p)::INT
     + (SELECT COALESCE(date_sub('day', max(ts), TIMESTAMP '2024-03-01 00:00:00') > 21, FALSE)
        FROM events WHERE event_type = 'purchase')::INT AS warnings,
-    (SELECT count(*) > 0 FROM (SELECT user_id, day FROM p GROUP BY user_id, day
+    (SELECT count(*) > 0 FROM (SELECT user_id FROM p GROUP BY user_id
                                HAVING count(*) > 1))::INT AS errors
 )
 SELECT errors = 0 AS validation_passed, CAST(errors AS BIGINT) AS total_errors,
@@ -337,27 +337,18 @@ FROM k
 
 @register("catalog_verdict", SQL_VERDICT, "C21")
 def q_verdict(spark, sf_dir):
-    """One scan of events: the presence catalog (with each group's latest
-    purchase time) is built once and materialised in the shared checkpoint
-    folder; every check kind is then a small aggregate over that catalog."""
-    from lapdeck.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
+    """One pass: the presence catalog with its duplicate flags (here: users with several entries), and one aggregate with
+    an expression per check kind."""
     ev = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     latest = F.max(F.when(F.col("event_type") == "purchase", F.col("ts"))).alias("purchase_ts")
     cat = presence_flags(ev, ["user_id", "day"], "event_type", EVENT_TYPES, extra=[latest])
-    cat = completeness(cat, EVENT_TYPES, CRITICAL).checkpoint(eager=True)
-    # A group with a purchase but no view gets a warning row
-    w_partner = cat.select(F.coalesce(F.bool_or(F.col("has_purchase") & ~F.col("has_view")),
-                                      F.lit(False)).cast("int")).scalar()
-    # C17: any incomplete entry
-    w_parts = cat.select(F.coalesce(F.bool_or(~F.col("is_complete")),
-                                    F.lit(False)).cast("int")).scalar()
-    # Latest purchase older than 21 days at the as-of time
-    w_stale = freshness(cat, "purchase_ts", "2024-03-01 00:00:00").select(
-        F.col("is_stale").cast("int")).scalar()
-    # C20: duplicate catalog keys are errors
-    dups = flag_duplicates(cat.select("user_id", "day"), ["user_id", "day"])
-    errors = dups.select(F.coalesce(F.bool_or(~F.col("validation_passed")),
-                                    F.lit(False)).cast("int")).scalar()
-    n = cat.select(F.count(F.lit(1))).scalar()
-    return spark.range(1).select(*verdict(n, errors, w_partner + w_parts + w_stale))
+    cat = flag_duplicates(completeness(cat, EVENT_TYPES, CRITICAL), ["user_id"])
+
+    def any_row(cond):
+        return F.coalesce(F.bool_or(cond), F.lit(False)).cast("int")
+
+    stale = F.timestamp_diff("DAY", F.max("purchase_ts"), F.lit("2024-03-01 00:00:00").cast("timestamp_ntz")) > 21
+    facts = cat.agg(F.count(F.lit(1)).alias("n"), any_row(~F.col("validation_passed")).alias("errors"),
+                    any_row(F.col("has_purchase") & ~F.col("has_view")).alias("partner"),
+                    any_row(~F.col("is_complete")).alias("parts"), F.coalesce(stale, F.lit(False)).cast("int").alias("stale"))
+    return facts.select(*verdict(F.col("n"), F.col("errors"), F.col("partner") + F.col("parts") + F.col("stale")))

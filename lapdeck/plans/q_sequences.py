@@ -7,8 +7,8 @@ track status ok = event types other than ``error``, stint = weekday of ``ts``
 = 0) made NULL so the missing-position path runs, sectors = (value, k,
 value / 2).  Chunk (the unit of one window task) = the hour of ``ts``: a user holding a
 third of all rows is split into hourly slices; an hour that still holds more
-than 2M rows is cut further into equal time ranges sized for 2M rows at
-uniform density (``max_chunk_rows``); results are exact for any split.
+than 2M rows is cut further at quantiles of the lap order (``max_chunk_rows``);
+results are exact for any split.
 """
 
 from __future__ import annotations
