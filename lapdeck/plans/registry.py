@@ -53,6 +53,6 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 def load_all() -> dict[str, Query]:
     # imported for the side effect of registration
     for mod in ("q_sequences", "q_results", "q_catalog", "q_validation", "q_checks",
-                "q_planning", "q_changes", "q_sources", "q_landed"):
+                "q_planning", "q_changes", "q_sources", "q_landed", "q_rules"):
         importlib.import_module(f"lapdeck.plans.{mod}")
     return REGISTRY
