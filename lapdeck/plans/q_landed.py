@@ -6,7 +6,8 @@ manifest, the fan-in and the jobs then read that bucket.
 
 * results: ``orders`` -- a session is (year of o_orderdate, o_orderpriority, role of o_orderstatus: F is
   ``Race``, O is ``Qualifying``, P is ``Practice 1``); the driver is o_custkey, the position is its
-  rank by (o_totalprice, o_orderkey) within the session, Q1 a thousandth of the price.
+  rank by (o_totalprice, o_orderkey) within the session (null where the order key is a multiple of 50), Q1 a
+  thousandth of the price.
 * laps: ``lineitem`` of the orders of races and qualifyings -- a lap is a line, its time is 60 + l_quantity
   seconds, a returned line is a deleted lap.
 * session_info: one row per session with its first date.
@@ -29,6 +30,7 @@ from lapdeck.sources.manifest import list_files
 ROLES = {"F": "Race", "O": "Qualifying", "P": "Practice 1"}
 YEARS, PRIORITIES = (1995, 1996), ("1-URGENT", "5-LOW")
 BROKEN, THIN = (1995, "1-urgent", "Practice 1"), (1996, "5-low", "Practice 1")
+NOT_LANDED = (1996, "5-low", "Qualifying")
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +42,7 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _results(orders: DataFrame) -> DataFrame:
     rank = Window.partitionBy("year", "event", "session").orderBy("o_totalprice", "o_orderkey")
     return orders.select("year", "event", "session", F.col("o_custkey").cast("string").alias("DriverNumber"),
-                         F.row_number().over(rank).cast("double").alias("Position"), F.when(F.col("o_orderkey") % 3 == 0, "Engine").otherwise("Finished").alias("Status"),
+                         F.when(F.col("o_orderkey") % 50 != 0, F.row_number().over(rank)).cast("double").alias("Position"), F.when(F.col("o_orderkey") % 3 == 0, "Engine").otherwise("Finished").alias("Status"),
                          F.col("o_totalprice").cast("double").alias("Points"), (F.col("o_totalprice").cast("double") / 1000).alias("Q1"))
 
 
@@ -54,6 +56,9 @@ def _laps(orders: DataFrame, lines: DataFrame) -> DataFrame:
 
 def _land(spark: SparkSession, sf_dir: str) -> str:
     """One object (a folder of part files) per session of YEARS and PRIORITIES; the sessions of all others stay out."""
+    known = (spark.sparkContext.applicationId, sf_dir)
+    if known in _LANDED:
+        return _LANDED[known]
     root = scratch_path(spark, "landed")
     orders = _orders(spark, sf_dir)
     results, laps = _results(orders), _laps(orders, table(spark, sf_dir, "lineitem"))
@@ -62,6 +67,8 @@ def _land(spark: SparkSession, sf_dir: str) -> str:
     for year in YEARS:
         for event in (p.lower() for p in PRIORITIES):
             for session in ROLES.values():
+                if (year, event, session) == NOT_LANDED:
+                    continue
                 here = (F.col("year") == year) & (F.col("event") == event) & (F.col("session") == session)
                 folder = f"{root}/{year}/{event}/{session}"
                 rows = results.filter(here).drop("year", "event", "session")
@@ -73,16 +80,21 @@ def _land(spark: SparkSession, sf_dir: str) -> str:
                 if session != "Practice 1":
                     laps.filter(here).drop("year", "event", "session").coalesce(1).write.parquet(f"{folder}/laps.parquet")
                 info.filter(here).drop("year", "event", "session").coalesce(1).write.parquet(f"{folder}/session_info.parquet")
+    _LANDED[known] = root
     return root
 
 
+#: Buckets landed by an application, by folder of the given tables; the queries read the same one.
+_LANDED: dict[tuple[str, str], str] = {}
+
 _SESSIONS = """
 o AS (SELECT year(o_orderdate)::INT AS year, lower(o_orderpriority) AS event,
              CASE o_orderstatus WHEN 'F' THEN 'Race' WHEN 'O' THEN 'Qualifying' ELSE 'Practice 1' END AS session,
              o_custkey, o_totalprice::DOUBLE AS price, o_orderkey, o_orderdate
       FROM orders WHERE year(o_orderdate) IN (1995, 1996) AND o_orderpriority IN ('1-URGENT', '5-LOW')),
 grid AS (SELECT y AS year, e AS event, s AS session FROM (VALUES (1995), (1996)) a(y), (VALUES ('1-urgent'), ('5-low')) b(e),
-                (VALUES ('Race'), ('Qualifying'), ('Practice 1')) c(s)),
+                (VALUES ('Race'), ('Qualifying'), ('Practice 1')) c(s)
+         WHERE (y, e, s) <> (1996, '5-low', 'Qualifying')),
 n AS (SELECT g.year, g.event, g.session, count(o.o_orderkey) AS rows, min(o.o_orderdate)::TIMESTAMP AS first_date
       FROM grid g LEFT JOIN o ON g.year = o.year AND g.event = o.event AND g.session = o.session GROUP BY ALL),
 gate AS (SELECT *, CASE WHEN (year, event, session) = (1995, '1-urgent', 'Practice 1') THEN 'unreadable'
@@ -100,7 +112,7 @@ def q_scan_gated(spark, sf_dir):
 
 
 @register("fan_in_sessions", f"""WITH {_SESSIONS},
-r AS (SELECT o.*, row_number() OVER (PARTITION BY o.year, o.event, o.session ORDER BY price, o_orderkey)::DOUBLE AS position FROM o)
+r AS (SELECT o.*, CASE WHEN o_orderkey % 50 <> 0 THEN row_number() OVER (PARTITION BY o.year, o.event, o.session ORDER BY price, o_orderkey) END::DOUBLE AS position FROM o)
 SELECT r.year, r.event, r.session, CAST(o_custkey AS VARCHAR) AS driver, position, round(price, 6) AS points
 FROM r JOIN gate g ON r.year = g.year AND r.event = g.event AND r.session = g.session WHERE g.reason IS NULL""", "S2 S9 (fan-in of landed objects)")
 def q_fan_in(spark, sf_dir):
@@ -136,11 +148,11 @@ _RACE_ID = "r.year || '_R0' || CASE WHEN r.event = '1-urgent' THEN 1 ELSE 2 END"
 
 
 @register("race_results", f"""WITH {_SESSIONS},
-p AS (SELECT o.*, row_number() OVER (PARTITION BY year, event, session ORDER BY price, o_orderkey)::DOUBLE AS position FROM o)
+p AS (SELECT o.*, CASE WHEN o_orderkey % 50 <> 0 THEN row_number() OVER (PARTITION BY year, event, session ORDER BY price, o_orderkey) END::DOUBLE AS position FROM o)
 SELECT {_RACE_ID} AS race_id, r.event AS event_name, r.event AS circuit, CAST(r.o_custkey AS VARCHAR) AS driver_number, r.position AS finish_position,
        round(r.price, 6) AS points, round(q.price / 1000, 6) AS q1_seconds,
-       CASE WHEN r.o_orderkey % 3 = 0 THEN 'Engine' ELSE 'Finished' END AS status, r.o_orderkey % 3 <> 0 AS finished_race, r.position <= 10 AS finished_top10
-FROM p r LEFT JOIN p q ON q.session = 'Qualifying' AND q.year = r.year AND q.event = r.event AND q.o_custkey = r.o_custkey
+       CASE WHEN r.o_orderkey % 3 = 0 THEN 'Engine' ELSE 'Finished' END AS status, r.o_orderkey % 3 <> 0 AS finished_race, COALESCE(r.position <= 10, FALSE) AS finished_top10
+FROM p r LEFT JOIN p q ON q.session = 'Qualifying' AND q.year = r.year AND q.event = r.event AND q.o_custkey = r.o_custkey AND (q.year, q.event) <> (1996, '5-low')
 WHERE r.session = 'Race'""", "R1 R2 R5 R10 R11 (results job on landed objects)")
 def q_race_results(spark, sf_dir):
     root = _land(spark, sf_dir)
@@ -163,3 +175,59 @@ def q_lap_features(spark, sf_dir):
     cat = M.catalog_job(spark, root, first_year=None, glob="part-*").data
     cols = ["race_id", "year", "event_name", "driver_number", "total_laps", "valid_laps", "deleted_laps", "avg_lap_time", "best_lap_time", "median_lap_time"]
     return rounded(M.lap_features_job(spark, root, cat).data.select(*cols))
+
+
+_CATALOG = f"""WITH {_SESSIONS},
+nulls AS (SELECT year, event, session, bool_or(o_orderkey % 50 = 0) AS has_null FROM o GROUP BY ALL),
+cat AS (SELECT g.*, COALESCE(g.reason IS NULL AND has_null, FALSE) AS has_null, session <> 'Practice 1' AS is_complete,
+               CASE WHEN first_date IS NOT NULL THEN CASE WHEN g.event = '1-urgent' THEN 1 ELSE 2 END END AS round
+        FROM gate g LEFT JOIN nulls USING (year, event, session))"""
+
+
+def _catalog(spark: SparkSession, sf_dir: str) -> M.JobOutput:
+    return M.catalog_job(spark, _land(spark, sf_dir), first_year=None, glob="part-*")
+
+
+@register("catalog_issues", _CATALOG + """
+SELECT 'no_races' AS issue, (count(*) FILTER (WHERE session = 'Race') = 0)::BIGINT AS count FROM cat
+UNION ALL SELECT 'incomplete_races', count(*) FILTER (WHERE session = 'Race' AND NOT is_complete) FROM cat
+UNION ALL SELECT 'races_missing_qualifying', count(*) FROM cat r WHERE session = 'Race' AND NOT EXISTS (
+  SELECT 1 FROM cat q WHERE q.session = 'Qualifying' AND q.year = r.year AND q.round = r.round)
+UNION ALL SELECT 'sessions_with_null_positions', count(*) FILTER (WHERE has_null) FROM cat""", "C12 (catalog issues)")
+def q_catalog_issues(spark, sf_dir):
+    return _catalog(spark, sf_dir).extra["issues"]
+
+
+@register("catalog_warnings", _CATALOG + """
+SELECT year, event AS event_name, session, TRUE AS validation_passed,
+       CASE WHEN session = 'Race' AND NOT EXISTS (SELECT 1 FROM cat q WHERE q.session = 'Qualifying' AND q.year = r.year AND q.round = r.round)
+            THEN 'Missing qualifying session; ' ELSE '' END
+       || CASE WHEN has_null THEN 'Contains null positions (may be DNFs); ' ELSE '' END AS validation_warnings
+FROM cat r""", "C16 C17 C18 C20 (validated catalog)")
+def q_catalog_warnings(spark, sf_dir):
+    return _catalog(spark, sf_dir).data.select("year", "event_name", "session", "validation_passed", "validation_warnings")
+
+
+@register("catalog_statistics", _CATALOG + """
+SELECT count(*) AS total_sessions, count(*) FILTER (WHERE is_complete) AS complete_sessions, count(*) FILTER (WHERE NOT is_complete) AS incomplete_sessions,
+       round(avg(CASE WHEN is_complete THEN 3 ELSE 2 END / 7.0 * 100), 2) AS mean_completeness, count(*) FILTER (WHERE session = 'Race') AS races,
+       count(*) FILTER (WHERE session = 'Practice 1') AS practice_sessions FROM cat""", "C15 (build statistics)")
+def q_catalog_statistics(spark, sf_dir):
+    return M.build_statistics(_catalog(spark, sf_dir).data)
+
+
+@register("catalog_report", _CATALOG + """
+SELECT year, session, count(*) AS total, count(*) FILTER (WHERE is_complete) AS complete FROM cat GROUP BY ALL""", "C22 (report table)")
+def q_catalog_report(spark, sf_dir):
+    return M.report_tables(_catalog(spark, sf_dir).data)["by_year_session"]
+
+
+@register("results_skips", f"""WITH {_SESSIONS}
+SELECT count(*) FILTER (WHERE session = 'Race' AND rows = 0)::BIGINT AS skipped, count(*) FILTER (WHERE session = 'Race')::BIGINT AS selected,
+       count(*) FILTER (WHERE session = 'Race' AND rows > 0)::BIGINT AS processed FROM gate""", "R13 L21 (accounting of the results job)")
+def q_results_skips(spark, sf_dir):
+    from lapdeck.operators.results import accounting, select_races
+    root = _land(spark, sf_dir)
+    cat = M.catalog_job(spark, root, first_year=None, glob="part-*").data
+    job = M.race_results_job(spark, root, cat)
+    return accounting(select_races(cat), job.skips).select("skipped", "selected", "processed")
