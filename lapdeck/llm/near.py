@@ -328,8 +328,9 @@ def link_components(nodes: DataFrame, per_cent: int = 75, hot_list: int = HOT_LI
     families = materialise(connected_components(joined).select("node", F.col("comp").alias("family")), "near-families")
     links = materialise(_family_links(families, nodes, per_cent), "near-links")
     comps = _with_components(nodes, links)
-    others = postings.join(hot.select("token"), "token", "left_anti").join(families, "node", "left")
-    postings = materialise(others, "near-postings")
+    known = nodes.select("node", "n", "depth", "prefix").join(families, "node", "left")
+    postings = known.select("node", "n", "depth", "family", F.explode("prefix").alias("token"))
+    postings = materialise(postings.join(hot.select("token"), "token", "left_anti"), "near-postings")
 
     def lists(rows: DataFrame, by: str) -> DataFrame:
         """Shingles whose nodes have two or more values of ``by``; with the smallest."""
