@@ -1,22 +1,35 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A code is cut into ``segments`` pieces; a table maps (segment, value) to the codes that have it.
-Round r probes every segment of a query with all values at distance r from its own.
-Two codes at distance d agree within ``d // segments`` on some segment, so after round r all codes closer
-than ``segments * (r + 1)`` have been seen.  A query ends when its k-th best verified distance is
-below that bound (or it has all rows); the others go on to radius r + 1.
+A code is cut into ``segments`` pieces; for each piece the codes are sorted by its value.  Round r
+probes every segment of a query with all values at distance r from its own.  Two codes at
+distance d agree within ``d // segments`` on some segment, so after round r all codes closer than
+``segments * (r + 1)`` have been seen.  A query ends when its k-th best verified distance is below that
+bound (or it has all codes); else it goes on to radius r + 1.
+
+The codes are dealt over tasks, which index their own and answer all queries; a task's k best hold every
+one of its codes that is among the k best of all, so merging them is exact.  The queries are a stated
+set and go out in blocks of ``block`` codes.  With the square root of the number of codes as the number of
+tasks, neither a task's index nor the merged answers grow as fast as the table.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from functools import cache
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lapdeck.llm.common import materialise
 
+U = np.uint64
+CODES_PER_TASK = 1_024  # tasks: the root of (codes / this)
+
 
 def sign_code(vector: Column, bits: int = 64) -> Column:
     """Bit i (from the lowest) says that component i is at least 0; null for null vectors, other lengths and null components."""
@@ -25,28 +38,71 @@ def sign_code(vector: Column, bits: int = 64) -> Column:
     return F.when((F.size(vector) == bits) & ~F.exists(vector, F.isnull), code)
 
 
-def _pieces(code: Column, segments: int, bits: int) -> list[tuple[int, int, Column]]:
-    """(segment, width, value) by segment; widths differ by one at most."""
-    edges = [bits * s // segments for s in range(segments + 1)]
-    return [(s, b - a, F.shiftrightunsigned(code, a).bitwiseAND(F.lit((1 << (b - a)) - 1)).cast("long"))
-            for s, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
-
-
-def _probe(segment: int, value: Column):
-    return lambda mask: F.struct(F.lit(segment).alias("segment"), value.bitwiseXOR(mask).alias("value"))
-
-
-def _keys(codes: DataFrame, col: str, segments: int, bits: int, radius: int = 0) -> DataFrame:
-    """A row per code, segment and value at exactly ``radius`` from the code's own."""
-    rows = []
-    for s, width, value in _pieces(F.col(col), segments, bits):
-        if radius <= width:
-            masks = [sum(1 << i for i in c) for c in combinations(range(width), radius)]
-            rows.append(F.transform(F.lit(masks).cast("array<long>"), _probe(s, value)))
-    return codes.select("*", F.explode(F.concat(*rows)).alias("key")).select("*", "key.segment", "key.value").drop("key")
-
-
-def search(queries: DataFrame, rows: DataFrame, k: int = 10, bits: int = 64, segments: int | None = None) -> DataFrame:
+@cache
+def _masks(width: int, radius: int) -> np.ndarray:
+    """All ``width``-bit values with ``radius`` bits set."""
+    return np.array([sum(1 << i for i in c) for c in combinations(range(width), radius)], U)
+
+
+class Index:
+    """Multi-index over distinct codes; ``rows`` tells how many rows (k at most) have each code."""
+
+    def __init__(self, codes: np.ndarray, rows: np.ndarray, bits: int = 64, segments: int | None = None):
+        self.codes, self.rows = codes, rows
+        self.segments = segments or max(1, round(bits / max(8, len(codes).bit_length())))
+        edges = [bits * s // self.segments for s in range(self.segments + 1)]
+        self.cuts = [(U(a), b - a, U((1 << (b - a)) - 1)) for a, b in zip(edges, edges[1:], strict=False)]
+        self.order, self.values = [], []
+        for shift, _, mask in self.cuts:
+            value = (codes >> shift) & mask
+            self.order.append(np.argsort(value, kind="stable"))
+            self.values.append(value[self.order[-1]])
+
+    def nearest(self, query: U, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(codes' numbers, distances) of the codes that hold the ``k`` nearest rows, all ties at the last distance included."""
+        seen = np.zeros(len(self.codes), bool)
+        need, found, distance = min(k, int(self.rows.sum())), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for radius in range(max(w for _, w, _ in self.cuts) + 1):
+            for (shift, width, mask), order, values in zip(self.cuts, self.order, self.values, strict=True):
+                if radius <= width:
+                    probe = ((query >> shift) & mask) ^ _masks(width, radius)
+                    start, stop = np.searchsorted(values, probe, "left"), np.searchsorted(values, probe, "right")
+                    size = stop - start
+                    hit = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())
+                    hit = order[hit]
+                    hit = np.unique(hit[~seen[hit]])
+                    seen[hit] = True
+                    found = np.concatenate([found, hit])
+                    distance = np.concatenate([distance, np.bitwise_count(self.codes[hit] ^ query).astype(np.int64)])
+            covered = distance < self.segments * (radius + 1)
+            if self.rows[found[covered]].sum() >= need:
+                break
+        order = np.argsort(distance, kind="stable")
+        found, distance = found[order], distance[order]
+        before = np.cumsum(self.rows[found]) - self.rows[found]  # rows of nearer or equal codes before it
+        last = distance[before < k].max(initial=-1)
+        return found[distance <= last], distance[distance <= last]
+
+
+def _nearest_entries(queries: list[int], entries: DataFrame, k: int, bits: int, segments: int | None) -> DataFrame:
+    """(q, code, n, distance): for a block of query codes, each task's nearest entries (code, n)."""
+    asked = np.array(queries, np.int64)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(b.column("code").to_numpy(), b.column("n").to_numpy()) for b in batches if len(b)]
+        if not parts:
+            return
+        codes, rows = (np.concatenate(x) for x in zip(*parts, strict=True))
+        index = Index(codes.view(U), rows, bits, segments)
+        for q in asked:
+            at, distance = index.nearest(q.view(U), k)
+            yield pa.RecordBatch.from_pydict({"q": pa.array(np.full(len(at), q)), "code": pa.array(codes[at]), "n": pa.array(rows[at]),
+                                              "distance": pa.array(distance, pa.int32())})
+
+    return entries.mapInArrow(search, "q long, code long, n long, distance int")
+
+
+def search(queries: DataFrame, rows: DataFrame, k: int = 10, bits: int = 64, segments: int | None = None, block: int = 20_000) -> DataFrame:
     """The ``k`` rows nearest to each query by Hamming distance; ties by the smaller row id.
 
     Both tables have (id long, code long).  Null codes and null ids are left out.  Returns query_id, neighbor_id,
@@ -59,42 +115,28 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 10, bits: int = 64, seg
     ids = Window.partitionBy("code").orderBy("id")
     rows = rows.filter("id is not null and code is not null").dropDuplicates(["id", "code"])
     copies = materialise(rows.withColumn("copy", F.row_number().over(ids)).filter(F.col("copy") <= k), "mih-rows")
-    n_copies = copies.groupBy("code").agg(F.count("*").alias("n"))
-    entries = materialise(n_copies, "mih-codes")
-    distinct, need = entries.count(), min(k, copies.count())
-    if segments is None:
-        segments = max(1, round(bits / max(8, (max(distinct, 2) - 1).bit_length())))
-    index = materialise(_keys(entries.withColumnRenamed("code", "entry"), "entry", segments, bits), "mih-index")
+    entries = materialise(copies.groupBy("code").agg(F.count("*").alias("n")), "mih-codes")
+    tasks = math.ceil(math.sqrt(max(1, entries.count()) / CODES_PER_TASK))
+    entries = entries.repartition(tasks)
     asked = queries.filter("id is not null and code is not null").dropDuplicates(["id", "code"])
     asked = materialise(asked, "mih-queries")
-    open_codes = asked.select(F.col("code").alias("q")).distinct()
-    found, best = [], None
-    widest = -(-bits // segments)
-    for radius in range(widest + 1):
-        probes = _keys(open_codes, "q", segments, bits, radius)
-        # a few queries make very many probes, which no estimate of their size shows: never broadcast them
-        seen = probes.hint("merge").join(index, ["segment", "value"]).select("q", "entry", "n").distinct()
-        seen = seen.withColumn("distance", F.bit_count(F.col("q").bitwiseXOR(F.col("entry"))))
-        if best is not None:
-            seen = seen.unionByName(best).distinct()
+    found, part = None, []
+
+    def run(codes: list[int]) -> DataFrame:
+        near = _nearest_entries(codes, entries, k, bits, segments)
         # an entry stays while the entries strictly nearer than it hold fewer than k rows
         nearer = Window.partitionBy("q").orderBy("distance").rangeBetween(Window.unboundedPreceding, -1)
-        kept = seen.withColumn("before", F.coalesce(F.sum("n").over(nearer), F.lit(0))).filter(F.col("before") < k).drop("before")
-        kept = materialise(kept, f"mih-{radius}")
-        bound = segments * (radius + 1)  # all codes nearer than this have been seen
-        done = kept.filter(F.col("distance") < bound).groupBy("q").agg(F.sum("n").alias("rows")).filter(F.col("rows") >= need)
-        if radius == widest:  # every code has been seen
-            found.append(kept)
-            break
-        found.append(kept.join(done.select("q"), "q", "left_semi"))
-        open_codes = materialise(open_codes.join(done.select("q"), "q", "left_anti"), f"mih-open-{radius}")
-        if open_codes.isEmpty():
-            break
-        best = kept.join(open_codes, "q", "left_semi")
-    entries_found = found[0]
-    for f in found[1:]:
-        entries_found = entries_found.unionByName(f)
-    pairs = entries_found.select("q", F.col("entry").alias("code"), "distance").join(copies.select("code", "id"), "code")
+        kept = near.withColumn("before", F.coalesce(F.sum("n").over(nearer), F.lit(0))).filter(F.col("before") < k)
+        return materialise(kept.select("q", "code", "distance"), "mih-found")
+
+    for r in asked.select("code").distinct().toLocalIterator():  # a block at a time
+        part.append(r["code"])
+        if len(part) >= block:
+            found = run(part) if found is None else found.unionByName(run(part))
+            part = []
+    if part or found is None:
+        found = run(part) if found is None else found.unionByName(run(part))
+    pairs = found.join(copies.select("code", "id"), "code")
     order = Window.partitionBy("q").orderBy("distance", "id")
     top = pairs.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     top = top.select(F.col("q").alias("code"), F.col("id").alias("neighbor_id"), "distance", "rank")

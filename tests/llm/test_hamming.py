@@ -17,8 +17,9 @@ def signed(x):
     return x - 2**64 if x >= 2**63 else x
 
 
-@pytest.mark.parametrize("segments", [None, 16])
-def test_equals_brute_force(spark, segments):
+@pytest.mark.parametrize(("segments", "block"), [(None, 20_000), (16, 3), (4, 20_000)])
+def test_equals_brute_force(spark, monkeypatch, segments, block):
+    monkeypatch.setattr(hamming, "CODES_PER_TASK", 20)
     rng = random.Random(4)
     base = [rng.getrandbits(64) for _ in range(6)]
     rows = []
@@ -27,10 +28,10 @@ def test_equals_brute_force(spark, segments):
         for _ in range(rng.choice((0, 1, 3, 12))):
             c ^= 1 << rng.randrange(64)
         rows.append((i, signed(base[0] if i % 3 == 0 else c)))
-    rows += [(None, 5), (281, None), (282, signed(rows[7][1] & (2**64 - 1) ^ 0xFFFFF)), rows[9]]
+    rows += [(None, 5), (281, None), (282, signed(rows[7][1] & (2**64 - 1) ^ (2**64 - 1))), rows[9]]
     queries = [r for r in rows if r[0] is None or r[0] % 40 == 0 or r[0] > 280]
     t = [spark.createDataFrame(x, "id long, code long").repartition(3) for x in (queries, rows)]
-    got = sorted(tuple(r) for r in hamming.search(*t, k=5, segments=segments).select("query_id", "neighbor_id", "distance", "rank").collect())
+    got = sorted(tuple(r) for r in hamming.search(*t, k=5, segments=segments, block=block).select("query_id", "neighbor_id", "distance", "rank").collect())
     assert got == brute(queries, rows, 5)
 
 
