@@ -153,7 +153,7 @@ def test_cluster_conf_and_dimensions(spark):
     from lapdeck.functions.domains import session_codes
     from lapdeck.session import cluster_conf
     conf = cluster_conf(100 * 2**40)  # 100 TiB: every partition of the stated size
-    assert int(conf["spark.sql.shuffle.partitions"]) == 100_000  # capped
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
     assert int(cluster_conf(10 * 2**30)["spark.sql.shuffle.partitions"]) == 200
     codes = {r.code: r.session_name for r in session_codes(spark).collect()}
     assert codes["R"] == "Race" and codes["FP2"] == "Practice 2"
