@@ -275,3 +275,55 @@ def q_cache_sizes(spark, sf_dir):
     sizes = p.cache_sizes(d, ["lang"])
     return sizes.select("lang", F.explode("size_mb").alias("data_type", "mb")).withColumn(
         "mb", F.round("mb", 9))
+
+
+@register("ledger_append", """
+SELECT CAST(conv_id AS VARCHAR) AS event, count(*) AS attempts, count(*) FILTER (WHERE role = 'assistant') AS successes,
+       arg_max(role = 'assistant', turn) AS latest_success
+FROM conversations GROUP BY conv_id
+""", "P14 (append-only ledger, written in two runs)")
+def q_ledger_append(spark, sf_dir):
+    from lapdeck.session import scratch_path
+    from lapdeck.sources.sinks import append_ledger
+    c = table(spark, sf_dir, "conversations").select(
+        F.lit(2024).alias("year"), F.col("conv_id").cast("string").alias("event"), F.timestamp_seconds("turn").alias("attempt_ts"),
+        (F.col("role") == "assistant").alias("success"), "turn")
+    path = scratch_path(spark, "ledger")
+    append_ledger(c.filter("turn % 2 = 0"), path)
+    ledger = append_ledger(c.filter("turn % 2 <> 0"), path)
+    return ledger.groupBy("event").agg(
+        F.count("*").alias("attempts"), F.count_if("success").alias("successes"), F.max_by("success", "attempt_ts").alias("latest_success"))
+
+
+@register("plan_season_tag", "SELECT o_orderkey, year(o_orderdate)::INT AS Season FROM orders", "P1")
+def q_season_tag(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return p.season_tag(o.select("o_orderkey", "o_orderdate"), F.year("o_orderdate")).select("o_orderkey", "Season")
+
+
+SQL_INFO = """
+SELECT c_name AS event_name, lower(c_name) AS location, CAST(c_nationkey AS VARCHAR) AS country, s.name AS session_name,
+       TIMESTAMP '2024-03-01 10:00:00' + to_days(CAST(c_custkey % 300 + s.i AS INTEGER)) AS session_date,
+       c_mktsegment AS event_format, CAST(c_custkey AS INT) AS round_number, 'Grand ' || c_name AS official_event_name,
+       'Practice 1' AS session_1, CASE WHEN c_custkey % 4 = 0 THEN 'Sprint' END AS session_2, 'Race' AS session_3
+FROM customer, (VALUES (0, 'Practice 1'), (1, 'Sprint'), (2, 'Race')) s(i, name)
+WHERE s.name <> 'Sprint' OR c_custkey % 4 = 0
+"""
+
+
+@register("session_info_build", SQL_INFO, "P12")
+def q_session_info(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    day = [F.expr(f"timestamp_ntz'2024-03-01 10:00:00' + make_dt_interval(cast(c_custkey % 300 + {i} as int))") for i in range(3)]
+    schedule = c.select(
+        F.col("c_name").alias("EventName"), F.lower("c_name").alias("Location"), F.col("c_nationkey").cast("string").alias("Country"),
+        F.col("c_mktsegment").alias("EventFormat"), F.col("c_custkey").cast("int").alias("RoundNumber"),
+        F.concat(F.lit("Grand "), "c_name").alias("OfficialEventName"), F.lit("Practice 1").alias("Session1"),
+        F.when(F.col("c_custkey") % 4 == 0, "Sprint").alias("Session2"), F.lit("Race").alias("Session3"),
+        F.lit(None).cast("string").alias("Session4"), F.lit(None).cast("string").alias("Session5"),
+        *[d.alias(f"Session{i}DateUtc") for i, d in enumerate(day, 1)],
+        *[F.lit(None).cast("timestamp_ntz").alias(f"Session{i}DateUtc") for i in (4, 5)])
+    plan = p.schedule_unpivot(schedule, ["EventName"]).select("EventName", "session")
+    info = p.session_info_rows(schedule, plan)
+    return info.select("event_name", "location", "country", "session_name", "session_date", "event_format", "round_number",
+                       "official_event_name", "session_1", "session_2", "session_3")

@@ -95,3 +95,13 @@ def delete_partition(spark: SparkSession, root: str, **keys: str | int) -> bool:
     path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{sub}")
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.delete(path, True))
+
+
+def append_ledger(attempts: DataFrame, path: str) -> DataFrame:
+    """Append run attempts to the ledger at ``path`` and return the whole ledger.  Rows are never rewritten;
+    columns that ``attempts`` lacks are null."""
+    from lapdeck.operators.planning import LEDGER_SCHEMA
+    fields = [c.split() for c in LEDGER_SCHEMA.split(", ")]
+    row = [F.col(n).cast(t).alias(n) if n in attempts.columns else F.lit(None).cast(t).alias(n) for n, t in fields]
+    attempts.select(*row).write.mode("append").parquet(path)
+    return attempts.sparkSession.read.schema(LEDGER_SCHEMA).parquet(path)
