@@ -134,3 +134,41 @@ def q_stream(spark, sf_dir):
     out = spark.read.parquet(target)
     return out.select("user_id", F.col("day").cast("date").alias("day"),
                       *[c for c in out.columns if c.startswith("has_")], "n_present")
+
+
+SQL_REFRESH_DELETED = """
+WITH ev AS (SELECT *, CAST(ts AS DATE) AS day FROM events),
+e AS (SELECT * FROM ev WHERE day <> (SELECT min(day) FROM ev) AND (day <> (SELECT max(day) FROM ev) OR user_id % 2 = 0))
+SELECT user_id, day, count(*)::BIGINT AS rows, bool_or(event_type = 'purchase') AS has_purchase FROM e GROUP BY user_id, day
+"""
+
+
+@register("refresh_deleted", SQL_REFRESH_DELETED, "T3 (deleted and changed files)")
+def q_refresh_deleted(spark, sf_dir):
+    """Land ``events`` by day and refresh; then delete the first day, rewrite the last day with half of its users, and refresh."""
+    from pyspark.sql import types as T
+
+    from lapdeck.session import scratch_path
+    from lapdeck.sources.sinks import delete_partition
+    from lapdeck.streaming.refresh import refresh_changes
+
+    base = scratch_path(spark, "refresh-deleted")
+    landing, target, snapshots = f"{base}/landing", f"{base}/target", f"{base}/snapshots"
+    ev = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.to_date("ts").alias("day"))
+    schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+                           T.StructField("event_type", T.StringType()), T.StructField("day", T.DateType())])
+
+    def rebuild(df):
+        return df.groupBy("user_id", "day").agg(F.count("*").alias("rows"), F.bool_or(F.col("event_type") == "purchase").alias("has_purchase"))
+
+    def refresh():
+        refresh_changes(spark, landing, schema, target, ["day"], rebuild, snapshots)
+
+    ev.repartition("day").write.partitionBy("day").parquet(landing)
+    refresh()
+    lo, hi = ev.agg(F.min("day"), F.max("day")).first()
+    delete_partition(spark, landing, day=lo)
+    (ev.filter((F.col("day") == F.lit(hi)) & (F.col("user_id") % 2 == 0)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(landing))
+    refresh()
+    return spark.read.schema("user_id long, rows long, has_purchase boolean, day date").parquet(target)

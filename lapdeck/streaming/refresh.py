@@ -17,11 +17,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lapdeck.operators.changes import manifest_diff
+from lapdeck.sources.manifest import list_files
+from lapdeck.sources.sinks import delete_partition
+
 
 def refresh_batch(spark: SparkSession, batch: DataFrame, landing: str, schema: T.StructType,
                   target: str, partition_cols: Sequence[str],
@@ -29,11 +34,9 @@ def refresh_batch(spark: SparkSession, batch: DataFrame, landing: str, schema: T
     """One micro-batch: rebuild the partitions the batch touched."""
     touched = batch.select(*partition_cols).distinct()
     full = spark.read.schema(schema).parquet(landing)
-    # broadcast the touched partition list so a hot partition is not read by
-    # one join task.  Its size is bounded by the batch's new files (one
-    # partition value per file at most), a list the file source already
-    # holds on the driver; ``max_files_per_trigger`` caps it further.
-    affected = full.join(F.broadcast(touched), list(partition_cols), "left_semi")
+    # a plain semi-join on partition columns: AQE broadcasts the list by its measured bytes
+    # and prunes the folders that are read
+    affected = full.join(touched, list(partition_cols), "left_semi")
     (rebuild(affected).hint("rebalance", *partition_cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(target))
@@ -95,3 +98,37 @@ def start_catalog_refresh(spark: SparkSession, root: str, out: str, checkpoint:
     w = stream.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
+
+
+def refresh_changes(spark: SparkSession, landing: str, schema: T.StructType, target: str,
+                    partition_cols: Sequence[str], rebuild: Callable[[DataFrame], DataFrame],
+                    snapshots: str) -> dict[str, int]:
+    """T3 by manifest: rebuild the partitions whose files are new, changed or gone since the last run.
+
+    ``landing`` is partitioned by folder (``col=value``).  The manifest of the last run is kept at ``snapshots`` (append-only, on
+    shared storage) and is written last, so a run that fails is repeated whole.  Partitions that
+    have lost all their files are removed from ``target``.  Returns counts of what was done.
+    """
+    files = list_files(spark, landing, glob="part-*")
+    parts = [F.url_decode(F.regexp_extract("path", f"/{c}=([^/]+)", 1)).cast(schema[c].dataType).alias(c) for c in partition_cols]
+    try:
+        kept = spark.read.schema("path string, length long, modificationTime timestamp, version int").parquet(snapshots)
+        last = kept.agg(F.max("version")).first()[0]
+        old = kept.filter(F.col("version") == last).drop("version")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last, old = 0, files.limit(0)
+    changed = manifest_diff(old, files).filter("change <> 'unchanged'")
+    touched = changed.select(*parts).distinct()
+    there = files.select(*parts).distinct()
+    done = {"touched": touched.count(), "removed": 0}
+    if done["touched"]:
+        full = spark.read.schema(schema).parquet(landing)
+        affected = full.join(touched, list(partition_cols), "left_semi")
+        (rebuild(affected).hint("rebalance", *partition_cols).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(target))
+        for r in touched.join(there, list(partition_cols), "left_anti").toLocalIterator():  # folders to delete
+            done["removed"] += delete_partition(spark, target, **{c: r[c] for c in partition_cols})
+        files.withColumn("version", F.lit(last + 1)).write.mode("append").parquet(snapshots)
+    return done
