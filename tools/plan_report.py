@@ -18,9 +18,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 
 def shape(plan: str) -> dict:
-    # an executed adaptive plan prints the final plan and then the initial
-    # one; count the final plan only
-    plan = plan.split("== Initial Plan ==")[0]
     lines = plan.splitlines()
     count = lambda pat: sum(1 for ln in lines if re.search(pat, ln))
     return {
@@ -33,7 +30,7 @@ def shape(plan: str) -> dict:
         "windows": count(r"\bWindow \["),
         "group_limit": count(r"WindowGroupLimit"),
         "aggs": count(r"HashAggregate|SortAggregate|ObjectHashAggregate"),
-        "python": count(r"PythonUDF|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas"),
+        "python": count(r"PythonUDF|ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroupsInPandas"),
         "nested_loop": count(r"BroadcastNestedLoopJoin|CartesianProduct"),
     }
 
@@ -46,8 +43,9 @@ def main(argv):
     cols = ["scans", "hash_exch", "single_exch", "range_exch", "bhj", "smj", "windows",
             "group_limit", "aggs", "python", "nested_loop"]
     out = ["# PLANS", "",
-           f"Physical plan shape of every registered query (final AQE plans, `{sf_dir}`,",
-           "local[8]; generated by `tools/plan_report.py`).  `hash_exch` counts hash",
+           f"Physical plan shape of every registered query (`{sf_dir}`, local[8]; generated by",
+           "`tools/plan_report.py`), as initial / final adaptive plan where they differ.  Jobs that a query runs",
+           "before its last plan (written tables) are not counted.  `hash_exch` counts hash",
            "shuffles -- most carry partial aggregates, not rows (see README, Design for",
            "scale); `bhj` are joins AQE or a size check turned into broadcasts;",
            "`group_limit` = map-side WindowGroupLimit; `python` = Python in the plan.", "",
@@ -57,8 +55,10 @@ def main(argv):
         df = q.build(spark, sf_dir)
         df.collect()  # execute this very Dataset so its adaptive plan is final
         plan = df._jdf.queryExecution().executedPlan().toString()
-        s = shape(plan)
-        out.append(f"| {name} | {q.ops} | " + " | ".join(str(s[c]) for c in cols) + " |")
+        # an executed adaptive plan prints the final plan and then the initial one
+        final, _, first = plan.partition("== Initial Plan ==")
+        a, b = shape(first or final), shape(final)
+        out.append(f"| {name} | {q.ops} | " + " | ".join(str(b[c]) if a[c] == b[c] else f"{a[c]} / {b[c]}" for c in cols) + " |")
     print("\n".join(out))
 
 
