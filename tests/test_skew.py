@@ -87,3 +87,27 @@ def test_join_back_with_map_column(spark, no_broadcast):
     facts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
     out = join_back(rows, facts, ["k"], salts=4)
     assert out.count() == 3000 and out.filter(F.col("n").isNull()).count() == 0
+
+
+def _arrives_in_any_order(spark):
+    """Rows of a shuffle whose order within a partition is another one each time they are computed."""
+    import random
+
+    def deal(batches):
+        rng = random.SystemRandom()
+        for b in batches:
+            at = list(range(b.num_rows))
+            rng.shuffle(at)
+            yield b.take(at)
+
+    df = spark.range(4000).select((F.col("id") % 500).alias("k"), F.col("id").alias("ts")).repartition(4, "k")
+    return df.mapInArrow(deal, df.schema)
+
+
+def test_join_back_numbers_shuffled_rows_once(spark, no_broadcast):
+    rows = _arrives_in_any_order(spark)
+    facts = rows.groupBy("k").agg(F.max("ts").alias("n"))
+    out = join_back(rows, facts, ["k"])
+    assert out.count() == 4000 and out.filter(F.col("n").isNull()).count() == 0
+    winners = facts.select("k")
+    assert join_back(rows, winners, ["k"], "left_semi").count() == 4000
