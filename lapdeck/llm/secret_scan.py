@@ -1,5 +1,7 @@
 """Secret scan: candidate strings by pattern, false positives removed by a random forest.
 
+Candidates are runs of characters like keys, whatever is assigned to a secret's name, and passwords in URLs.
+
 Features of a candidate: its length and characters, character transitions (against a bigram
 model of the corpus's own words), dictionary coverage, its path (the document's source) and its
 neighbouring words.  The forest is trained from labelled findings.
@@ -24,9 +26,16 @@ from pyspark.sql.window import Window
 from lapdeck.llm import textpack as tp
 from lapdeck.llm.common import materialise, small_batches, smallest_hashes
 
-#: A candidate has at least 12 such characters, one of them a digit, or is 16 capitals or more.  Matching starts at the edge of
-#: a run of such characters only, so long texts stay linear.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/.\-])(?:(?=[A-Za-z_+/.\-]*[0-9])[A-Za-z0-9_+/.\-]{12,}|[A-Z]{16,}(?![A-Za-z0-9_+/.\-]))")
+#: A run of at least 12 such characters with a digit or in mixed case (a lower-case letter, and a capital that is not the first
+#: character), or of 16 capitals or more.  Matching starts at the edge of a run of such characters only, so long texts stay linear.
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/.\-])(?:(?:(?=[A-Za-z_+/.\-]*[0-9])|(?=[A-Za-z_+/.\-]+[A-Z])(?=[A-Z_+/.\-]*[a-z]))[A-Za-z0-9_+/.\-]{12,}"
+                       r"|[A-Z]{16,}(?![A-Za-z0-9_+/.\-]))")
+SECRET_NAME = r"(?:password|passwd|pwd|secret|token|api[_\-]?key|access[_\-]?key|auth)[\"']?\s*(?::=|=>|[:=])\s*"
+#: What is assigned to a secret's name, of any length: all between quotes on one line, or else up to a blank, a quote, < or >,
+#: or the next assignment (&, comma or semicolon and a name).
+ASSIGNED = re.compile(rf"(?i:{SECRET_NAME})(?:\"((?:[^\"\\\n]|\\.)+)\"|'((?:[^'\\\n]|\\.)+)'|[\"']?((?:(?![&,;][\w.\-]+[\"']?[=:])[^\s\"'<>])+))")
+#: The password of a URL's user info; one with a slash is no port number and a path.
+USERINFO = re.compile(r"(?<=[A-Za-z0-9+.\-])://[^\s/:@\"'<>]*:([^\s/?#\"'<>]+(?=@)|(?!\d+[/?#])(?:(?!://)[^\s\"'<>])+?(?=@[\w.\-]))")
 WORD = re.compile(r"[^\W\d_]+")
 NEAR, HASHED = 48, 24
 #: Words of a path that say that its strings are samples.
@@ -37,9 +46,11 @@ FEATURES = BASE + tuple(f"near_{i}" for i in range(HASHED)) + tuple(f"path_{i}"
 
 # Published formats of credentials, and of strings that are none.
 KNOWN_SECRET = r"^(AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36,}$|^xox[abprs]-[A-Za-z0-9\-]{10,}$|^sk_live_[A-Za-z0-9]{16,}$"
-SECRET_NAMES = r"(?i)(password|passwd|pwd|secret|token|api[_\-]?key|access[_\-]?key|auth)[\"']?\s*[:=]\s*[\"']?$"
+SECRET_NAMES = rf"(?i){SECRET_NAME}[\"']?$"
+IN_URL = r"://[^\s/:@]*:$"
 KNOWN_PLAIN = (r"^[0-9.]+$|^[0-9+\-]+$|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
-               r"|^v?[0-9]+(\.[0-9]+)+|^[a-z0-9.\-]+\.(com|org|net|io|html?|js|css|png|jpe?g)$")
+               r"|^v?[0-9]+(\.[0-9]+)+|^[a-z0-9.\-]+\.(com|org|net|io|html?|js|css|png|jpe?g)$"
+               r"|^[A-Z]?[a-z]{2,}([A-Z][a-z]{2,})+$|^[A-Z]?[a-z]+([_+/.\-]+[A-Z]?[a-z]+)+$")  # words joined by capitals or signs
 
 
 def _bucket(word: str, n: int) -> int:
@@ -96,8 +107,28 @@ class Lexicon:
             float(left == "@"), float(path.count("/")), float(any(s in path.lower() for s in SAMPLE_PATHS)), *near, *where]
 
 
+def spans(text: str) -> list[tuple[int, int]]:
+    """(start, end) of the candidates of a text, in order; those that overlap are one."""
+    found = [m.span() for m in CANDIDATE.finditer(text)] + [m.span(1) for m in USERINFO.finditer(text)]
+    for m in ASSIGNED.finditer(text):
+        a, b = m.span(m.lastindex)
+        if m.lastindex == 3:  # a sentence's end and a bracket opened before it are not the value's
+            count = {c: text.count(c, a, b) for c in "()[]{}"}
+            while b - a > 1 and ((c := text[b - 1]) in ".,;" or c in ")]}" and count[c] > count["([{"[")]}".index(c)]]):
+                count[c] = count.get(c, 0) - 1
+                b -= 1
+        found.append((a, b))
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(found):
+        if out and a < out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
 def candidates(docs: DataFrame, words: dict[str, int], id_col: str = "doc_id", text_col: str = "text", path_col: str = "source") -> DataFrame:
-    """(id, row, start, end, value, before, features) of every candidate; offsets are in characters, ``row`` is a hash of the text."""
+    """(id, row, start, end, value, before, after, features) of every candidate; offsets are in characters, ``row`` is a hash of the text."""
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("row"), F.col(text_col).alias("text"),
                        F.col(path_col).cast("string").alias("path"))
@@ -110,25 +141,29 @@ def candidates(docs: DataFrame, words: dict[str, int], id_col: str = "doc_id", t
             at, out = [], []
             paths = batch.column("path").to_pylist()
             for i, text in enumerate(batch.column("text").to_pylist()):
-                for m in CANDIDATE.finditer(text or ""):
-                    a, b = m.start(), m.end()
+                for a, b in spans(text or ""):
+                    value = text[a:b]
                     before, after = text[max(0, a - NEAR):a], text[b:b + NEAR]
                     at.append(i)
-                    out.append((a, b, m.group(), before, lexicon.features(m.group(), before, after, paths[i] or "")))
+                    out.append((a, b, value, before, after, lexicon.features(value, before, after, paths[i] or "")))
             if at:
-                a, b, value, before, features = zip(*out, strict=True)
+                a, b, value, before, after, features = zip(*out, strict=True)
                 yield pa.RecordBatch.from_pydict({
                     "id": batch.column("id").take(pa.array(at)), "row": batch.column("row").take(pa.array(at)), "start": pa.array(a, pa.int32()),
-                    "end": pa.array(b, pa.int32()), "value": pa.array(value), "before": pa.array(before),
+                    "end": pa.array(b, pa.int32()), "value": pa.array(value), "before": pa.array(before), "after": pa.array(after),
                     "features": pa.array(features, pa.list_(pa.float64()))})
 
-    return rows.mapInArrow(find, f"id {kind}, row long, start int, end int, value string, before string, features array<double>")
+    return rows.mapInArrow(find, f"id {kind}, row long, start int, end int, value string, before string, after string, features array<double>")
 
 
-def rule_labels(value: Column, before: Column) -> Column:
-    """Labelled findings where no reviewer's labels are given: 1 for published credential formats and for values assigned to a secret's
-    name, 0 for the formats of addresses, numbers, versions and file names, null for all else."""
-    return (F.when(value.rlike(KNOWN_SECRET) | before.rlike(SECRET_NAMES), 1.0).when(value.rlike(KNOWN_PLAIN), 0.0))
+def rule_labels(value: Column, before: Column, after: Column | None = None) -> Column:
+    """Labelled findings where no reviewer's labels are given: 1 for published credential formats, for values assigned to a secret's
+    name (a word of letters after a colon and a blank may be prose and has no label) and for the password before a URL's host, 0 for
+    the formats of addresses, numbers, versions, file names and joined words, null for all else."""
+    named = before.rlike(SECRET_NAMES)
+    prose = before.rlike(r":\s+$") & value.rlike(r"^\p{L}+$")
+    url = before.rlike(IN_URL) & after.startswith("@") if after is not None else F.lit(False)
+    return (F.when(value.rlike(KNOWN_SECRET) | (named & ~prose) | url, 1.0).when(~named & value.rlike(KNOWN_PLAIN), 0.0))
 
 
 def train(found: DataFrame, label: Column, sample_rows: int = 5_000, trees: int = 30, depth: int = 6, seed: int = 11) -> RandomForestClassificationModel | float:
@@ -155,7 +190,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     """
     words = corpus_dictionary(docs, text_col, dictionary_size)
     found = materialise(candidates(docs, words, id_col, text_col, path_col), "secret-candidates")
-    model = train(found, rule_labels(F.col("value"), F.col("before")) if label is None else label, **fit)
+    model = train(found, rule_labels(F.col("value"), F.col("before"), F.col("after")) if label is None else label, **fit)
     if isinstance(model, float):
         scored = found.withColumn("score", F.lit(model))
     else:

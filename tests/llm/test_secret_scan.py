@@ -87,3 +87,44 @@ def test_without_labels_and_empty(make_docs):
 
 def test_published_formats():
     assert re.fullmatch(secret_scan.KNOWN_SECRET.split("|^")[0], "AKIA" + "A1B2" * 4)
+
+
+#: What candidates by length and digits alone leave out: (before, value, after).
+OTHERS = [('password = "', "correct-horse-battery", '"'), ('pwd="', "P@ssw0rd!2024", '"'), ("token=", "x9Fk2Lq8", ""),
+          ('api_key = "', "AbCdEfGhIjKlMnOpQrStUvWx", '"'), ("postgres://user:", "s3cr3tpw", "@db/x"), ("(", "AbCdEfGhIjKlMnOpQrStUvWx", ")"),
+          ("see https://h/?token=", "a$b,c", "&user=bob"), ("{'secret': '", "it\\'s, a phrase; of words", "'}"), ("ftp://me:", "p/ss", "@host"), ("ftp://me:", "p@ss", "@host/w"),
+          ("(pwd := ", "Pa)(s", ")."), ("auth=", "é!", ", and")]
+
+
+@pytest.mark.parametrize(("before", "value", "after"), OTHERS)
+def test_other_values_are_candidates(before, value, after):
+    text = f"some words {before}{value}{after} more words"
+    at = len("some words ") + len(before)
+    assert (at, at + len(value)) in secret_scan.spans(text)
+
+
+def test_ports_and_words_are_no_user_info():
+    assert secret_scan.spans("see http://host:8080/a@b or this ratio: plain words, tokens are many") == []
+
+
+def test_long_texts_stay_linear():
+    for unit in ("token=", 'token="', "x://a:", "aB", "token   ", "pwd=(", "a,b="):
+        secret_scan.spans(unit * 40_000)
+    assert secret_scan.spans("pwd=" + ")" * 400_000) == [(4, 5)]
+
+
+def test_named_values_and_url_passwords_are_masked(make_docs, rows):
+    rng = random.Random(6)
+    docs, _ = rows
+    chars = "abcdefghijkABCDEFGHIJK0123456789@!$%-"
+    extra, want = [], {}
+    for i in range(200):
+        value = "x" + "".join(rng.choices(chars, k=rng.randint(7, 20)))
+        before, after = (('pwd="', '"'), ("token=", ""), ("postgres://user:", "@db/x"), ('password = "', '"'))[i % 4]
+        extra.append((1000 + i, f"some words {before}{value}{after} more words", "en", "src/docs/a"))
+        want[1000 + i] = f"some words {before}[SECRET]{after} more words"
+    for k, (before, value, after) in enumerate(OTHERS[:5]):
+        extra.append((2000 + k, f"some words {before}{value}{after} more words", "en", "src/docs/a"))
+        want[2000 + k] = f"some words {before}[SECRET]{after} more words"
+    out = {r.doc_id: r.text for r in secret_scan.redact(make_docs([*docs, *extra]), trees=15).collect()}
+    assert {i: out[i] for i in want} == want
