@@ -89,3 +89,30 @@ def test_sketch_finds_the_leading_space():
     z = np.zeros((60, 20))
     leaks.add_products(z, start, passage, term)
     assert np.allclose(z, counts.T @ (counts @ start.astype(float)), rtol=1e-3, atol=1e-1)
+
+
+def test_paraphrases_near_the_limits_are_candidates(spark, make_docs):
+    rng = random.Random(21)
+    stop = ["the", "of", "and", "to", "in", "a"]
+    vocab = ["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(4, 9))) for _ in range(900)]
+
+    def prose(n):
+        return [rng.choice(stop) if rng.random() < 0.4 else rng.choice(vocab) for _ in range(n)]
+
+    bench, docs, want = [], [], set()
+    for k in range(150):
+        w = prose(rng.randint(16, 60))
+        bench.append((k, " ".join(w[:-6]) + ". " + " ".join(w[-6:]) + "."))
+    for i in range(300):
+        k = i % 150
+        w = bench[k][1].split()
+        kept = 0.76 if i < 150 else 0.62
+        changed = set(rng.sample(range(len(w) - 6), min(len(w) - 6, int((1 - kept) * len(w)))))
+        planted = [rng.choice(vocab) if j in changed else x for j, x in enumerate(w)]
+        assert lcs(w, planted) >= kept * len(w)
+        text = prose(120)
+        text[60:60] = planted
+        docs.append((i, " ".join(text), "en", "s"))
+        want.add((i, k))
+    got = leaks.find_leaks(make_docs(docs), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert len(want - {(r.doc_id, r.item_id) for r in got}) <= 0.01 * len(want)
