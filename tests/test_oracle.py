@@ -5,10 +5,9 @@ import os
 
 import pytest
 
+from folders import SF001, SF01
 from lapdeck.plans.registry import load_all
 
-from conftest import SF001, SF01
-
 REG = load_all()
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
