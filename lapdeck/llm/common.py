@@ -65,8 +65,16 @@ def smallest_hashes(df: DataFrame, at: Column, n: int, *ties: str) -> DataFrame:
     return df.filter(at <= F.lit(edge)).orderBy(at, *ties).limit(n)
 
 
-def small_batches(spark, rows: int = 1_000) -> None:
-    """Send at most ``rows`` texts to a Python worker at once, so that very long texts fit in its memory."""
+def small_batches(spark, rows: int = 1_000, size: int = 4 << 20) -> None:
+    """Send at most ``rows`` texts and about ``size`` bytes to a Python worker at once, so that very long texts fit in its memory.
+
+    A setting of the session, which stays: results are read after the operator has returned, so it cannot be put back there.
+    A smaller setting of the user's is left as it is.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key, "10000")) <= rows:
         spark.conf.set(key, str(rows))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    given = spark.conf.get(key, None) or ""
+    if not given.rstrip("b").isdigit() or not 0 < int(given.rstrip("b")) <= size:
+        spark.conf.set(key, str(size))

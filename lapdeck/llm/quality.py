@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import LogisticRegression
@@ -45,8 +47,11 @@ PUNCT = np.zeros(256, bool)
 PUNCT[[ord(c) for c in ".,;:!?'\"()-/"]] = True
 END = np.zeros(256, bool)
 END[[ord(c) for c in ".!?"]] = True
+SYMBOL = ~(UPPER | LOWER | DIGIT | HIGH | PUNCT | tp.BLANK)
 # In UTF-8 the Latin-1 capitals are C3 80 to C3 9E, their small letters C3 9F to C3 BF.
 LATIN = 0xC3
+#: Characters of texts, and bytes of trigrams, that are worked on at once: a character costs up to some 100 bytes meanwhile.
+PART, BLOCK = 500_000, 1 << 18
 
 
 class _Facts:
@@ -56,16 +61,18 @@ class _Facts:
         w = self.w = tp.words(texts, lower=False)
         d, n = w.data, len(texts)
         last = w.start + w.size - 1
-        second = np.concatenate([[False], d[:-1] == LATIN])
-        upper = UPPER[d] | second & (d < 0x9F)
-        lower = LOWER[d] | HIGH[d] & ~upper & (d != LATIN)
-        symbol = ~(UPPER[d] | LOWER[d] | DIGIT[d] | HIGH[d] | PUNCT[d] | tp.BLANK[d])
+        after_latin = np.zeros(len(d), bool)
+        after_latin[1:] = d[:-1] == LATIN
+        capital = after_latin & (d < 0x9F)
+        bounds = np.stack([w.start, last + 1], 1).ravel()  # the data end in zero bytes, so every bound is inside
 
         def count(mask: np.ndarray) -> np.ndarray:
-            c = np.concatenate([[0], np.cumsum(mask)])
-            return c[last + 1] - c[w.start]
+            """Bytes of the mask in each word."""
+            return np.add.reduceat(mask.view(np.uint8), bounds, dtype=np.int32)[::2] if len(bounds) else np.zeros(0, np.int32)
 
-        up, low, odd, dig = count(upper), count(lower), count(symbol), count(DIGIT[d])
+        up = count(UPPER[d] | capital)
+        low = count(LOWER[d] | HIGH[d] & ~capital & (d != LATIN))
+        odd, dig = count(SYMBOL[d]), count(DIGIT[d])
         h = tp.word_hashes(w)
         same = np.zeros(len(h), bool)
         same[1:] = (h[1:] == h[:-1]) & (w.text[1:] == w.text[:-1])
@@ -90,8 +97,8 @@ class _Facts:
             "sentences": per_text(END[d[last]]), "lines": np.array([_repeated_lines(t) for t in texts]) if n else np.zeros(0),
             "length": self.n.astype(float)}
 
-    def votes(self) -> np.ndarray:
-        """One row per text, one character per labeller: 1, 0 or - for none."""
+    def votes(self) -> list[str]:
+        """By text, one character per labeller: 1, 0 or - for none."""
         out = np.full((len(self.n), len(SIGNALS)), "-")
         for j, name in enumerate(SIGNALS):
             x = self.signals[name]
@@ -99,20 +106,19 @@ class _Facts:
                 if span:
                     seen = (name == "length") | (self.n >= (1 if vote == "1" else FEW_WORDS))
                     out[seen & (x >= span[0]) & (x <= span[1]), j] = vote
-        return out
-
-    def features(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text, feature, value) of word shapes and byte trigrams, each a share of its text's words or trigrams."""
-        w, total = self.w, self.n + FEW_WORDS
-        d = w.data[:-8].astype(np.uint32)
-        gram = tp.scramble((d[:-2] << 16 | d[1:-1] << 8 | d[2:]).astype(tp.U)) % tp.U(DIM - SHAPES)
-        at = np.searchsorted(w.text_at, np.arange(len(gram)), "right") - 1 if len(gram) else np.zeros(0, int)
-        at = np.minimum(at, len(total) - 1)
-        inside = np.arange(len(gram)) + 2 < w.text_at[at + 1] - 1  # a text's score depends on no other text
-        at, gram = at[inside], gram[inside]
-        bytes_of = np.diff(w.text_at) + FEW_BYTES
-        return (np.concatenate([w.text, at]), np.concatenate([self.shape, gram.astype(int) + SHAPES]),
-                np.concatenate([4.0 / total[w.text], 4.0 / bytes_of[at]]))
+        return ["".join(v) for v in out]
+
+    def features(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(text, feature, value) of word shapes and byte trigrams, each a share of its text's words or trigrams, in blocks."""
+        w = self.w
+        yield w.text, self.shape, 4.0 / (self.n + FEW_WORDS)[w.text]
+        share = 4.0 / (np.diff(w.text_at) + FEW_BYTES)
+        for a in range(0, w.text_at[-1], BLOCK):
+            d = w.data[a:min(a + BLOCK + 2, w.text_at[-1])].astype(np.uint32)
+            gram = (tp.scramble((d[:-2] << 16 | d[1:-1] << 8 | d[2:]).astype(tp.U)) % tp.U(DIM - SHAPES)).astype(np.int32)
+            at = np.searchsorted(w.text_at, np.arange(a, a + len(gram)), "right") - 1
+            inside = np.arange(a + 2, a + 2 + len(gram)) < w.text_at[at + 1] - 1  # a text's score depends on no other text
+            yield at[inside], gram[inside] + SHAPES, share[at[inside]]
 
 
 def _repeated_lines(text: str | None) -> float:
@@ -120,9 +126,9 @@ def _repeated_lines(text: str | None) -> float:
     return 1 - len(set(lines)) / len(lines) if lines else 0.0
 
 
-def _each(texts: pd.Series):
+def _each(texts: pd.Series) -> Iterator[tuple[int, _Facts]]:
     values = [t if isinstance(t, str) else None for t in texts]
-    for a, b in tp.parts(values):
+    for a, b in tp.parts(values, PART):
         yield b - a, _Facts(values[a:b])
 
 
@@ -131,20 +137,24 @@ def vote_column(text: Column) -> Column:
 
     @F.pandas_udf("string")
     def votes(texts: pd.Series) -> pd.Series:
-        out = [f.votes() for _, f in _each(texts)]
-        return pd.Series(["".join(v) for part in out for v in part])
+        return pd.Series([v for _, f in _each(texts) for v in f.votes()], dtype=object)
 
     return votes(text)
 
 
-def _features(text: Column) -> Column:
-    @F.pandas_udf("array<double>")
-    def features(texts: pd.Series) -> pd.Series:
-        rows = []
+def _features(text: Column, posterior: dict[str, float]) -> Column:
+    """A text's features and the posterior of its votes."""
+
+    @F.pandas_udf("x array<float>, p double")
+    def features(texts: pd.Series) -> pd.DataFrame:
+        rows, p = [], []
         for n, f in _each(texts):
-            t, k, v = f.features()
-            rows.extend(np.bincount(t * DIM + k, v, n * DIM).reshape(n, DIM))
-        return pd.Series(rows)
+            x = np.zeros(n * DIM)
+            for t, k, v in f.features():
+                np.add.at(x, t * DIM + k, v)
+            rows.extend(x.astype(np.float32).reshape(n, DIM))
+            p += [posterior.get(v) for v in f.votes()]
+        return pd.DataFrame({"x": pd.Series(rows, dtype=object), "p": pd.Series(p, dtype=float)})
 
     return features(text)
 
@@ -187,10 +197,11 @@ class Scorer:
         def judge(texts: pd.Series) -> pd.DataFrame:
             out = []
             for n, f in _each(texts):
-                t, k, v = f.features()
-                z = np.bincount(t, weights[k] * v, n)
+                z = np.zeros(n)
+                for t, k, v in f.features():
+                    z += np.bincount(t, weights[k] * v, n)
                 score = np.where(f.n > 0, 1 / (1 + np.exp(-np.clip(z + bias, -50, 50))), 0.0)
-                votes = ["".join(x) for x in f.votes()]
+                votes = f.votes()
                 out.append(pd.DataFrame({"score": score, "posterior": [posterior.get(x, 0.0) for x in votes], "votes": votes}))
             return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"score": [], "posterior": [], "votes": []})
 
@@ -209,10 +220,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     if not posterior:
         return Scorer(posterior, np.zeros(DIM), -3.0)
     edge = smallest_hashes(voted, F.col("at"), sample_docs).agg(F.max("at")).first()[0]
-    p = F.create_map(*[F.lit(x) for kv in posterior.items() for x in kv])
     sample = docs.filter(at <= F.lit(edge)).limit(2 * sample_docs)
-    rows = sample.select(_features(text).alias("x"), vote_column(text).alias("votes"))
-    rows = materialise(rows.withColumn("p", F.try_element_at(p, "votes")), "quality-sample")
+    rows = materialise(sample.select(_features(text, posterior).alias("f")).select("f.x", "f.p"), "quality-sample")
     rows = rows.select(array_to_vector("x").alias("features"), (F.col("p") >= 0.5).cast("double").alias("label"),
                        F.abs(2 * F.col("p") - 1).alias("weight"))
     classes = {r["label"] for r in rows.select("label").distinct().collect()}
@@ -234,6 +243,9 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = 0.5, **fit) -> DataFrame:
-    """The documents that the classifier keeps, with their own columns."""
+    """The documents that the classifier keeps, with their own columns.
+
+    Null and wordless texts go; repeated rows stay or go alike, ties at the threshold stay, and an empty table gives no rows.
+    """
     scorer = train(docs, text_col=text_col, **fit)
     return docs.filter(scorer.judge(F.col(text_col))["score"] >= threshold)
