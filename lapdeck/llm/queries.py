@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapdeck.llm import hamming, langid, leaks, line_rules, mixing, near, quality, repeats, secret_scan, urls, variants, warc
+from lapdeck.llm import alignment, hamming, langid, leaks, line_rules, mixing, near, quality, repeats, secret_scan, urls, variants, warc
 from lapdeck.plans.registry import table
 from lapdeck.session import scratch_path
 
@@ -101,6 +101,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("row")
 
 
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.token_alignment(table(spark, sf_dir, "documents"))
+
+
 @query(r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (SELECT rid, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
