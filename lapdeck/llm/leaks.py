@@ -4,13 +4,13 @@
 2. Distributed randomised SVD of the passages' TF-IDF matrix A (terms that no benchmark passage has
    cannot raise a similarity and are left out): tasks add up their part of ``A^T (A G)`` for a random G, and the small
    result gives the leading right singular vectors V (Nystroem: ``A^T A`` is about ``Z (G^T Z)^-1 Z^T``).
-3. Every window of every text, at the benchmark passages' own scale, is projected on V; windows
-   with a latent cosine of at least ``cosine`` to a benchmark passage are candidates.
+3. Places with enough of a passage's rarest words (an exact bound, see ``Searcher``) are cut into windows at the passage's
+   own scale and projected on V; windows with a latent cosine of at least ``cosine`` to the passage are candidates.
 4. A candidate is verified on its words: longest common subsequence, and for paraphrases with a
    lower share of it, the item's answer (its last sentence).
 
 The benchmark is a stated query set: it is searched in blocks of ``block`` passages, so what a task holds is bounded.
-Window sums are differences of running sums, taken in blocks of ``STEP`` words, so one very long text needs no more memory.
+Window sums are differences of running sums, taken in blocks of ``STEP`` words.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ BITS = 18  # hashed terms
 PASSAGE = 64
 SCALES = (16, 32, 64)
 STEP = 4_096
+SPREAD = 2  # a leak lies within so many times its passage's words
 SLICE = 128  # terms per row of the sketch
 SENTENCE = re.compile(r"[.!?]+[\x20\x09-\x0D]+|\n")
 
@@ -174,26 +175,61 @@ def common_words(pattern: dict[int, int], size: int, region: list[int]) -> int:
 
 
 class Searcher:
-    def __init__(self, q: Queries, terms: Terms, vectors: np.ndarray, cosine: float, similar: float, paraphrase: float, known: float = 0.35):
-        self.q, self.terms, self.limits = q, terms, (cosine, similar, paraphrase, known)
+    """Finds a block's passages in texts: rare words first, then the latent cosine, then the words themselves.
+
+    A common subsequence of ``least`` words misses at most ``size - least`` of a passage's words, so of its rarest
+    ``size - least + m`` it has at least ``m``, whatever the words: places without ``m`` of them within ``SPREAD`` passages' lengths hold
+    no leak.  Only windows there are projected.
+    """
+
+    def __init__(self, q: Queries, terms: Terms, vectors: np.ndarray, idf: np.ndarray, cosine: float, similar: float, paraphrase: float):
+        self.q, self.terms, self.limits = q, terms, (cosine, similar, paraphrase)
         self.vectors = np.concatenate([vectors, np.zeros((1, vectors.shape[1]))]).astype(np.float32)
-        p = np.array([self.vectors[terms.of(w)].sum(0) for w in q.words])
-        self.norm = np.linalg.norm(p, axis=1)
-        size = np.array([len(w) for w in q.words])
+        at = [terms.of(w) for w in q.words]
+        latent = np.array([self.vectors[t].sum(0) for t in at])
+        norm = np.linalg.norm(latent, axis=1, keepdims=True)
+        self.latent = latent / np.maximum(norm, 1e-30)
+        self.size = size = np.array([len(w) for w in q.words])
         # a passage is sought at its nearest scale, and below it at one that lies inside it wherever windows begin
         nearest = np.argmin(np.abs(np.log(size)[:, None] - np.log(SCALES)[None, :]), axis=1)
-        self.at = [np.flatnonzero(((nearest == k) | (scale <= size) & (2.2 * scale >= size)) & (self.norm > 0)) for k, scale in enumerate(SCALES)]
-        self.matrix = [(p[at] / self.norm[at][:, None]).T.astype(np.float32) for at in self.at]
-        self.size = size
-        self.member = np.zeros(1 << 23, bool)  # (item, term) by hash; a collision only means one more check
-        for k, w in enumerate(q.words):
-            self.member[self._slot(np.full(len(w), k), terms.of(w))] = True
-        self.pattern = []
-        for w in q.words:
-            places: dict[int, int] = {}
-            for i, x in enumerate(w.tolist()):
-                places[x] = places.get(x, 0) | 1 << i
-            self.pattern.append(places)
+        self.scales = [[s for j, s in enumerate(SCALES) if j == near or s <= z <= 2.2 * s] for near, z in zip(nearest, size, strict=True)]
+        self.rare = np.zeros(len(at), np.int64)
+        pairs = []
+        for k, t in enumerate(at):
+            least = self.least(k)
+            self.rare[k] = m = -(-least // 3)
+            rarest = np.argsort(-idf[t], kind="stable")[:len(t) - least + m]
+            pairs.append(np.stack([np.unique(t[rarest]), np.full(len(np.unique(t[rarest])), k)]))
+        term, passage = np.concatenate(pairs, axis=1)
+        order = np.argsort(term, kind="stable")
+        self.passage = passage[order].astype(np.int32)  # passages by rare term
+        self.first = np.searchsorted(term[order], np.arange(terms.size + 2))
+        self.pattern: dict[int, dict[int, int]] = {}
+
+    def least(self, k: int) -> int:
+        """Words that a common subsequence with passage ``k`` must have to be a leak."""
+        size, (_, similar, paraphrase) = len(self.q.words[k]), self.limits
+        if size < 12:
+            return size
+        return int(np.ceil(size * (min(similar, paraphrase) if self.q.answer[k] >= 4 else similar) - 1e-9))
+
+    def places(self, term: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, first word, last word) of the places with enough rare words of a passage, by passage."""
+        count = np.diff(self.first)[term]
+        word = np.repeat(np.arange(len(term)), count)
+        at = np.cumsum(count) - count
+        passage = self.passage[np.arange(len(word)) - np.repeat(at, count) + np.repeat(self.first[term], count)]
+        order = np.argsort(passage.astype(np.uint16) if len(self.size) < 1 << 16 else passage, kind="stable")  # words stay in order
+        word, passage = word[order], passage[order]
+        last = np.arange(len(word)) + self.rare[passage] - 1
+        inside = last < len(word)
+        word, passage, end, kind = word[inside], passage[inside], word[last[inside]], passage[last[inside]]
+        dense = (kind == passage) & (text[end] == text[word]) & (end - word < SPREAD * self.size[passage])
+        word, passage, end = word[dense], passage[dense], end[dense]
+        new = np.ones(len(word), bool)
+        new[1:] = (passage[1:] != passage[:-1]) | (word[1:] > end[:-1])
+        at = np.flatnonzero(new)
+        return passage[at], word[at], end[np.append(at[1:], len(word)) - 1] if len(at) else end
 
     def find(self, texts: list[str | None]) -> list[tuple]:
         """(text, item, start, end, cosine, lcs, answer) of every contamination."""
@@ -203,51 +239,33 @@ class Searcher:
         h = tp.word_hashes(w)
         term, first = self.terms.of(h), w.first
         hits: dict[tuple[int, int], list[tuple[int, int, float]]] = {}
-        known = np.concatenate([[0], np.cumsum(term < self.terms.size)])
-        terms_only = term[term < self.terms.size]
-        place = np.arange(len(h)) - first[w.text]
-        windows = []
-        for scale in SCALES:
-            start = np.flatnonzero(place % (scale // 4) == 0)
-            stop = np.minimum(start + scale, first[w.text[start] + 1])
-            # a window cut short by the text's end says nothing that the one before does not
-            whole = (stop - start >= scale * 3 // 4) | (place[start] == 0)
-            # words that no item has are in no common subsequence
-            whole &= known[stop] - known[start] >= np.maximum(1, self.limits[3] * (stop - start))
-            windows.append((start[whole], stop[whole]))
-        for a in range(0, len(terms_only), STEP):
-            sums = np.zeros((min(len(terms_only) - a, STEP + max(SCALES)) + 1, self.vectors.shape[1]), np.float32)
-            np.cumsum(self.vectors[terms_only[a:a + len(sums) - 1]], axis=0, out=sums[1:])
-            for (starts, stops), which, matrix in zip(windows, self.at, self.matrix, strict=True):
-                i, j = np.searchsorted(known[starts], (a, a + STEP))
-                if i == j or not len(which):
-                    continue
-                start, stop = starts[i:j], stops[i:j]
-                x = sums[known[stop] - a] - sums[known[start] - a]
-                norm = np.sqrt(np.einsum("ij,ij->i", x, x))
-                cos = x @ matrix
-                close = np.nonzero(cos >= np.maximum(norm, 1e-6)[:, None] * np.float32(self.limits[0]))
-                if not len(close[0]):
-                    continue
-                cos = cos[close] / norm[close[0]]
-                start, stop, item = start[close[0]], stop[close[0]], which[close[1]]
-                enough = self._shares(term, start, stop, item)
-                for a0, b0, k, c in zip(*(x[enough].tolist() for x in (start, stop, item, cos)), strict=True):
-                    hits.setdefault((int(w.text[a0]), k), []).append((a0, b0, c))
-        return self._verify(w, h, first, hits)
-
-    def _shares(self, term: np.ndarray, start: np.ndarray, stop: np.ndarray, item: np.ndarray) -> np.ndarray:
-        """Whether enough words (the limit ``known``) of the window, or of the item if it is shorter, can be words of the item."""
-        size = stop - start
-        at = np.cumsum(size) - size
-        place = np.arange(size.sum()) - np.repeat(at, size) + np.repeat(start, size)
-        has = self.member[self._slot(np.repeat(item, size), term[place])] & (term[place] < self.terms.size)
-        both = np.add.reduceat(has, at) if len(at) else at
-        return both >= self.limits[3] * np.minimum(size, self.size[item])
-
-    @staticmethod
-    def _slot(item: np.ndarray, term: np.ndarray) -> np.ndarray:
-        return (tp.scramble(item.astype(tp.U) << tp.U(32) | term.astype(tp.U)) >> tp.U(64 - 23)).astype(np.int64)
+        for k, low, high in zip(*(x.tolist() for x in self.places(term, w.text)), strict=True):
+            text, size = int(w.text[low]), int(self.size[k])
+            a, b = max(int(first[text]), low - size), min(int(first[text + 1]), high + size + 1)
+            for block in range(a, b, STEP):  # however long the place is
+                self._windows(term, k, block, min(b, block + STEP), b, hits.setdefault((text, k), []))
+        return self._verify(w, h, first, {at: found for at, found in hits.items() if found})
+
+    def _windows(self, term: np.ndarray, k: int, a: int, stop: int, b: int, found: list[tuple[int, int, float]]) -> None:
+        """The windows that begin in ``a`` to ``stop`` and end by ``b`` whose latent cosine with passage ``k`` is high enough."""
+        sums = np.zeros((min(b, stop + max(SCALES)) - a + 1, self.vectors.shape[1]), np.float32)
+        np.cumsum(self.vectors[term[a:a + len(sums) - 1]], axis=0, out=sums[1:])
+        for scale in self.scales[k]:
+            start = np.arange(0, stop - a, scale // 4)
+            end = np.minimum(start + scale, len(sums) - 1)
+            x = sums[end] - sums[start]
+            cos = x @ self.latent[k] / np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-6)
+            for i in np.flatnonzero(cos >= self.limits[0]).tolist():
+                found.append((a + int(start[i]), a + int(end[i]), float(cos[i])))
+
+    def _places_in(self, k: int) -> dict[int, int]:
+        """The bit set of each word's places in passage ``k``."""
+        if k not in self.pattern:
+            places: dict[int, int] = {}
+            for i, x in enumerate(self.q.words[k].tolist()):
+                places[x] = places.get(x, 0) | 1 << i
+            self.pattern[k] = places
+        return self.pattern[k]
 
     def _verify(self, w: tp.Words, h: np.ndarray, first: np.ndarray, hits: dict) -> list[tuple]:
         found = []
@@ -260,19 +278,20 @@ class Searcher:
                     regions[-1][1], regions[-1][2] = max(b, regions[-1][1]), max(c, regions[-1][2])
                 else:
                     regions.append([a, b, c])
+            pattern = self._places_in(k)
             for a, b, c in regions:
                 a, b = max(first[text], a - size // 2), min(first[text + 1], b + size // 2)
                 region = h[a:b].tolist()
-                known = [x in self.pattern[k] for x in region]
+                known = [x in pattern for x in region]
                 if sum(known) < self.limits[2] * size:  # bounds the common subsequence
                     continue
-                lcs = common_words(self.pattern[k], size, region) / size
+                lcs = common_words(pattern, size, region) / size
                 n = self.q.answer[k]
                 answer = 0.0
                 if n:
-                    tail = {x: p >> (size - n) for x, p in self.pattern[k].items() if p >> (size - n)}
+                    tail = {x: p >> (size - n) for x, p in pattern.items() if p >> (size - n)}
                     answer = common_words(tail, n, region) / n
-                _, similar, paraphrase, _ = self.limits
+                _, similar, paraphrase = self.limits
                 leak = lcs >= (similar if size >= 12 else 0.999) or (size >= 12 and n >= 4 and lcs >= paraphrase and answer >= 0.9)
                 if leak and (best is None or lcs > best[3]):
                     inside = [i for i, y in enumerate(known) if y]
@@ -285,12 +304,12 @@ class Searcher:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-               item_text: str = "text", rank: int = 64, cosine: float = 0.4, similar: float = 0.75, paraphrase: float = 0.6, block: int = 4_000) -> DataFrame:
+               item_text: str = "text", rank: int = 64, cosine: float = 0.25, similar: float = 0.75, paraphrase: float = 0.6, block: int = 4_000) -> DataFrame:
     """One row per document and benchmark item that it contains: id, row (hash of the text), item_id, start, end, cosine, lcs, answer.
 
     A passage of an item is contained when ``similar`` of its words are a common subsequence with a region of the text (all of them
-    for passages under 12 words), or ``paraphrase`` of them and 0.9 of its answer.  ``cosine`` is far below what such pairs
-    usually have, as the words around a passage lower it; what is still lost is measured in README.  Null and wordless texts and items match nothing; repeated rows give repeated
+    for passages under 12 words), or ``paraphrase`` of them and 0.9 of its answer.  The region has at most ``SPREAD`` times the passage's
+    words.  ``cosine`` is far below what such pairs usually have, as the words around a passage lower it; recall is in README.  Null and wordless texts and items match nothing; repeated rows give repeated
     results; an empty table on either side gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -303,7 +322,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         terms = Terms(q)
         idf = term_weights(docs, terms, text_col)
         vectors = latent_space(docs, terms, idf, text_col, rank) * idf[:, None]
-        shared = spark.sparkContext.broadcast((q, terms, vectors))
+        shared = spark.sparkContext.broadcast((q, terms, vectors, idf))
 
         def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             s = Searcher(*shared.value, cosine, similar, paraphrase)
@@ -342,6 +361,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` without those that contain a benchmark item."""
+    """``docs`` without those that contain a benchmark item, with their own columns.
+
+    Null and wordless texts stay, rows that repeat an id and text go or stay alike, and an empty table on either side removes nothing.
+    """
     bad = find_leaks(docs, benchmark, id_col, text_col, **how).select(F.col(id_col).alias("__id"), F.col("row").alias("__row")).distinct()
     return docs.join(materialise(bad, "leaking"), docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__row")), "left_anti")
