@@ -62,6 +62,21 @@ def duration_seconds(c: ColumnOrName, dtype: T.DataType | None = None) -> Column
     return nan_to_null(col.try_cast("double"))
 
 
+def duration_text_seconds(c: ColumnOrName) -> Column:
+    """Duration text -> seconds: ``[-]d days [+]hh:mm:ss[.f]`` (the days alone may be negative), ``[-]hh:mm:ss[.f]``, or a
+    plain number of seconds; anything else is NULL."""
+    col = F.trim(_c(c))
+    rx = r"^(?:(-?\d+) days?(?: |$))?([+-]?)(?:(\d+):(\d+):(\d+(?:\.\d+)?))?$"
+
+    def part(i: int) -> Column:
+        return F.coalesce(F.regexp_extract(col, rx, i).try_cast("double"), F.lit(0.0))
+
+    clock = part(3) * 3600 + part(4) * 60 + part(5)
+    signed = F.when(F.regexp_extract(col, rx, 2) == "-", -clock).otherwise(clock)
+    return F.when(F.regexp_like(col, F.lit(rx)) & (col != "") & (F.regexp_extract(col, rx, 0) != "-"), part(1) * 86400 + signed).otherwise(
+        nan_to_null(col.try_cast("double")))
+
+
 # --------------------------------------------------------------------- S6
 def event_key(c: ColumnOrName) -> Column:
     """Storage key of an event name: lower case, spaces -> underscores."""

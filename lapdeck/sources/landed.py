@@ -1,29 +1,39 @@
 """Session files as they land: ``root/<year>/<event>/<session>/<type>.parquet``.
 
-A landed object is one session's table (megabytes at most), written by any version of the
-writer: nanosecond or microsecond timestamps, durations, a column more or less, now and then a
-broken file.  One type for all files cannot be declared to a Parquet scan, so every file is
-decoded by its own types and brought to the declared ones: Spark's ``binaryFile`` source
-lists and reads the objects (any filesystem Spark knows, paths with spaces as they are), tasks decode the declared
-columns only.  Bad files give no rows; :func:`landed_gate` says which and why.
-
-Datasets that lapdeck itself writes (``write_sessions``) have one schema and are read with
-:func:`lapdeck.sources.readers.read_sessions`, a plain pruned Parquet scan.
+A landed object is one session's table, written by any version of the writer: nanosecond or microsecond timestamps,
+durations, text, a column more or less, now and then a broken file.  One schema for all files cannot be declared to a Parquet
+scan, so the files are grouped by their own:
+
+1. Tasks read the files' footers (:func:`landed_footers`): rows, and the physical kind of every column.  The gate
+   (:func:`landed_gate`) needs nothing else, and bad files never reach a scan.
+2. Files whose declared columns have the same kinds are one group (as many as there are versions of the writer), and each
+   group is one plain ``spark.read.schema(...).parquet(...)``: column pruning and filters reach it, and a filter on year, event
+   or session prunes its files, as they come from the file's path.  Units and types are mapped by expressions.
+3. The groups are united.  A group with a kind that has no expression (nested or binary columns) is decoded in tasks.
+
+The paths go through the driver, as those of any Spark file scan do.  Datasets that lapdeck itself writes (``write_sessions``)
+have one schema and are read with :func:`lapdeck.sources.readers.read_sessions`.
 """
 
 from __future__ import annotations
 
 import io
+import json
+import re
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lapdeck.functions.columns import duration_text_seconds, nan_to_null
+from lapdeck.sources.readers import open_path
+
 KEYS = "year int, event string, session string"
 
 # Columns and kinds of the landed tables ("seconds" are durations).
@@ -98,21 +108,50 @@ def _convert(col: pa.ChunkedArray, kind: str) -> pa.Array:
     return pa.array(s, _ARROW[kind], from_pandas=True)
 
 
-def _open(content: bytes, required: Sequence[str]) -> tuple[pq.ParquetFile | None, str | None, list[str]]:
-    """(file, reason why it is not usable, missing columns)."""
+# ------------------------------------------------------------------------------------- footers
+FOOTER = f"path string, {KEYS}, readable boolean, rows long, columns array<struct<name: string, kind: string>>"
+#: Filesystems whose files tasks can open at a place; objects on others are read whole for their footers.
+RANGED = ("file", "hdfs", "s3", "s3a", "gs", "abfs", "abfss")
+
+
+def _kind(column: pa.DataType, leaf) -> str:
+    """How a column is stored: a Spark type, ``duration <unit>``, ``nanos`` (a count), ``null``, or ``other``."""
+    if pa.types.is_dictionary(column):
+        column = column.value_type
+    if leaf is None or pa.types.is_nested(column):
+        return "other"
+    if pa.types.is_timestamp(column):
+        if leaf.physical_type == "INT96":
+            return "timestamp"
+        if json.loads(leaf.logical_type.to_json()).get("timeUnit") == "nanoseconds":
+            return "nanos"
+        return "timestamp" if column.tz else "timestamp_ntz"
+    if pa.types.is_duration(column):
+        return f"duration {column.unit}"
+    if pa.types.is_decimal(column):
+        return f"decimal({column.precision},{column.scale})"
+    plain = {"bool": "boolean", "int8": "tinyint", "int16": "smallint", "int32": "int", "int64": "bigint", "uint8": "smallint", "uint16": "int",
+             "uint32": "bigint", "uint64": "decimal(20,0)", "float": "float", "double": "double", "string": "string", "large_string": "string",
+             "date32[day]": "date", "null": "null"}
+    return plain.get(str(column), "other")
+
+
+def _footer(file) -> tuple[bool, int | None, list[dict]]:
+    """(readable, rows, columns) of an open file."""
     try:
-        file = pq.ParquetFile(io.BytesIO(content))
-    except (pa.ArrowInvalid, OSError):  # about the content only: Spark has read the bytes
-        return None, "unreadable", []
-    names = set(file.schema_arrow.names)
-    if file.metadata.num_rows == 0:
-        return None, "empty", []
-    missing = [c for c in required if c not in names]
-    return (None, "missing columns", missing) if missing else (file, None, [])
-
-
-def _objects(spark: SparkSession, root: str, data_type: str) -> DataFrame | None:
-    """(path, content, year, event, session) of every object of one type; None if there is none."""
+        parquet = pq.ParquetFile(file)
+    except (pa.ArrowInvalid, OSError):  # about the content only: the file could be opened
+        return False, None, []
+    leaves = [parquet.schema.column(i) for i in range(len(parquet.schema))]
+    by_name = {x.path: x for x in leaves}
+    names = [f.name for f in parquet.schema_arrow]
+    twice = {n for n in names if sum(m.lower() == n.lower() for m in names) > 1}  # a Spark scan cannot tell them apart
+    return True, parquet.metadata.num_rows, [{"name": f.name, "kind": "other" if f.name in twice else _kind(f.type, by_name.get(f.name))}
+                                             for f in parquet.schema_arrow]
+
+
+def _objects(spark: SparkSession, root: str, data_type: str, content: bool) -> DataFrame | None:
+    """(path, year, event, session[, content]) of every object of one type; None if there is none."""
     reader = spark.read.format("binaryFile")
     try:
         files = reader.load(f"{root.rstrip('/')}/*/*/*/{data_type}.parquet")
@@ -120,30 +159,154 @@ def _objects(spark: SparkSession, root: str, data_type: str) -> DataFrame | None
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+    return files.select("path", *_keys_of(F.col("path"), data_type), *(["content"] if content else []))
+
+
+def _keys_of(path: Column, data_type: str) -> list[Column]:
     rx = r"/([^/]+)/([^/]+)/([^/]+)/" + data_type + r"\.parquet(/[^/]+)?$"
-    return files.select("path", "content", F.regexp_extract("path", rx, 1).try_cast("int").alias("year"),
-                        F.regexp_extract("path", rx, 2).alias("event"), F.regexp_extract("path", rx, 3).alias("session"))
+    return [F.regexp_extract(path, rx, 1).try_cast("int").alias("year"), F.regexp_extract(path, rx, 2).alias("event"),
+            F.regexp_extract(path, rx, 3).alias("session")]
+
+
+def landed_footers(spark: SparkSession, root: str, data_type: str) -> DataFrame:
+    """(path, year, event, session, readable, rows, columns) of every object of one type; only footers are read."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    scheme = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getUri().getScheme()
+    whole = scheme not in RANGED
+    files = _objects(spark, root, data_type, content=whole)
+    if files is None:
+        return spark.createDataFrame([], FOOTER)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = []
+            for r in batch.to_pylist():
+                if whole:
+                    seen.append(_footer(io.BytesIO(r["content"])))
+                else:
+                    filesystem, path = open_path(r["path"])
+                    with filesystem.open_input_file(path) as file:
+                        seen.append(_footer(file))
+            columns = pa.array([c for *_, c in seen], pa.list_(pa.struct([("name", pa.string()), ("kind", pa.string())])))
+            yield pa.RecordBatch.from_pydict({
+                **{c: batch.column(c) for c in ("path", "year", "event", "session")}, "readable": pa.array([x[0] for x in seen], pa.bool_()),
+                "rows": pa.array([x[1] for x in seen], pa.int64()), "columns": columns})
+
+    return files.mapInArrow(look, FOOTER)
+
+
+def landed_gate(spark: SparkSession, root: str, data_type: str, required: Sequence[str] | None = None, footers: DataFrame | None = None) -> DataFrame:
+    """S3: (path, year, event, session, ok, reason, missing_columns, rows) of every object of one type; the reason is
+    ``unreadable``, ``empty`` or ``missing columns``."""
+    need = REQUIRED[data_type] if required is None else required
+    foot = landed_footers(spark, root, data_type) if footers is None else footers
+    needed = F.array(*[F.lit(c) for c in need]).cast("array<string>")
+    missing = F.array_except(needed, F.transform("columns", lambda c: c["name"]))
+    reason = F.when(~F.col("readable"), "unreadable").when(F.col("rows") == 0, "empty").when(F.size(missing) > 0, "missing columns")
+    return foot.select("path", "year", "event", "session", reason.isNull().alias("ok"), reason.alias("reason"),
+                       F.when(reason == "missing columns", missing).otherwise(F.array().cast("array<string>")).alias("missing_columns"),
+                       F.when(reason.isNull(), F.col("rows")).alias("rows"))
+
+
+# --------------------------------------------------------------------------------------- rows
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
 
+def _stored_type(kind: str) -> str:
+    return "bigint" if kind == "nanos" or kind.startswith("duration") else "string" if kind == "null" else kind
 
-def read_landed(spark: SparkSession, root: str, data_type: str, required: Sequence[str] | None = None) -> DataFrame:
+
+def _instant(micros: Column) -> Column:
+    """Microseconds since 1970 as a time without zone."""
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), micros.cast("decimal(24,6)") / 1_000_000)
+
+
+def _native(c: Column, kind: str, want: str) -> Column | None:
+    """A stored column in the declared kind as an expression, None if there is none.  Values without such a form are null."""
+    number = kind in _NUMBERS or kind.startswith("decimal")
+    if kind == "null":
+        return F.lit(None).cast(_SPARK[want])
+    if want == "seconds":
+        if kind.startswith("duration"):
+            return c.cast("double") / _PER_SECOND[kind.split()[1]]
+        if kind == "bigint":  # as the writer stores durations: nanoseconds
+            return c / 1e9
+        if kind in ("float", "double"):
+            return nan_to_null(c.cast("double"))
+        return duration_text_seconds(c) if kind == "string" else None
+    if want == "timestamp":
+        if kind == "timestamp_ntz":
+            return c
+        if kind == "timestamp":
+            return _instant(F.unix_micros(c))
+        if kind in ("nanos", "bigint"):
+            return _instant((c - F.pmod(c, F.lit(1000))) / 1000)
+        if kind == "date":
+            return c.cast("timestamp_ntz")
+        if kind == "string":  # with a zone: that instant in UTC
+            return F.when(F.regexp_like(c, F.lit(r"\d(Z|[+-]\d{2}:?\d{2})\s*$")), _instant(F.unix_micros(c.try_cast("timestamp")))).otherwise(c.try_cast("timestamp_ntz"))
+        return None
+    if want == "string":
+        if kind in ("float", "double"):
+            return F.when(c == F.floor(c), c.cast("bigint").cast("string")).when(~F.isnan(c), c.cast("string"))
+        if kind == "boolean":
+            return F.when(c, "True").when(~c, "False")
+        return c.cast("string") if number or kind in ("string", "date") else None
+    if want == "boolean":
+        return c if kind == "boolean" else F.when(c == 1, True).when(c == 0, False) if number else \
+            F.when(c == "True", True).when(c == "False", False) if kind == "string" else None
+    if not (number or kind in ("string", "boolean")):
+        return None
+    d = nan_to_null(c.try_cast("double") if kind == "string" else c.cast("double"))
+    return d if want == "double" else F.when(F.abs(d - F.round(d)) <= 1e-8, F.round(d).cast("int"))
+
+
+def _as_path(path: str) -> str:
+    """A path for a reader, which would take it for a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def read_landed(spark: SparkSession, root: str, data_type: str, required: Sequence[str] | None = None, footers: DataFrame | None = None) -> DataFrame:
     """Rows of every usable object of one type, in its declared schema, with year, event and session.
 
     Columns that a file lacks are null (unless ``required``: then the file gives no rows); columns that are
-    not declared are left out.  No object at all gives an empty table.
+    not declared are left out; NaN is null.  No object at all gives an empty table.  ``footers`` saves a second look at them.
     """
     kinds = SCHEMAS[data_type]
-    need = REQUIRED[data_type] if required is None else required
-    schema = ", ".join(f"{c} {_SPARK[k]}" for c, k in kinds.items()) + ", " + KEYS
-    files = _objects(spark, root, data_type)
-    if files is None:
-        return spark.createDataFrame([], schema)
+    foot = landed_footers(spark, root, data_type) if footers is None else footers
+    good = landed_gate(spark, root, data_type, required, foot).filter("ok").select("path")
+    declared = F.filter("columns", lambda c: c["name"].isin(list(kinds)))
+    group = F.array_join(F.array_sort(F.transform(declared, lambda c: F.concat_ws(":", c["name"], c["kind"]))), ";")
+    groups: dict[str, list[str]] = {}
+    for r in foot.join(good, "path", "left_semi").select(group.alias("group"), "path").toLocalIterator():
+        groups.setdefault(r["group"], []).append(r["path"])
+    parts = [_group_scan(spark, data_type, dict(x.rsplit(":", 1) for x in text.split(";") if x), sorted(groups[text])) for text in sorted(groups)]
+    if not parts:
+        return spark.createDataFrame([], ", ".join(f"{c} {_SPARK[k]}" for c, k in kinds.items()) + ", " + KEYS)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _group_scan(spark: SparkSession, data_type: str, stored: dict[str, str], paths: list[str]) -> DataFrame:
+    """The rows of files that store the declared columns in the same way."""
+    kinds = SCHEMAS[data_type]
+    columns = {c: _native(F.col(c), stored[c], k) if c in stored else F.lit(None).cast(_SPARK[k]) for c, k in kinds.items()}
+    if not stored or any(c is None for c in columns.values()):
+        return _decoded(spark, data_type, paths)
+    schema = ", ".join(f"{c} {_stored_type(k)}" for c, k in stored.items() if k != "null") or f"{next(iter(stored))} string"
+    scan = spark.read.schema(schema).parquet(*map(_as_path, paths))
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return scan.select(*[x.alias(c) for c, x in columns.items()], *_keys_of(path, data_type))
+
+
+def _decoded(spark: SparkSession, data_type: str, paths: list[str]) -> DataFrame:
+    """The rows of files with columns that no expression converts, decoded in tasks."""
+    kinds = SCHEMAS[data_type]
+    files = spark.read.format("binaryFile").load([_as_path(p) for p in paths]).select("content", *_keys_of(F.col("path"), data_type))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                file, _, _ = _open(r["content"], need)
-                if file is None:
-                    continue
+                file = pq.ParquetFile(io.BytesIO(r["content"]))
                 table = file.read([c for c in kinds if c in file.schema_arrow.names])
                 cols = {c: _convert(table.column(c), k) if c in table.column_names else pa.nulls(len(table), _ARROW[k])
                         for c, k in kinds.items()}
@@ -151,29 +314,7 @@ def read_landed(spark: SparkSession, root: str, data_type: str, required: Sequen
                 cols |= {"year": pa.array([r["year"]] * n, pa.int32()), "event": pa.array([r["event"]] * n), "session": pa.array([r["session"]] * n)}
                 yield pa.RecordBatch.from_pydict(cols)
 
-    return files.mapInArrow(decode, schema)
-
-
-def landed_gate(spark: SparkSession, root: str, data_type: str, required: Sequence[str] | None = None) -> DataFrame:
-    """S3: (path, year, event, session, ok, reason, missing_columns, rows) of every object of one type; the reason is
-    ``unreadable``, ``empty`` or ``missing columns``."""
-    need = REQUIRED[data_type] if required is None else required
-    schema = f"path string, {KEYS}, ok boolean, reason string, missing_columns array<string>, rows long"
-    files = _objects(spark, root, data_type)
-    if files is None:
-        return spark.createDataFrame([], schema)
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = [(r, *_open(r["content"], need)) for r in batch.to_pylist()]
-            yield pa.RecordBatch.from_pydict({
-                "path": pa.array([r["path"] for r, *_ in seen], pa.string()), "year": pa.array([r["year"] for r, *_ in seen], pa.int32()),
-                "event": pa.array([r["event"] for r, *_ in seen], pa.string()), "session": pa.array([r["session"] for r, *_ in seen], pa.string()),
-                "ok": pa.array([why is None for _, _, why, _ in seen]), "reason": pa.array([why for _, _, why, _ in seen], pa.string()),
-                "missing_columns": pa.array([m for *_, m in seen], pa.list_(pa.string())),
-                "rows": pa.array([f.metadata.num_rows if f else None for _, f, _, _ in seen], pa.int64())})
-
-    return files.mapInArrow(look, schema)
+    return files.mapInArrow(decode, ", ".join(f"{c} {_SPARK[k]}" for c, k in kinds.items()) + ", " + KEYS)
 
 
 def session_reasons(gate: DataFrame) -> DataFrame:

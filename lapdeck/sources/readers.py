@@ -25,14 +25,15 @@ FACTS_SCHEMA = ("path string, exists boolean, readable boolean, num_rows long, "
                 "columns array<string>")
 
 
-def _open(path: str):
+def open_path(path: str):
+    """(filesystem, path) to open a file in a task."""
     from urllib.parse import unquote, urlparse
 
     from pyarrow import fs as pafs
     u = urlparse(path)
     if u.scheme in ("", "file"):
         return pafs.LocalFileSystem(), unquote(u.path) if u.scheme else path
-    return pafs.FileSystem.from_uri(path)
+    return pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
 def _footer_facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -43,7 +44,7 @@ def _footer_facts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for path in pdf["path"]:
             try:
-                filesystem, p = _open(path)
+                filesystem, p = open_path(path)
                 with filesystem.open_input_file(p) as fh:
                     md = pq.ParquetFile(fh).metadata
                     rows.append((path, True, True, md.num_rows, list(md.schema.names)))

@@ -98,3 +98,73 @@ def test_empty_bucket(spark, tmp_path):
     assert cat.data.collect() == [] and cat.checks.first().validation_passed
     assert M.race_results_job(spark, root, cat.data).data.collect() == []
     assert M.lap_features_job(spark, root, cat.data).data.collect() == []
+
+
+VARIANTS = {
+    "text": pd.DataFrame({"DriverNumber": ["1", "2", None], "Position": ["1", "x", None], "Status": ["a", None, "c"], "Points": ["1.5", "inf", ""],
+                          "Q1": ["0 days 00:01:20.500000", "01:20:27.5", None], "Q2": ["-1 days +23:59:58.500000", "2 days", "junk"], "Laps": ["7", "8.0", "9"]}),
+    "numbers": pd.DataFrame({"DriverNumber": [1, 2, 44], "Position": np.array([1, 2, 3], "int8"), "Status": [1.0, 2.5, np.nan],
+                             "Points": np.array([1.5, np.nan, 3], "float32"), "Q1": [80.5, np.nan, 0.0], "Q2": [80_500_000_000, 1, 0], "Laps": np.array([1, 2, 3], "uint32")}),
+    "durations": pd.DataFrame({"DriverNumber": pd.Categorical(["1", "2", "1"]), "Position": [1.0, np.nan, 3.0], "Status": [True, False, True],
+                               "Points": [None, None, None], "Q1": pd.to_timedelta([80.5, np.nan, 1e-6], unit="s"),
+                               "Q2": pd.to_timedelta([80.5, np.nan, -1.5], unit="s").astype("timedelta64[ms]"), "Laps": [True, False, True]}),
+}
+def _times(values):
+    return pd.to_datetime(values, format="ISO8601")
+
+
+STAMPS = {
+    "ns": _times(["2024-03-01 15:00:00.123456789", None, "1969-12-31 23:59:59.999999999"]), "us": _times(["2024-03-01 15:00:00.123456", None, "1960-01-01"]).astype("datetime64[us]"),
+    "ms": _times(["2024-03-01 15:00:00.123", None, "1960-01-01"]).astype("datetime64[ms]"), "zone": _times(["2024-03-01 15:00:00", None, "1960-01-01"]).tz_localize("Europe/Rome"),
+    "zone_us": _times(["2024-03-01 15:00:00", None, "1960-01-01"]).tz_localize("Europe/Rome").astype("datetime64[us, Europe/Rome]"),
+    "text": ["2024-03-01 15:00:00.25", None, "2024-03-01 16:00:00.50"],
+    "text_zone": ["2024-03-01T15:00:00+02:00", None, "2024-03-01T16:00:00+01:00"], "count": [1_709_305_200_123_456_789, 0, -1], "date": [pd.Timestamp("2024-03-01").date(), None, pd.Timestamp("1960-01-01").date()],
+}
+
+
+@pytest.fixture(scope="module")
+def variants(tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("variants"))
+    for k, (name, frame) in enumerate(VARIANTS.items()):
+        put(root, 2020 + k, f"{name} [a*]", "Race", "results", frame)
+    for name, stamps in STAMPS.items():
+        put(root, 2024, name, "Race", "session_info", pd.DataFrame({"session_date": stamps, "round_number": [1, 2.0, np.nan], "event_name": [1, 2, 3]}))
+    put(root, 2024, "int96", "Race", "session_info", pd.DataFrame({"session_date": STAMPS["us"], "round_number": ["3", "4.5", ""]}), use_deprecated_int96_timestamps=True)
+    return root
+
+
+@pytest.mark.parametrize("kind", ["results", "session_info"])
+def test_expressions_equal_the_decoder(spark, variants, kind):
+    from lapdeck.sources.landed import _as_path, _decoded, landed_footers
+    native = read_landed(spark, variants, kind)
+    assert "MapInArrow" not in native._jdf.queryExecution().executedPlan().toString()
+    paths = [_as_path(r.path) for r in landed_footers(spark, variants, kind).collect()]
+    assert paths and "[" in "".join(paths) or kind != "results"
+    want = _decoded(spark, kind, [r.path for r in landed_footers(spark, variants, kind).collect()])
+    key = lambda r: str(tuple(r))
+    assert sorted(native.collect(), key=key) == sorted(want.collect(), key=key)
+
+
+def test_nested_columns_are_decoded(spark, tmp_path):
+    root = str(tmp_path)
+    put(root, 2024, "a", "Race", "results", pd.DataFrame({"DriverNumber": ["1"], "Position": [1.0], "Status": [["x"]]}))
+    put(root, 2024, "b", "Race", "results", pd.DataFrame({"DriverNumber": ["2"], "Position": [2.0], "Status": ["y"]}))
+    got = {r.event: r.Position for r in read_landed(spark, root, "results").collect()}
+    assert got == {"a": 1.0, "b": 2.0}
+
+
+def test_scans_are_pruned(spark, bucket):
+    rows = read_landed(spark, bucket, "results").filter("year = 2031").select("Position")
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan()
+    text = plan.toString()
+    schemas = [x.split(">")[0] for x in text.split("ReadSchema: struct<")[1:]]
+    assert schemas and set(schemas) <= {"Position:double", "Position:string"} and "MapInArrow" not in text and "PythonUDF" not in text
+    assert "file_path" in text.split("DataFilters: [")[1].split("]")[0]
+    files, todo = 0, [plan]
+    while todo:
+        node = todo.pop()
+        if node.nodeName().startswith("Scan parquet"):
+            files += node.metrics().apply("numFiles").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert files == 4  # of the nine usable objects, those of 2031
