@@ -5,8 +5,8 @@
 2. Anchors: a byte offset where a token of A and a token of B both end, and both next tokens begin with the space mark.
    Anchors are verified by the running byte lengths of both sequences, never guessed.  They split a text into short windows.
 3. A window is a tuple of A ids and a tuple of B ids; its alignment (the groups between shared ends) follows from these alone, so
-   it is worked out once per distinct window and task, and looked up again.  The memory of windows is emptied when it is
-   full, which costs time and changes nothing.
+   it is worked out when a window is first seen, for all new windows of some texts at once, and looked up again.  The memory of
+   windows is emptied between texts when it is full, which costs time and changes nothing.
 4. The tokens that end together are links.  Links are counted per (A id, B id) over the corpus by Spark, and the counts are joined
    back to each text's distinct links.
 """
@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import json
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -29,7 +29,7 @@ from lapdeck.llm.common import materialise, small_batches
 
 TOKENIZERS = "/opt/tokenizers"
 PART = 250_000
-WINDOWS = 200_000
+WINDOWS = 300_000
 MARK = "▁"
 #: The word pattern of A's byte-level pre-tokeniser (fixed by that kind of tokenizer).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -66,7 +66,7 @@ class ByteLevel:
 
             ranks = {self.bytes[i]: i for e, i in vocab.items() if e not in special}
             own = tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
-            self.encode = lambda texts: [own.encode_to_numpy(t, disallowed_special=()).astype(np.int32) for t in texts]
+            self.encode = lambda texts: [np.array(own.encode_ordinary(t), np.int32) for t in texts]
         else:
             from tokenizers import Tokenizer
 
@@ -88,47 +88,23 @@ class Pieces:
 
 
 # ----------------------------------------------------------------------------------------- windows
-def align(a: list[int], b: list[int], size_a: list[int], size_b: list[int], n_b: int) -> tuple[str, list[int]]:
-    """Of a window whose tokens spell the same bytes: its groups as ``a1,a2|b1;a3|b2,b3``, and of the tokens that end
-    together ``a * n_b + b``.  ``size``: bytes by id."""
-    groups, links, i, j, k, m = [], [], 0, 0, 1, 1
-    end_a, end_b, x, y = size_a[a[0]], size_b[b[0]], a[0], b[0]  # x, y: the last tokens taken
-    while True:
-        if end_a < end_b:
-            x = a[k]
-            end_a += size_a[x]
-            k += 1
-        elif end_b < end_a:
-            y = b[m]
-            end_b += size_b[y]
-            m += 1
-        else:
-            groups.append(f"{x}|{y}" if k - i == 1 == m - j else f"{','.join(map(str, a[i:k]))}|{','.join(map(str, b[j:m]))}")
-            links.append(x * n_b + y)
-            if k == len(a):
-                return ";".join(groups), links
-            i, j, x, y = k, m, a[k], b[m]
-            end_a += size_a[x]
-            end_b += size_b[y]
-            k += 1
-            m += 1
-
-
-def windows_of(end_a: np.ndarray, end_b: np.ndarray, space_a: np.ndarray, space_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many tokens of A and of B each window ends behind.  ``end``: byte offsets; ``space``: tokens with the space mark in front."""
+def windows_of(end_a: np.ndarray, end_b: np.ndarray, space_a: np.ndarray, space_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many tokens of A and of B each window ends behind, and at which byte.  ``end``: byte offsets; ``space``: tokens with the
+    space mark in front."""
     cut_a, cut_b = np.flatnonzero(space_a[1:]), np.flatnonzero(space_b[1:])  # the tokens before such ones
-    _, i, j = np.intersect1d(end_a[cut_a], end_b[cut_b], assume_unique=True, return_indices=True)
-    return np.append(cut_a[i] + 1, len(end_a)), np.append(cut_b[j] + 1, len(end_b))
+    at, i, j = np.intersect1d(end_a[cut_a], end_b[cut_b], assume_unique=True, return_indices=True)
+    return np.append(cut_a[i] + 1, len(end_a)), np.append(cut_b[j] + 1, len(end_b)), np.append(at, end_a[-1:])
 
 
-class _Numbers(dict):
-    """Numbers of windows by their ids; a new one is learnt when it is asked for."""
+def groups_of(a: list[int], b: list[int]) -> str:
+    return f"{','.join(map(str, a))}|{','.join(map(str, b))}"
 
-    def __init__(self, learn: Callable[[bytes], int]):
-        self.learn = learn
+
+class _Numbers(dict):
+    """Numbers of windows by their ids, in the order in which they were first seen."""
 
     def __missing__(self, key: bytes) -> int:
-        w = self[key] = self.learn(key)
+        w = self[key] = len(self)
         return w
 
 
@@ -137,63 +113,87 @@ class Aligner:
 
     def __init__(self, source_a: str, source_b: bytes, room: int = WINDOWS):
         self.a, self.b, self.room = ByteLevel(source_a), Pieces(source_b), room
-        self.size_a, self.size_b = ([len(x) for x in t.bytes] for t in (self.a, self.b))
-        self.sizes_a, self.sizes_b = np.array(self.size_a, np.int64), np.array(self.size_b, np.int64)
+        self.size_a, self.size_b = (np.array([len(x) for x in t.bytes], np.int64) for t in (self.a, self.b))
         self.space_a, self.space_b = (np.array([x[:1] == b" " for x in t.bytes]) for t in (self.a, self.b))
         self.n_b = len(self.b.bytes)
         self.forget()
 
     def forget(self) -> None:
-        self.known = _Numbers(self.learn)
-        self.text: list[str] = []  # by window: its groups
-        self.spelt: list[bytes] = []  # its bytes; b"" where the two sides differ
-        self.first, self.link = array("q", [0]), array("q")  # its links are link[first[w]:first[w + 1]]
-
-    def learn(self, key: bytes) -> int:
-        ids = array("i", key).tolist()
-        at = ids.index(-1)
-        a, b = ids[:at], ids[at + 1:]
-        spelt = b"".join(map(self.a.bytes.__getitem__, a))
-        same = spelt == b"".join(map(self.b.bytes.__getitem__, b))
-        text, links = align(a, b, self.size_a, self.size_b, self.n_b) if same else ("", [])
-        self.text.append(text)
-        self.spelt.append(spelt if same else b"")
-        self.link.extend(links)
-        self.first.append(len(self.link))
-        return len(self.text) - 1
-
-    def windows(self, text: str, a: np.ndarray, b: np.ndarray) -> list[int]:
-        """The numbers of a text's windows, none if the tokens don't spell it."""
-        stop_a, stop_b = windows_of(np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b]), self.space_a[a], self.space_b[b])
+        self.known = _Numbers()
+        self.text: list[str] = []  # by window: its groups as a1,a2|b1;a3|b2,b3
+        self.first, self.link = array("q", [0]), array("q")  # its links, a * n_b + b, are link[first[w]:first[w + 1]]
+
+    def windows(self, a: np.ndarray, b: np.ndarray, begin_a: np.ndarray, begin_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the windows of several texts' tokens, one text behind the other, and the byte where each ends.  ``begin``: each
+        text's first token; the texts' tokens of A and B spell the same bytes."""
+        space_a, space_b = self.space_a[a], self.space_b[b]
+        space_a[begin_a], space_b[begin_b] = True, True  # no window reaches into the next text
+        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        stop_a, stop_b, at = windows_of(end_a, end_b, space_a, space_b)
         # each window as its A ids, -1, its B ids
         n = np.arange(len(stop_a))
-        own_a = np.repeat(n, np.diff(stop_a, prepend=0))
-        own_b = np.repeat(n, np.diff(stop_b, prepend=0))
+        own_a, own_b = np.repeat(n, np.diff(stop_a, prepend=0)), np.repeat(n, np.diff(stop_b, prepend=0))
         ids = np.full(len(a) + len(b) + len(n), -1, np.int32)
         ids[np.arange(len(a)) + np.concatenate([[0], stop_b[:-1]])[own_a] + own_a] = a
         ids[np.arange(len(b)) + stop_a[own_b] + own_b + 1] = b
-        raw, known, ends = ids.tobytes(), self.known, (4 * (stop_a + stop_b + n + 1)).tolist()
-        found = [known[raw[i:j]] for i, j in zip([0, *ends], ends, strict=False)]
-        return found if b"".join(map(self.spelt.__getitem__, found)) == b" " + text.encode() else []
-
-    def part(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, str, np.ndarray]]:
-        """By text: n_a, n_b, n_groups, groups_sha256 and the links."""
+        raw, known, ends, old = ids.tobytes(), self.known, (4 * (stop_a + stop_b + n + 1)).tolist(), len(self.known)
+        w = np.array([known[raw[i:j]] for i, j in zip([0, *ends], ends, strict=False)])
+        fresh = np.flatnonzero(w >= old)
+        # numbers were given in order: the first window of each new number
+        self._learn(fresh[np.unique(w[fresh], return_index=True)[1]], a, b, end_a, end_b, at)
+        return w, at
+
+    def _learn(self, new: np.ndarray, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray, at: np.ndarray) -> None:
+        """Align the windows ``new``: every byte where a token of either side ends is the end of a group."""
+        flag = np.zeros(at[-1] + 1, bool)
+        flag[end_b] = True
+        j_a = np.flatnonzero(flag[end_a])  # the tokens that end together
+        flag[end_b] = False
+        flag[end_a] = True
+        j_b = np.flatnonzero(flag[end_b])
+        last = np.searchsorted(end_a[j_a], at, "right")  # groups up to each window's end
+        from_, to = np.concatenate([[0], last[:-1]])[new], last[new]
+        size = to - from_
+        stop = np.cumsum(size)
+        g = np.arange(size.sum()) + np.repeat(from_ - (stop - size), size)
+        i, j = j_a[g], j_b[g]
+        x, y = a[i], b[j]
+        texts = [f"{p}|{q}" for p, q in zip(x.tolist(), y.tolist(), strict=True)]
+        begin_a, begin_b = np.where(g > 0, j_a[g - 1] + 1, 0), np.where(g > 0, j_b[g - 1] + 1, 0)
+        several, all_a, all_b = np.flatnonzero((i > begin_a) | (j > begin_b)), a.tolist(), b.tolist()
+        for k, p, q, r, t in zip(several.tolist(), *(v[several].tolist() for v in (begin_a, i + 1, begin_b, j + 1)), strict=True):
+            texts[k] = groups_of(all_a[p:q], all_b[r:t])
+        cuts = stop.tolist()
+        self.text += [";".join(texts[p:q]) for p, q in zip([0, *cuts], cuts, strict=False)]
+        self.first.frombytes((stop + len(self.link)).astype(np.int64).tobytes())
+        self.link.frombytes((x.astype(np.int64) * self.n_b + y).tobytes())
+
+    def _spells(self, text: bytes, a: np.ndarray, b: np.ndarray) -> bool:
+        return b"".join(map(self.a.bytes.__getitem__, a.tolist())) == text == b"".join(map(self.b.bytes.__getitem__, b.tolist()))
+
+    def part(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]:
+        """(n_a, n_b, groups_sha256) by text, and (text, link) of every link in order."""
         if len(self.known) >= self.room:
             self.forget()
-        whole = [i for i, t in enumerate(texts) if t and _encodable(t)]
-        ids_a = dict(zip(whole, self.a.encode([" " + texts[i] for i in whole]), strict=True))
-        ids_b = dict(zip(whole, self.b.encode([texts[i] for i in whole]), strict=True))
-        found = {i: self.windows(texts[i], ids_a[i], ids_b[i]) for i in whole if len(ids_a[i]) and len(ids_b[i])}
+        n_a, n_b, sha = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), [""] * len(texts)
+        some = [i for i, t in enumerate(texts) if t and _encodable(t)]
+        both = zip(some, self.a.encode([" " + texts[i] for i in some]), self.b.encode([texts[i] for i in some]), strict=True)
+        spelt = [(i, a, b) for i, a, b in both if self._spells(b" " + texts[i].encode(), a, b)]
+        if not spelt:
+            return n_a, n_b, sha, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        size_a, size_b = np.array([len(a) for _, a, _ in spelt]), np.array([len(b) for _, _, b in spelt])
+        end = np.cumsum([1 + len(texts[i].encode()) for i, _, _ in spelt])
+        w, at = self.windows(np.concatenate([a for _, a, _ in spelt]), np.concatenate([b for _, _, b in spelt]),
+                             np.cumsum(size_a) - size_a, np.cumsum(size_b) - size_b)
+        cuts, whole = np.searchsorted(at, end, "right").tolist(), np.array([i for i, _, _ in spelt])
+        n_a[whole], n_b[whole] = size_a, size_b
+        windows = w.tolist()
+        for i, x, y in zip(whole.tolist(), [0, *cuts], cuts, strict=False):
+            sha[i] = hashlib.sha256(";".join(map(self.text.__getitem__, windows[x:y])).encode()).hexdigest()
         first, link = np.frombuffer(self.first, np.int64), np.frombuffer(self.link, np.int64)
-        for i in range(len(texts)):
-            if not found.get(i):
-                yield 0, 0, 0, "", np.zeros(0, np.int64)
-                continue
-            w = np.array(found[i])
-            size = first[w + 1] - first[w]
-            links = link[np.arange(size.sum()) + np.repeat(first[w] - (np.cumsum(size) - size), size)]
-            digest = hashlib.sha256(";".join(map(self.text.__getitem__, found[i])).encode()).hexdigest()
-            yield len(ids_a[i]), len(ids_b[i]), len(links), digest, links
+        size = first[w + 1] - first[w]
+        links = link[np.arange(size.sum()) + np.repeat(first[w] - (np.cumsum(size) - size), size)]
+        return n_a, n_b, sha, np.repeat(np.repeat(whole, np.diff(cuts, prepend=0)), size), links
 
 
 def _encodable(text: str) -> bool:
@@ -219,9 +219,8 @@ def aligned(docs: DataFrame, folder: str = TOKENIZERS, file_a: str = "byte_bpe_5
             aligner = aligner or Aligner(*files.value, room)
             texts = batch.column("text").to_pylist()
             for x, y in tp.parts(texts, PART):
-                n_a, n_b, n_groups, sha, links = zip(*aligner.part(texts[x:y]), strict=True)
-                doc = np.repeat(np.arange(y - x), n_groups)
-                link = np.concatenate(links)
+                n_a, n_b, sha, doc, link = aligner.part(texts[x:y])
+                n_groups = np.bincount(doc, minlength=y - x)
                 order = np.lexsort((link, doc))
                 doc, link = doc[order], link[order]
                 at = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (link[1:] != link[:-1])])) if len(doc) else doc
