@@ -102,6 +102,20 @@ def build_statistics(catalog: DataFrame) -> DataFrame:
         F.count_if(F.lower("session").startswith("practice")).alias("practice_sessions"))
 
 
+def catalog_summary(catalog: DataFrame) -> DataFrame:
+    """C14: one row per year and one for all (``is_total``, year NULL): entries, complete ones and their share in percent, races and
+    complete races, qualifying sessions, first and last year, number of years, mean completeness.  One rollup."""
+    race, complete = F.col("session") == "Race", F.coalesce("is_complete", F.lit(False))
+    out = catalog.withColumn("__y", F.col("year")).rollup("year").agg(
+        F.count("*").alias("entries"), F.count_if(complete).alias("complete"), F.count_if(~complete).alias("incomplete"),
+        F.count_if(race).alias("races"), F.count_if(race & complete).alias("complete_races"), F.count_if(F.col("session") == "Qualifying").alias("qualifying"),
+        F.min("__y").alias("first_year"), F.max("__y").alias("last_year"), F.count_distinct("__y").alias("years"),
+        F.avg("completeness_score").alias("mean_score"), F.grouping("year").alias("__g"))
+    share = F.col("complete") * 100.0 / F.col("entries")
+    return out.select("year", (F.col("__g") == 1).alias("is_total"), "entries", "complete", "incomplete", share.alias("complete_pct"), "races", "complete_races",
+                      "qualifying", "first_year", "last_year", "years", "mean_score").filter(F.col("entries") > 0)
+
+
 def races_by_year(catalog: DataFrame) -> DataFrame:
     """Races per year."""
     return (catalog.filter(F.col("session") == "Race").groupBy("year")

@@ -63,6 +63,11 @@ REQUIRED: dict[str, tuple[str, ...]] = {
     "laps": ("DriverNumber", "LapNumber"), "weather": ("Time", "AirTemp", "TrackTemp"),
     "race_control_messages": ("Time", "Message"), "session_status": ("Time", "Status"), "track_status": ("Time", "Status"),
 }
+# The same for the tables of a season, ``root/<year>/<type>.parquet``.
+SEASON_REQUIRED: dict[str, tuple[str, ...]] = {
+    "season_schedule": ("EventName", "Location", "Country", "EventFormat", "Season", "RoundNumber", "EventDate"),
+    "circuits": ("circuitId", "circuitName", "locality", "country"),
+}
 _SPARK = {"string": "string", "double": "double", "int": "int", "boolean": "boolean", "seconds": "double", "timestamp": "timestamp_ntz"}
 _ARROW = {"string": pa.string(), "double": pa.float64(), "int": pa.int32(), "boolean": pa.bool_(), "seconds": pa.float64(),
           "timestamp": pa.timestamp("us")}
@@ -154,7 +159,7 @@ def _objects(spark: SparkSession, root: str, data_type: str, content: bool) -> D
     """(path, year, event, session[, content]) of every object of one type; None if there is none."""
     reader = spark.read.format("binaryFile")
     try:
-        files = reader.load(f"{root.rstrip('/')}/*/*/*/{data_type}.parquet")
+        files = reader.load(f"{root.rstrip('/')}/{'*' if data_type in SEASON_REQUIRED else '*/*/*'}/{data_type}.parquet")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -163,6 +168,9 @@ def _objects(spark: SparkSession, root: str, data_type: str, content: bool) -> D
 
 
 def _keys_of(path: Column, data_type: str) -> list[Column]:
+    if data_type in SEASON_REQUIRED:
+        year = F.regexp_extract(path, r"/([^/]+)/" + data_type + r"\.parquet(/[^/]+)?$", 1).try_cast("int")
+        return [year.alias("year"), F.lit(None).cast("string").alias("event"), F.lit(None).cast("string").alias("session")]
     rx = r"/([^/]+)/([^/]+)/([^/]+)/" + data_type + r"\.parquet(/[^/]+)?$"
     return [F.regexp_extract(path, rx, 1).try_cast("int").alias("year"), F.regexp_extract(path, rx, 2).alias("event"),
             F.regexp_extract(path, rx, 3).alias("session")]
@@ -198,7 +206,7 @@ def landed_footers(spark: SparkSession, root: str, data_type: str) -> DataFrame:
 def landed_gate(spark: SparkSession, root: str, data_type: str, required: Sequence[str] | None = None, footers: DataFrame | None = None) -> DataFrame:
     """S3: (path, year, event, session, ok, reason, missing_columns, rows) of every object of one type; the reason is
     ``unreadable``, ``empty`` or ``missing columns``."""
-    need = REQUIRED[data_type] if required is None else required
+    need = (REQUIRED | SEASON_REQUIRED)[data_type] if required is None else required
     foot = landed_footers(spark, root, data_type) if footers is None else footers
     needed = F.array(*[F.lit(c) for c in need]).cast("array<string>")
     missing = F.array_except(needed, F.transform("columns", lambda c: c["name"]))
@@ -208,6 +216,11 @@ def landed_gate(spark: SparkSession, root: str, data_type: str, required: Sequen
                        F.when(reason.isNull(), F.col("rows")).alias("rows"))
 
 
+def season_gate(spark: SparkSession, root: str, data_type: str, required: Sequence[str] | None = None) -> DataFrame:
+    """S3 for ``season_schedule`` and ``circuits``: as :func:`landed_gate`, one object per year."""
+    return landed_gate(spark, root, data_type, required).drop("event", "session")
+
+
 # --------------------------------------------------------------------------------------- rows
 _NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
 

@@ -8,7 +8,9 @@ after an executor loss or a retried job).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,3 +107,29 @@ def append_ledger(attempts: DataFrame, path: str) -> DataFrame:
     row = [F.col(n).cast(t).alias(n) if n in attempts.columns else F.lit(None).cast(t).alias(n) for n, t in fields]
     attempts.select(*row).write.mode("append").parquet(path)
     return attempts.sparkSession.read.schema(LEDGER_SCHEMA).parquet(path)
+
+
+def write_objects(df: DataFrame, root: str, data_type: str, keys: Sequence[str] = ("year", "event", "session"), fmt: str = "parquet") -> int:
+    """Land ``df`` as objects ``root/<year>/<event>/<session>/<type>.parquet``, one per value of ``keys``, by one write.
+
+    All sessions are written at once, partitioned, to a hidden folder beside them (a hot session over several tasks and part files), and
+    each session's folder then takes the place of its old one.  A run that fails before leaves every object as it was; one that
+    fails between is repeated whole.  Objects of sessions without rows in ``df`` stay.  Returns the number of objects.
+    """
+    spark = df.sparkSession
+    stage = f"{root.rstrip('/')}/_landing-{uuid.uuid4().hex}"
+    df.hint("rebalance", *keys).write.partitionBy(*keys).format(fmt).save(stage)
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path
+    fs = at(stage).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(at(stage + "/*=*" * len(keys))) or []
+    for status in found:  # names only: the rows stay where they were written
+        path = status.getPath().toString()
+        values = [unquote(part.split("=", 1)[1]) for part in path.rsplit("/", len(keys))[1:]]
+        target = at("/".join([root.rstrip("/"), *values, f"{data_type}.parquet"]))
+        fs.mkdirs(target.getParent())
+        fs.delete(target, True)
+        if not fs.rename(status.getPath(), target):
+            raise OSError(f"cannot move {path} to {target.toString()}")
+    fs.delete(at(stage), True)
+    return len(found)
