@@ -20,9 +20,9 @@ laps.  Here the same features come out of a handful of aggregates:
 * stint means are a two-level aggregate (group, stint) -> group.
 
 All features are exact.  Percentiles use Spark's exact ``percentile``
-(linear interpolation, same as pandas ``quantile``); its partial state is a
-value->count map, so memory is bounded by the number of *distinct* measure
-values per group, not by the row count.
+(linear interpolation, same as pandas ``quantile``), whose partial state is a
+value->count map; groups of more than ``quantile_rows`` values get theirs by rank
+selection over counted ranges (:mod:`lapdeck.operators.quantiles`), so no state grows with a group.
 """
 
 from __future__ import annotations
@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapdeck.functions.columns import struct_order
+from lapdeck.operators.quantiles import large_groups, selected_quantiles
 
 FAMILIES = ("counts", "identity", "pace", "consistency", "trend", "stints",
             "sectors", "positions")
@@ -88,6 +89,9 @@ class SequenceSpec:
     # adaptive split: a (group, chunk) cell with more rows than this is cut at
     # quantiles of the order key into pieces of about this many; None = no split
     max_chunk_rows: int | None = None
+    # groups with more valid values than this get their quantiles by rank selection (operators/quantiles.py)
+    # instead of ``percentile``, whose buffer grows with a group's distinct values; same results
+    quantile_rows: int | None = None
     # None = exact quantiles (pandas' linear interpolation); an int switches
     # to percentile_approx with that accuracy for high-cardinality measures
     quantile_accuracy: int | None = None
@@ -191,9 +195,15 @@ def sequence_features(df: DataFrame, spec: SequenceSpec = SequenceSpec(),
     if "consistency" in fams:
         qs += [0.75, 0.25]
         aggs.append(F.stddev_samp(vt).alias("lap_time_std"))
+    large = None
     if qs:
+        if spec.quantile_rows and spec.quantile_accuracy is None:
+            large = large_groups(base, g, vt, spec.quantile_rows)
+        if large is not None:  # fewer than rows / quantile_rows groups: broadcast by their measured size
+            base = _null_safe_join(base, large.withColumn("__large", F.lit(True)), g, "left")
+        here = vt if large is None else F.when(F.col("__large").isNull(), vt)
         probs = F.array(*[F.lit(q) for q in qs])
-        qagg = (F.percentile(vt, probs) if spec.quantile_accuracy is None
+        qagg = (F.percentile(here, probs) if spec.quantile_accuracy is None
                 else F.percentile_approx(vt, probs, spec.quantile_accuracy).cast("array<double>"))
         aggs.append(qagg.alias("__q"))
     if "sectors" in fams:
@@ -228,6 +238,11 @@ def sequence_features(df: DataFrame, spec: SequenceSpec = SequenceSpec(),
     main = (base.groupBy(*g).agg(*aggs)
             .filter(F.col("valid_laps") >= spec.min_valid))
 
+    if large is not None:
+        rows = base.filter(F.col("__large")).select(*g, vt.alias("__vt"))
+        picked = selected_quantiles(rows, g, "__vt", qs, spec.quantile_rows).withColumnRenamed("q", "__picked")
+        main = _null_safe_join(main, picked, g, "left").withColumn("__q", F.coalesce("__picked", "__q")).drop("__picked")
+
     qname = {0.5: "median_lap_time", 0.05: "pct_05_lap_time",
              0.95: "pct_95_lap_time", 0.75: "__q75", 0.25: "__q25"}
     if qs:

@@ -238,7 +238,8 @@ def q_race_results(spark, sf_dir):
 @register("race_results_first", f"""WITH {_ROWS},
 first AS (SELECT year, round FROM gate WHERE session = 'Race' ORDER BY year, round LIMIT 5)
 SELECT r.year || '_R' || lpad(CAST(r.round AS VARCHAR), 2, '0') AS race_id, count(*) AS drivers FROM r JOIN first f ON r.year = f.year AND r.round = f.round
-WHERE session = 'Race' GROUP BY ALL""", "R1 (the first races of the catalog)")
+LEFT JOIN r q ON q.session = 'Qualifying' AND q.year = r.year AND q.round = r.round AND q.driver = r.driver
+WHERE r.session = 'Race' GROUP BY ALL""", "R1 (the first races of the catalog)")
 def q_race_results_first(spark, sf_dir):
     out = M.race_results_job(spark, _land(spark, sf_dir), _stored_catalog(spark, sf_dir), first_n=5).data.select("race_id", "driver_number", "q1_seconds")
     return out.groupBy("race_id").agg(F.count("*").alias("drivers"))

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapdeck.functions.columns import normalise_missing
+from lapdeck.operators.quantiles import selected_quantiles
 from lapdeck.operators.sequences import SequenceSpec, dataset_statistics, sequence_features
 from lapdeck.plans.registry import register, rounded, table
 
@@ -40,6 +41,7 @@ EVENTS_SPEC = SequenceSpec(
     position="pos",
     chunk="chunk",
     max_chunk_rows=2_000_000,
+    quantile_rows=1_000_000,
 )
 
 
@@ -119,6 +121,16 @@ GROUP BY week, user_id
 """
 
 
+@register("quantiles_by_rank", """
+SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.05), 6) AS q05, round(quantile_cont(l_extendedprice, 0.25), 6) AS q25,
+       round(quantile_cont(l_extendedprice, 0.5), 6) AS q50, round(quantile_cont(l_extendedprice, 0.75), 6) AS q75, round(quantile_cont(l_extendedprice, 0.95), 6) AS q95
+FROM lineitem GROUP BY l_returnflag""", "L6 L7 (quantiles of groups that hold a third of all rows)")
+def q_quantiles_by_rank(spark, sf_dir):
+    """Each flag has about a third of all lines: its quantiles come from counted ranges, no task gets its values."""
+    q = selected_quantiles(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice", [0.05, 0.25, 0.5, 0.75, 0.95], small_rows=10_000)
+    return rounded(q.select("l_returnflag", *[F.col("q")[i].alias(n) for i, n in enumerate(("q05", "q25", "q50", "q75", "q95"))]))
+
+
 @register("seq_features_consistency", SQL_CONSISTENCY, "L2 L3 L7")
 def q_consistency(spark, sf_dir):
     f = features(spark, sf_dir, ("consistency",))
