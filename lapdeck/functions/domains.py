@@ -44,6 +44,17 @@ def compounds(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(c,) for c in COMPOUNDS], "compound string")
 
 
+def label_session_codes(df: DataFrame, code_col: str = "code", out: str = "session_name") -> DataFrame:
+    """V16 lookup: the session's name of a code, NULL for an unknown one."""
+    dim = session_codes(df.sparkSession).select(F.col("code").alias(code_col), F.col("session_name").alias(out))
+    return df.join(F.broadcast(dim), [code_col], "left")
+
+
+def mark_known(df: DataFrame, columns: dict[str, list[str]]) -> DataFrame:
+    """For each column ``c``, ``c_known``: whether its value is in the fixed list (NULL is not)."""
+    return df.withColumns({f"{c}_known": F.coalesce(F.col(c).isin(values), F.lit(False)) for c, values in columns.items()})
+
+
 def label_track_status(df: DataFrame, status_col: str = "Status") -> DataFrame:
     """V16 lookup: attach the data's message and the enum label."""
     dim = track_status(df.sparkSession).withColumnRenamed("status", status_col)

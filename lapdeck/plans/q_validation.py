@@ -162,3 +162,46 @@ def q_domain(spark, sf_dir):
     # the dimension's size is fixed by this file, so broadcasting it is safe
     return ev.join(F.broadcast(dim), ["event_type"], "left").select(
         "event_id", "event_type", "category", "is_ok")
+
+
+SQL_FAIL_REPORT = f"""
+WITH bad AS (SELECT c_custkey, concat_ws('; ', {_CUST_FAIL}) AS why FROM customer WHERE concat_ws('; ', {_CUST_FAIL}) <> '')
+SELECT 0 AS line, 'Validation failed with ' || count(*) || ' errors:' AS message FROM bad HAVING count(*) > 0
+UNION ALL SELECT row_number() OVER (ORDER BY c_custkey)::INT, 'Row ' || c_custkey || ': ' || why FROM (SELECT * FROM bad ORDER BY c_custkey LIMIT 5)
+"""
+
+
+@register("validate_fail_report", SQL_FAIL_REPORT, "V2 (fail fast on rows that do fail: count and first five messages)")
+def q_fail_report(spark, sf_dir):
+    checked = v.validate(table(spark, sf_dir, "customer"), CUSTOMER_RULES)
+    lines: list[str] = []
+    try:
+        v.fail_fast(checked, ["c_custkey"])
+    except ValueError as e:  # the outcome that is reported: a count and five messages
+        lines = str(e).split("\n")
+    return spark.createDataFrame(list(enumerate(lines)), "line int, message string")
+
+
+_CODES = ("R", "Q", "S", "SS", "SQ", "FP1", "FP2", "FP3", "XX")
+_STATUSES, _TYRES = ("Finished", "DNF", "Lapped", "Parked"), ("SOFT", "WET", "HYPERSOFT")
+SQL_CODES = """
+WITH t AS (SELECT list_extract(['R', 'Q', 'S', 'SS', 'SQ', 'FP1', 'FP2', 'FP3', 'XX'], (1 + o_orderkey % 9)::INT) AS code,
+                  list_extract(['Finished', 'DNF', 'Lapped', 'Parked'], (1 + o_custkey % 4)::INT) AS status,
+                  list_extract(['SOFT', 'WET', 'HYPERSOFT'], (1 + o_custkey % 3)::INT) AS compound FROM orders)
+SELECT code, CASE code WHEN 'R' THEN 'Race' WHEN 'Q' THEN 'Qualifying' WHEN 'S' THEN 'Sprint' WHEN 'SS' THEN 'Sprint Shootout' WHEN 'SQ' THEN 'Sprint Qualifying'
+       WHEN 'FP1' THEN 'Practice 1' WHEN 'FP2' THEN 'Practice 2' WHEN 'FP3' THEN 'Practice 3' END AS session_name,
+       status, status <> 'Parked' AS status_known, compound, compound <> 'HYPERSOFT' AS compound_known, count(*) AS rows FROM t GROUP BY ALL
+"""
+
+
+@register("domain_codes", SQL_CODES, "V16 (session codes, driver statuses, compounds)")
+def q_domain_codes(spark, sf_dir):
+    from lapdeck.functions import domains as D
+
+    def pick(values, key):
+        return F.element_at(F.array(*[F.lit(x) for x in values]), (1 + F.col(key) % len(values)).cast("int"))
+
+    rows = table(spark, sf_dir, "orders").select(pick(_CODES, "o_orderkey").alias("code"), pick(_STATUSES, "o_custkey").alias("status"),
+                                                 pick(_TYRES, "o_custkey").alias("compound"))
+    known = D.mark_known(D.label_session_codes(rows), {"status": D.DRIVER_STATUSES, "compound": D.COMPOUNDS})
+    return known.groupBy("code", "session_name", "status", "status_known", "compound", "compound_known").agg(F.count("*").alias("rows"))

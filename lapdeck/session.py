@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -84,16 +84,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for job-owned tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
-
-
-def _count():
-    n = 0
-    while True:
-        n += 1
-        yield n
+    """A new sub-folder of the shared checkpoint folder for a table that a job owns.
 
-
-_counter = _count()
+    The name is the application's and a random one: drivers that share the folder, and a driver that is started again, never meet.
+    """
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"

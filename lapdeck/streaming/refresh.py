@@ -16,6 +16,8 @@ replayed after an executor or driver loss gives the same table.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,15 +30,26 @@ from lapdeck.sources.manifest import list_files
 from lapdeck.sources.sinks import delete_partition
 
 
+#: Touched partitions that are named in the scan's filter; beyond that they are joined.
+NAMED = 1_000
+
+
+def touched_rows(full: DataFrame, touched: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """The rows of ``full`` in the touched partitions.  Up to ``NAMED`` partitions become a filter on the partition columns, so
+    that only their folders are read; more than that (a first run over everything) are joined.  Same rows either way."""
+    named = touched.limit(NAMED + 1).collect()  # at most NAMED + 1 keys
+    if len(named) > NAMED:
+        return full.join(touched, list(partition_cols), "left_semi")
+    one = [reduce(and_, [F.col(c).eqNullSafe(F.lit(r[c])) for c in partition_cols]) for r in named]
+    return full.filter(reduce(or_, one)) if one else full.limit(0)
+
+
 def refresh_batch(spark: SparkSession, batch: DataFrame, landing: str, schema: T.StructType,
                   target: str, partition_cols: Sequence[str],
                   rebuild: Callable[[DataFrame], DataFrame]) -> None:
     """One micro-batch: rebuild the partitions the batch touched."""
     touched = batch.select(*partition_cols).distinct()
-    full = spark.read.schema(schema).parquet(landing)
-    # a plain semi-join on partition columns: AQE broadcasts the list by its measured bytes
-    # and prunes the folders that are read
-    affected = full.join(touched, list(partition_cols), "left_semi")
+    affected = touched_rows(spark.read.schema(schema).parquet(landing), touched, partition_cols)
     (rebuild(affected).hint("rebalance", *partition_cols).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*partition_cols).parquet(target))
@@ -124,8 +137,7 @@ def refresh_changes(spark: SparkSession, landing: str, schema: T.StructType, tar
     there = files.select(*parts).distinct()
     done = {"touched": touched.count(), "removed": 0}
     if done["touched"]:
-        full = spark.read.schema(schema).parquet(landing)
-        affected = full.join(touched, list(partition_cols), "left_semi")
+        affected = touched_rows(spark.read.schema(schema).parquet(landing), touched, partition_cols)
         (rebuild(affected).hint("rebalance", *partition_cols).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(target))
         for r in touched.join(there, list(partition_cols), "left_anti").toLocalIterator():  # folders to delete

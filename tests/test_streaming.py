@@ -56,3 +56,21 @@ def test_stream_cursor_only_sees_new_files(spark, tmp_path):
     run_available(spark, **kw)
     assert seen == [1, 2]               # the touched day is rebuilt from all its rows
     assert spark.read.parquet(target).count() == 2
+
+
+def test_only_touched_folders_are_read(spark, tmp_path, monkeypatch):
+    from lapdeck.streaming import refresh
+    landing = str(tmp_path / "landing")
+    days = [dt.date(2024, 1, k) for k in range(1, 7)]
+    rows = spark.createDataFrame([(k, "click", d) for k, d in enumerate(days)] + [(9, "view", None)], SCHEMA)
+    rows.write.partitionBy("day").parquet(landing)
+    full = spark.read.schema(SCHEMA).parquet(landing)
+    touched = spark.createDataFrame([(days[1],), (days[4],), (None,)], "day date")
+    got = refresh.touched_rows(full, touched, ["day"])
+    want = sorted(r.user_id for r in got.collect())
+    assert want == [1, 4, 9]
+    assert "PartitionFilters: [" in (text := got._jdf.queryExecution().executedPlan().toString()) and "PartitionFilters: []" not in text
+    monkeypatch.setattr(refresh, "NAMED", 1)
+    few = touched.filter("day IS NOT NULL")
+    assert sorted(r.user_id for r in refresh.touched_rows(full, few, ["day"]).collect()) == [1, 4]
+    assert refresh.touched_rows(full, few.limit(0), ["day"]).collect() == []
