@@ -24,6 +24,7 @@ from lapdeck.session import scratch_path
 from lapdeck.sources.landed import landed_gate, read_landed, season_gate
 from lapdeck.sources.manifest import child_prefixes, list_files
 from lapdeck.sources.sinks import write_objects
+from lapdeck.streaming.refresh import start_catalog_state
 
 ROLES = {"1-URGENT": "Race", "2-HIGH": "Qualifying", "3-MEDIUM": "Practice 1", "4-NOT SPECIFIED": "Practice 2", "5-LOW": "Shakedown"}
 BROKEN, THIN, SPRINT = (1995, 1, "Practice 1"), (1996, 2, "Practice 2"), (1996, 3)
@@ -389,3 +390,22 @@ def q_results_skips(spark, sf_dir):
     cat = _stored_catalog(spark, sf_dir)
     job = M.race_results_job(spark, _land(spark, sf_dir), cat)
     return accounting(select_races(cat), job.skips).select("skipped", "selected", "processed")
+
+
+@register("stream_catalog_state", f"""WITH {_ROWS}
+SELECT year, event, session, TRUE AS has_results, session LIKE 'Practice%' AS has_session_info, FALSE AS has_laps, FALSE AS is_complete,
+       round(CASE WHEN session LIKE 'Practice%' THEN 2 ELSE 1 END / 7.0 * 100, 6) AS completeness_score FROM n""", "T3 (catalog kept by streaming state)")
+def q_stream_catalog_state(spark, sf_dir):
+    """All orders land in three goes, by year; after each one the stream is started anew from its checkpoint.  The last go also brings
+    the session_info of sessions landed before."""
+    root, target, checkpoint = (scratch_path(spark, f"state-{x}") for x in ("landing", "target", "checkpoint"))
+    results = _results(_orders(spark, sf_dir))
+    info = results.filter(F.col("session").startswith("Practice")).groupBy(*KEYS).agg(F.count("*").alias("total_laps"))
+    for k, years in enumerate((F.col("year") <= 1996, F.col("year").isin(1997, 1998), F.col("year") >= 1999)):
+        write_objects(results.filter(years).select(*KEYS, "DriverNumber", "Position", "Status"), root, "results")
+        if k == 2:
+            write_objects(info, root, "session_info")
+        start_catalog_state(spark, root, target, checkpoint).awaitTermination()
+    out = spark.read.schema("year int, event string, session string, has_results boolean, has_session_info boolean, has_laps boolean, is_complete boolean, "
+                            "completeness_score double").parquet(target)
+    return rounded(out.select(*KEYS, "has_results", "has_session_info", "has_laps", "is_complete", "completeness_score"))

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lapdeck.operators.catalog import CRITICAL_TYPES, DATA_TYPES, completeness, parse_manifest
 from lapdeck.operators.changes import manifest_diff
 from lapdeck.sources.manifest import list_files
 from lapdeck.sources.sinks import delete_partition
@@ -113,6 +114,34 @@ def start_catalog_refresh(spark: SparkSession, root: str, out: str, checkpoint:
     return w.start()
 
 
+def start_catalog_state(spark: SparkSession, root: str, target: str, checkpoint: str, glob: str = "*/*/*/*", available_now: bool = True,
+                        interval: str = "300 seconds", max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """T3 as keyed state: which tables each session has, kept by a streaming aggregate over the files' names.
+
+    The state store holds one row per (year, event, session): a flag per table, the number of files and their bytes.  A micro-batch gives
+    the rows of the sessions that its files touch (update mode), and only those sessions' folders of ``target`` are written; nothing
+    is listed or built again.  State and cursor lie in ``checkpoint``; a batch that is repeated writes the same rows to the same folders.
+    File bodies are not read.  Files that are deleted or rewritten in place are for :func:`refresh_changes`.
+    """
+    reader = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    files = parse_manifest(reader.load(f"{root.rstrip('/')}/{glob}").select("path", "length", "modificationTime"), root)
+    keyed = files.select(F.col("year_part").try_cast("int").alias("year"), "event", "session", "data_type", "length", "modificationTime")
+    keyed = keyed.filter(F.col("year").isNotNull() & F.col("session").isNotNull())
+    has = [F.max(F.col("data_type") == t).alias(f"has_{t}") for t in DATA_TYPES]
+    state = keyed.groupBy("year", "event", "session").agg(*has, F.count("*").alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("latest"))
+
+    def _batch(touched: DataFrame, _epoch: int) -> None:
+        rows = completeness(touched, DATA_TYPES, CRITICAL_TYPES)
+        (rows.hint("rebalance", "year").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("year", "event", "session").parquet(target))
+
+    w = state.writeStream.outputMode("update").foreachBatch(_batch).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
+    return w.start()
+
+
 def refresh_changes(spark: SparkSession, landing: str, schema: T.StructType, target: str,
                     partition_cols: Sequence[str], rebuild: Callable[[DataFrame], DataFrame],
                     snapshots: str) -> dict[str, int]:

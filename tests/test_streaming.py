@@ -74,3 +74,31 @@ def test_only_touched_folders_are_read(spark, tmp_path, monkeypatch):
     few = touched.filter("day IS NOT NULL")
     assert sorted(r.user_id for r in refresh.touched_rows(full, few, ["day"]).collect()) == [1, 4]
     assert refresh.touched_rows(full, few.limit(0), ["day"]).collect() == []
+
+
+def test_catalog_state_writes_touched_sessions_only(spark, tmp_path):
+    import os
+
+    from lapdeck.sources.sinks import write_objects
+    from lapdeck.streaming.refresh import start_catalog_state
+    root, target, ckpt = (str(tmp_path / x) for x in ("landing", "target", "ckpt"))
+
+    def land(kind, *sessions):
+        write_objects(spark.createDataFrame([(*s, 1) for s in sessions], "year int, event string, session string, x int"), root, kind)
+        start_catalog_state(spark, root, target, ckpt).awaitTermination()
+
+    def files():
+        return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(target) for f in names if f.startswith("part-")}
+
+    a, b = (2024, "a_gp", "Race"), (2024, "b+ gp", "Practice 1")
+    land("results", a, b)
+    first = files()
+    land("laps", a)
+    land("session_info", a)
+    rows = {tuple(r[c] for c in ("year", "event", "session")): r for r in spark.read.parquet(target).collect()}
+    assert rows.keys() == {a, b} and rows[a].is_complete and rows[a].files == 3 and not rows[b].has_laps and rows[b].has_results
+    left = {f: t for f, t in files().items() if "session=Practice 1" in f}
+    assert left and left == {f: t for f, t in first.items() if "session=Practice 1" in f}
+    again = files()
+    start_catalog_state(spark, root, target, ckpt).awaitTermination()  # nothing new
+    assert files() == again
