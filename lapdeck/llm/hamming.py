@@ -105,7 +105,7 @@ def _nearest_entries(queries: list[int], entries: DataFrame, k: int, bits: int,
 def search(queries: DataFrame, rows: DataFrame, k: int = 10, bits: int = 64, segments: int | None = None, block: int = 20_000) -> DataFrame:
     """The ``k`` rows nearest to each query by Hamming distance; ties by the smaller row id.
 
-    Both tables have (id long, code long).  Null codes and null ids are left out.  Returns query_id, neighbor_id,
+    Both tables have (id long, code long); other columns are ignored, whatever their names.  Null codes and null ids are left out.  Returns query_id, neighbor_id,
     distance, rank; a query gets fewer than ``k`` rows only if the table has fewer.
 
     Equal codes are one entry, which keeps the ``k`` smallest ids that have it (no other row with that
@@ -113,6 +113,7 @@ def search(queries: DataFrame, rows: DataFrame, k: int = 10, bits: int = 64, seg
     third of all rows share is one entry.  A repeated id counts once.
     """
     ids = Window.partitionBy("code").orderBy("id")
+    queries, rows = queries.select("id", "code"), rows.select("id", "code")
     rows = rows.filter("id is not null and code is not null").dropDuplicates(["id", "code"])
     copies = materialise(rows.withColumn("copy", F.row_number().over(ids)).filter(F.col("copy") <= k), "mih-rows")
     entries = materialise(copies.groupBy("code").agg(F.count("*").alias("n")), "mih-codes")

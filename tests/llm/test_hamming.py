@@ -42,6 +42,13 @@ def test_few_rows_and_empty(spark):
     assert hamming.search(rows, rows.limit(0)).collect() == [] and hamming.search(rows.limit(0), rows).collect() == []
 
 
+def test_other_columns_are_ignored(spark):
+    rows = spark.createDataFrame([(1, 0, 5, 6, 7, "x", 8), (2, 7, 5, 6, 7, "x", 8)],
+                                 "id long, code long, distance int, rank int, q long, neighbor_id string, copy int")
+    got = sorted(tuple(r) for r in hamming.search(rows, rows, k=1).collect())
+    assert got == [(1, 1, 0, 1), (2, 2, 0, 1)]
+
+
 def test_sign_code(spark):
     v = [[1.0] * 64, [-1.0] * 64, None, [0.0] * 63, [None] + [1.0] * 63, [-0.5] + [0.5] * 63]
     rows = spark.createDataFrame([(i, x) for i, x in enumerate(v)], "id long, v array<float>")
