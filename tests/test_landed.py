@@ -168,3 +168,24 @@ def test_scans_are_pruned(spark, bucket):
             files += node.metrics().apply("numFiles").value()
         todo += [node.children().apply(i) for i in range(node.children().size())]
     assert files == 4  # of the nine usable objects, those of 2031
+
+
+def test_keys_take_no_pattern_per_row(spark, bucket):
+    keys = read_landed(spark, bucket, "results").select("year", "event", "session").distinct()
+    plan = keys._jdf.queryExecution().optimizedPlan().toString()
+    assert "file_path" in plan and "regexp" not in plan
+    assert (2024, "fifth+50%_prix", "Race") in {tuple(r) for r in keys.collect()}
+
+
+def test_keys_of_odd_paths(spark):
+    from pyspark.sql import functions as F
+
+    from lapdeck.sources.landed import _keys_of
+    none = (None, "", "")
+    want = {"file:/r/1995/round 1/Race/results.parquet": (1995, "round 1", "Race"), "s3a://b/results.parquet/1995/e/s/results.parquet/p": (1995, "e", "s"),
+            "/a/1995/e/s/results.parquet/results.parquet": (1995, "e", "s"), "/r/x/e/s/results.parquet": (None, "e", "s"),
+            "/r/1995/e/s/results.parquet/a=1/p": none, "/r/1995/e/s/xresults.parquet": none, "/r/1995/e/s/laps.parquet": none}
+    paths = spark.createDataFrame([(p,) for p in want], "p string")
+    assert {r.p: tuple(r)[1:] for r in paths.select("p", *_keys_of(F.col("p"), "results")).collect()} == want
+    season = spark.createDataFrame([("/r/1995/circuits.parquet",), ("/r/1996/circuits.parquet/p",), ("/r/1997/xcircuits.parquet",)], "p string")
+    assert [tuple(r) for r in season.select(*_keys_of(F.col("p"), "circuits")).collect()] == [(1995, None, None), (1996, None, None), (None, None, None)]
