@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,11 +115,14 @@ def validate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def split_valid(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """V1: (valid rows unchanged, invalid rows + ``errors``).  Both sides read
-    the same lazily-defined projection; persist the input first if the source
-    is expensive and both sides are consumed."""
-    v = validate(df, rules)
-    valid = v.filter(F.size("errors") == 0).drop("errors", "warnings")
-    invalid = v.filter(F.size("errors") > 0).drop("warnings")
+    the same lazily-defined input; persist it first if the source
+    is expensive and both sides are consumed.  Rows are told apart by the hard rules
+    alone: messages are made only for invalid rows, and only if they are read."""
+    present = set(df.columns)
+    hard = [F.coalesce(r.predicate(present), F.lit(False)) for r in rules if r.severity == "error"]
+    passed = reduce(lambda a, b: a & b, hard, F.lit(True))
+    valid = df.filter(passed).drop("errors", "warnings")
+    invalid = validate(df.filter(~passed), rules).drop("warnings")
     return valid, invalid
 
 

@@ -160,3 +160,15 @@ def test_raise_on_invalid_in_plan(spark):
     bad = _df(spark, [_result(), _result(DriverNumber="ABC")])
     with pytest.raises(Exception, match="ABC"):
         v.raise_on_invalid(bad, D.RACE_RESULT_RULES).collect()
+
+
+def test_rows_are_told_apart_without_messages(spark):
+    rows = spark.createDataFrame([(1, "a"), (None, "a"), (200, None), (5, None)], "x int, y string")
+    rules = [v.in_range("x", 0, 100), v.required("y"), v.in_domain("y", ["b"])]
+    valid, invalid = v.split_valid(rows, rules)
+    for part in (valid, invalid):
+        assert "concat" not in part.groupBy().count()._jdf.queryExecution().optimizedPlan().toString()
+    checked = v.validate(rows, rules)
+    assert [tuple(r) for r in valid.collect()] == [(1, "a")]
+    assert {tuple(map(str, r)) for r in invalid.collect()} == {(str(r.x), str(r.y), str(r.errors)) for r in checked.collect() if r.errors}
+    assert invalid.columns == ["x", "y", "errors"] and invalid.count() == 3
